@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import mixing, url_filter
+from tickspark.llm import decontaminate, line_dedup, mixing, url_filter
 from tickspark.llm.common import table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -57,5 +57,54 @@ o AS (SELECT d.*, source_size, target, epochs, floor(target - epochs * source_si
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, room)))::BIGINT AS taken, source, epochs FROM o
 """
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op8_source_mix": op8_source_mix}
-ORACLES = {"op1_url_filter": OP1_SQL, "op8_source_mix": OP8_SQL}
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, text, md5(coalesce(text, '')) AS t, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT n, doc_id, t, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d WHERE text IS NOT NULL),
+w AS (SELECT n, doc_id, t, pos, md5(lower(trim(line))) AS h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l),
+x AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY pos) AS i, sum(words) OVER (PARTITION BY n ORDER BY pos)::BIGINT AS e FROM w WHERE words > 0),
+y AS (SELECT *, e - words AS s FROM x),
+z AS (
+  SELECT n, doc_id, t, string_agg(h, '') OVER f AS key, i AS first, max(i) OVER f AS last, max(e) OVER f - s >= 50 AS ok FROM y WINDOW f AS (PARTITION BY n ORDER BY s RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION
+  SELECT n, doc_id, t, string_agg(h, '') OVER f, min(i) OVER f, i, e >= 50 FROM y WINDOW f AS (PARTITION BY n ORDER BY e RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+p AS (SELECT *, first_value({'d': doc_id, 't': t, 'f': first, 'l': last}) OVER (PARTITION BY key ORDER BY doc_id NULLS LAST, t, first) AS o FROM z WHERE ok),
+r AS (SELECT n, first, last FROM p WHERE (doc_id, t) IS DISTINCT FROM (o.d, o.t) OR first > o.l),
+g AS (SELECT r.n, min(pos) AS a, max(pos) AS b FROM r JOIN y ON r.n = y.n AND y.i BETWEEN r.first AND r.last GROUP BY r.n, r.first, r.last),
+k AS (SELECT l.n, l.pos, l.line, bool_or(g.n IS NOT NULL) AS gone FROM l LEFT JOIN g ON l.n = g.n AND l.pos BETWEEN a AND b GROUP BY l.n, l.pos, l.line),
+c AS (SELECT n, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM k GROUP BY n)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted, sha256(coalesce(c.text, '')) AS text_sha256 FROM d LEFT JOIN c USING (n)
+"""
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+OP9_SQL = r"""
+WITH i AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0),
+v AS (SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[s : s + 9], ' ') AS win FROM p),
+d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+e AS (SELECT n, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM v) WHERE len(w) >= k),
+h AS (SELECT n, e.k, s, item FROM e JOIN v ON e.k = v.k AND array_to_string(w[s : s + e.k - 1], ' ') = win),
+c AS (SELECT n, count(DISTINCT pos) AS n_hit FROM (SELECT n, unnest(range(s, s + k)) AS pos FROM (SELECT DISTINCT n, k, s FROM h)) GROUP BY n),
+m AS (SELECT n, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT n, item FROM h) GROUP BY n)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (n) LEFT JOIN m USING (n)
+"""
+
+QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op5_line_dedup": op5_line_dedup,
+    "op8_source_mix": op8_source_mix,
+    "op9_decontamination": op9_decontamination,
+}
+ORACLES = {"op1_url_filter": OP1_SQL, "op5_line_dedup": OP5_SQL, "op8_source_mix": OP8_SQL, "op9_decontamination": OP9_SQL}
