@@ -54,3 +54,10 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1000 rows and 32 MB where the session says nothing, since one text can have many MB."""
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))):
+        if spark.conf.get(key, None) in (None, "10000", "-1"):
+            spark.conf.set(key, value)

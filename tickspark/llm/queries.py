@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import decontaminate, line_dedup, mixing, url_filter
+from tickspark.llm import decontaminate, line_dedup, media, mixing, toxicity, url_filter
 from tickspark.llm.common import table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -101,10 +101,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN c USING (n) LEFT JOIN m USING (n)
 """
 
+def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = media.media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.col("length").alias("media_bytes"), "media_sha256", "feature", "digest", "shard", "offset", "width", "height", "bit_depth")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted", "neighbours", "cosines")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_media_columns": op2_media_columns,
     "op5_line_dedup": op5_line_dedup,
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES = {"op1_url_filter": OP1_SQL, "op5_line_dedup": OP5_SQL, "op8_source_mix": OP8_SQL, "op9_decontamination": OP9_SQL}
