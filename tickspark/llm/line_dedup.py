@@ -97,7 +97,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with text (the lines that stay), n_lines and n_deleted."""
     lines = cut(line_arrays(docs.select("doc_id", "text")), "lines")
     runs = cut(repeats(lines, min_words), "line-runs").select(F.col("doc_id").alias("_d"), F.col("_text").alias("_t"), "_runs")
-    out = docs.withColumn("_text", text_key(F.col("text"))).join(runs, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t")), "left")
+    # the runs grow with the documents: they are merged at every size, never broadcast
+    out = docs.withColumn("_text", text_key(F.col("text"))).join(runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t")), "left")
     split = F.split("text", "\n")
     kept = F.filter(split, lambda x, i: ~F.exists("_runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
     text = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
