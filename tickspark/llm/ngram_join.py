@@ -37,8 +37,8 @@ N = 5
 SIMILARITY = (80, 100)
 #: Ids are sent to every executor up to this many (64 MB); more are joined.
 MOST_IDS = 8_000_000
-#: Groups with more undecided classes than this have to share a second signature.
-MANY = 24
+#: Signatures with more undecided classes than this have to agree with a second one; below, pairs are fewer than second signatures.
+MANY = 256
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
