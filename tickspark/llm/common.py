@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +63,19 @@ def bound_batches(spark: SparkSession) -> None:
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))):
         if spark.conf.get(key, None) in (None, "10000", "-1"):
             spark.conf.set(key, value)
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """For tasks that read or write parts of a file in the shared folder."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]
+    return pafs.FileSystem.from_uri(uri)
+
+
+def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
+    """The finaliser of splitmix64 on unsigned 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        x = x + np.uint64((0x9E3779B97F4A7C15 * (int(seed) + 1)) & 0xFFFFFFFFFFFFFFFF)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))

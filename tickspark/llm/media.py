@@ -22,12 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import bound_batches, cut, partitions, scratch
+from tickspark.llm.common import bound_batches, cut, file_system, partitions, scratch
 
 WIDTH = 192
 SHARD_BYTES = 128 << 20
@@ -81,12 +80,6 @@ def tar_header(name: str, size: int) -> bytes:
     return bytes(h)
 
 
-def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[5:]
-    return pafs.FileSystem.from_uri(uri)
-
-
 def feature(data: bytes) -> str:
     """Mean and spread of the samples, share of steps between neighbours, and an 8 x 8 mean hash."""
     x = np.frombuffer(data, np.uint8).reshape(-1, WIDTH)

@@ -32,6 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickspark.llm.common import bound_batches, cut
+from tickspark.llm.common import mix64 as mix
 
 N = 5
 SIMILARITY = (80, 100)
@@ -41,15 +42,6 @@ MOST_IDS = 8_000_000
 MANY = 256
 
 
-def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    """The finaliser of splitmix64."""
-    with np.errstate(over="ignore"):
-        x = x + np.uint64((0x9E3779B97F4A7C15 * (int(seed) + 1)) & 0xFFFFFFFFFFFFFFFF)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The set of each text as a sorted array of 64-bit hashes."""
     words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import decontaminate, line_dedup, media, mixing, ngram_join, toxicity, url_filter
+from tickspark.llm import decontaminate, katz, line_dedup, media, mixing, ngram_join, toxicity, url_filter
 from tickspark.llm.common import table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -58,6 +58,10 @@ SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(siz
 """
 
 
+def op3_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), 4, (85, 100))
 
@@ -118,6 +122,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_media_columns": op2_media_columns,
+    "op3_katz_scores": op3_katz_scores,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_line_dedup": op5_line_dedup,
     "op8_source_mix": op8_source_mix,
