@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import bound_batches
+from tickspark.llm.common import bound_batches, cut
 from tickspark.llm.decontaminate import BYTES
 
 EXAMPLES = 8000
@@ -40,7 +40,7 @@ BLOCK = 32
 MIN_GROUPS = 4
 #: The least share of toxic groups among those with a term.
 PURITY = 0.8
-SHORTEST = 4
+SHORTEST, LONGEST = 4, 7
 
 
 def held_out(doc_id: Column) -> Column:
@@ -58,19 +58,11 @@ def group_of(w: list[str]) -> int:
 
 def terms_of(w: str) -> list[str]:
     """The word and, marked, its beginnings of 4 to 7 letters."""
-    return [w, *(f"{w[:n]}*" for n in range(SHORTEST, min(len(w), 7) + 1))]
+    return [w, *(f"{w[:n]}*" for n in range(SHORTEST, min(len(w), LONGEST) + 1))]
 
 
-def term_counts(counts: Iterable[tuple[str, int]]) -> Counter:
-    total: Counter = Counter()
-    for w, n in counts:
-        for t in terms_of(w):
-            total[t] += n
-    return total
-
-
-def examples_of(docs: DataFrame, labels: DataFrame, n: int) -> pd.DataFrame:
-    """doc_id, toxic, group_id, words, counts of at most ``n`` training rows, in the order of their hashes."""
+def examples_of(docs: DataFrame, labels: DataFrame, n: int) -> DataFrame:
+    """doc_id, toxic, h, group_id, words, counts of at most ``n`` training rows, those with the lowest hashes."""
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -84,8 +76,7 @@ def examples_of(docs: DataFrame, labels: DataFrame, n: int) -> pd.DataFrame:
     chosen = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = chosen.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(n)  # the bound of the sample
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = rows.select("doc_id", "toxic", "h", "text").mapInPandas(count, "doc_id long, toxic int, h long, group_id long, words array<string>, counts array<int>")
-    return found.toPandas().sort_values(["h", "doc_id", "group_id"], ignore_index=True)
+    return cut(rows.select("doc_id", "toxic", "h", "text").mapInPandas(count, "doc_id long, toxic int, h long, group_id long, words array<string>, counts array<int>"), "examples")
 
 
 def upper_tail(k: int, n: int, p: float) -> float:
@@ -93,25 +84,29 @@ def upper_tail(k: int, n: int, p: float) -> float:
     return sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k, n + 1))
 
 
-def choose_terms(ex: pd.DataFrame, p_value: float, min_groups: int) -> list[str]:
+def choose_terms(ex: DataFrame, p_value: float, min_groups: int) -> list[str]:
     """Terms that toxic groups of examples have too often for chance, and clean groups hardly ever."""
-    toxic_in: dict[str, set[int]] = {}
-    clean_in: dict[str, set[int]] = {}
-    for toxic, group, found in zip(ex["toxic"], ex["group_id"], ex["words"], strict=True):
-        if toxic:
-            for t in {t for w in found for t in terms_of(w)}:
-                toxic_in.setdefault(t, set()).add(group)
-    toxic_in = {t: g for t, g in toxic_in.items() if len(g) >= min_groups}
-    for toxic, group, found in zip(ex["toxic"], ex["group_id"], ex["words"], strict=True):
-        if not toxic:
-            for t in toxic_in.keys() & {t for w in found for t in terms_of(w)}:
-                clean_in.setdefault(t, set()).add(group)
-    groups = ex.groupby("group_id")["toxic"].max()
-    rate = groups.mean() if len(groups) else 0.0
-    if not 0 < rate < 1:
-        return sorted(toxic_in) if rate else []
-    both = ((t, len(g), len(clean_in.get(t, ()))) for t, g in toxic_in.items())
-    return sorted(t for t, a, c in both if a >= PURITY * (a + c) and upper_tail(a, a + c, rate) < p_value)
+    groups = ex.groupBy("group_id").agg(F.max("toxic").alias("toxic"))
+    rate = groups.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
+    w = F.col("w")
+    begins = [F.when(F.length(w) >= n, F.concat(F.substring(w, 1, n), F.lit("*"))) for n in range(SHORTEST, LONGEST + 1)]
+    each = ex.select("toxic", "group_id", F.explode("words").alias("w")).select("toxic", "group_id", F.explode(F.array_compact(F.array(w, *begins))).alias("term"))
+    seen = each.groupBy("term", "group_id").agg(F.max("toxic").alias("t"), F.min("toxic").alias("c"))
+    found = seen.groupBy("term").agg(F.sum("t").alias("a"), F.sum(1 - F.col("c")).alias("c")).where((F.col("a") >= min_groups) & (F.col("a") >= PURITY * (F.col("a") + F.col("c"))))
+    return sorted(r.term for r in found.collect() if rate >= 1 or upper_tail(r.a, r.a + r.c, rate) < p_value)
+
+
+def vectors_of(ex: DataFrame, terms: list[str]) -> pd.DataFrame:
+    """The examples with their counts of the chosen terms, in the order of their hashes."""
+    held = ex.sparkSession.sparkContext.broadcast(Vocabulary(terms))
+
+    def choose(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [held.value.weigh(zip(w, n, strict=True)) for w, n in zip(part["words"], part["counts"], strict=True)]
+            yield part[["doc_id", "toxic", "h", "group_id"]].assign(terms=[list(c) for c in found], counts=[list(c.values()) for c in found])
+
+    rows = ex.mapInPandas(choose, "doc_id long, toxic int, h long, group_id long, terms array<string>, counts array<int>").toPandas()
+    return rows.sort_values(["h", "doc_id", "group_id"], ignore_index=True)
 
 
 class Vocabulary:
@@ -121,9 +116,17 @@ class Vocabulary:
         self.number = {t: i for i, t in enumerate(terms)}
         self.begins = {t[:SHORTEST].rstrip("*") for t in terms}
 
+    def weigh(self, found: Iterable[tuple[str, int]]) -> Counter:
+        total: Counter = Counter()
+        for w, n in found:
+            if w[:SHORTEST] in self.begins:
+                for t in terms_of(w):
+                    if t in self.number:
+                        total[t] += n
+        return total
+
     def counts(self, found: Iterable[str]) -> Counter:
-        some = Counter(w for w in found if w[:SHORTEST] in self.begins)
-        return Counter({t: n for t, n in term_counts(some.items()).items() if t in self.number})
+        return self.weigh(Counter(w for w in found if w[:SHORTEST] in self.begins).items())
 
 
 def document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
@@ -149,7 +152,7 @@ class Neighbours:
     def __init__(self, terms: list[str], idf: np.ndarray, ex: pd.DataFrame, k: int):
         self.vocabulary, self.idf, self.k = Vocabulary(terms), idf, k
         self.number = self.vocabulary.number
-        vectors = [self.vector(term_counts((w, n) for w, n in zip(found, c, strict=True) if w[:SHORTEST] in self.vocabulary.begins)) for found, c in zip(ex["words"], ex["counts"], strict=True)]
+        vectors = [self.vector(Counter(dict(zip(t, c, strict=True)))) for t, c in zip(ex["terms"], ex["counts"], strict=True)]
         have = [i for i, (t, _) in enumerate(vectors) if len(t)]
         none = [i for i, (t, _) in enumerate(vectors) if not len(t)]
         self.without = float((ex["toxic"].iloc[none].sum()) / (len(none) + 1)) if len(ex) else 0.0
@@ -230,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = K
     terms = choose_terms(ex, p_value, MIN_GROUPS)
     n, df = document_frequencies(docs, terms)
     idf = np.array([math.log((n + 1) / (df.get(t, 0) + 1)) + 1 for t in terms])
-    return Neighbours(terms, idf, ex, k)
+    return Neighbours(terms, idf, vectors_of(ex, terms), k)
 
 
 def score(docs: DataFrame, model: Neighbours, threshold: float = THRESHOLD) -> DataFrame:
