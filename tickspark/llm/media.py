@@ -5,8 +5,9 @@ A text becomes a payload (its UTF-8 bytes, filled with spaces to rows of 192) an
 shard, offset and length. The first 33 bytes of a stored image tell its size and kind, so a range read of the header fills
 the metadata columns, and the image is only read where its samples are needed.
 
-Payloads are encoded where they are read and dealt to the shards by digest, each once a task, so copies don't gather in one
-place. A shard is written under a passing name and then moved to its own; a task that runs again writes the same bytes.
+Payloads are encoded and stored where they are read, each once a task, and never shuffled: of copies that several tasks have
+stored, the index keeps the first place, so however many copies a text has, none gathers in one task. A shard is written
+under a passing name and then moved to its own; a task that runs again writes the same bytes.
 
 Defined cases: a null text is empty; an empty text is one row of spaces; equal texts share one stored image; rows and ids
 may repeat; other columns of the input are not read; an empty table makes no shard.
@@ -92,21 +93,10 @@ def feature(data: bytes) -> str:
 def store(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Stores every distinct text; returns digest, shard, offset, length, one row each."""
 
-    def to_images(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[bytes] = set()
-        for part in parts:
-            out = []
-            for text in part["text"]:
-                data = payload(text)
-                key = hashlib.sha256(data).digest()
-                if key not in seen:
-                    seen.add(key)
-                    out.append((key.hex(), encode(data)))
-            yield pd.DataFrame(out, columns=["digest", "image"])
-
     def to_shards(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = file_system(folder)
-        number, made, last, out, at, temp, name, rows = TaskContext.get().partitionId(), 0, None, None, 0, "", "", []
+        number, made, out, at, temp, name, rows = TaskContext.get().partitionId(), 0, None, 0, "", "", []
+        seen: set[bytes] = set()
 
         def close():
             out.write(b"\0" * (2 * BLOCK))
@@ -114,23 +104,23 @@ def store(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataF
             system.move(temp, f"{root}/{name}")
 
         for part in parts:
-            for key, image in zip(part["digest"], part["image"], strict=True):
-                if key == last:  # the rows come in the order of their digests
+            for text in part["text"]:
+                data = payload(text)
+                digest = hashlib.sha256(data)
+                if digest.digest() in seen:
                     continue
-                last = key
+                seen.add(digest.digest())
+                image = encode(data)
                 if out is None or at >= shard_bytes:
                     if out is not None:
                         close()
                     name, temp, at, made = f"{number:06d}-{made:04d}.tar", f"{root}/.{uuid.uuid4().hex}", 0, made + 1
                     out = system.open_output_stream(temp)
-                out.write(tar_header(f"{key}.png", len(image)))
+                out.write(tar_header(f"{digest.hexdigest()}.png", len(image)))
                 out.write(image)
                 out.write(b"\0" * (-len(image) % BLOCK))
-                rows.append((key, name, at + BLOCK, len(image)))
+                rows.append((digest.hexdigest(), name, at + BLOCK, len(image)))
                 at += BLOCK + len(image) + -len(image) % BLOCK
-            if len(rows) > 10_000:
-                yield pd.DataFrame(rows, columns=["digest", "shard", "offset", "length"])
-                rows = []
         if out is not None:
             close()
         yield pd.DataFrame(rows, columns=["digest", "shard", "offset", "length"])
@@ -139,9 +129,9 @@ def store(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataF
     bound_batches(spark)
     system, root = file_system(folder)
     system.create_dir(root)
-    images = docs.select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")).mapInPandas(to_images, "digest string, image binary")
-    shards = images.repartition(partitions(spark), "digest").sortWithinPartitions("digest")
-    return cut(shards.mapInPandas(to_shards, "digest string, shard string, offset long, length long"), "media-index")
+    stored = docs.select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")).mapInPandas(to_shards, "digest string, shard string, offset long, length long")
+    stored = cut(stored, "media-stored")
+    return stored.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("_at")).select("digest", "_at.*")
 
 
 def read(index: DataFrame, folder: str, samples: bool = True) -> DataFrame:
