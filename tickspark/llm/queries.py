@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import decontaminate, katz, line_dedup, media, mixing, ngram_join, toxicity, url_filter
-from tickspark.llm.common import table
+from tickspark.llm import decontaminate, katz, line_dedup, media, mixing, ngram_join, quality, token_rollup, toxicity, url_filter
+from tickspark.llm.common import cut, scratch, table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -28,6 +28,26 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p L
 """
 
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: all documents come in; those labelled junk go; those labelled toxic move to a source of their own."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rollup = token_rollup.TokenRollup(spark, scratch(spark, "rollup"))
+    counted = cut(token_rollup.count_tokens(docs, VOCABULARY, "byte-bpe-50k-1"), "counts")
+    marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    rollup.commit(1, counted.withColumn("op", F.lit("insert")))
+    rollup.commit(2, counted.join(marks.where("quality = 0"), "doc_id", "left_semi").withColumn("op", F.lit("delete")))
+    rollup.commit(3, counted.join(marks.where("quality = 1 and toxic = 1"), "doc_id", "left_semi").withColumns({"op": F.lit("revise"), "source": F.lit("quarantine")}))
+    return rollup.totals()
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, *quality.fit(docs)).select("doc_id", "votes", "posterior", "score", "keep")
+
+
 def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled good documents count twice, labelled junk half."""
     return table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("weight"))
@@ -125,6 +145,8 @@ QUERIES = {
     "op3_katz_scores": op3_katz_scores,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_line_dedup": op5_line_dedup,
+    "op6_token_counts": op6_token_counts,
+    "op7_quality": op7_quality,
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
