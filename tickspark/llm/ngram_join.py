@@ -262,3 +262,16 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: tuple[int, int] = S
     named = named.join(named.groupBy("root").agg(F.min("_id").alias("_group")), "root").select("c", "_group")
     named = cut(named, "named")
     return members.join(named, "c", "left").select("doc_id", "n_shingles", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("_group")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = N, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """The document with the smallest doc_id of each group, and all that have no links.
+
+    Rows that repeat with id and text are one; rows with a null doc_id, or without words, always stay."""
+    found = cut(near_duplicates(docs, n, similarity), "near")
+    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        again = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+        kept = kept.where("doc_id is null").unionByName(again)
+    return kept

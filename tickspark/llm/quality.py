@@ -28,7 +28,7 @@ from tickspark.llm.common import bound_batches, cut
 
 EXAMPLES = 8000
 WIDTH = 1 << 18
-KEEP = 0.5
+KEEP = 0.4
 SHAPE = bytes(120 if 97 <= b <= 122 or b >= 128 else 88 if 65 <= b <= 90 else 57 if 48 <= b <= 57 else b for b in range(256))
 RUNS = re.compile(rb"(.)\1+", re.DOTALL)
 
