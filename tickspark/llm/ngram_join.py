@@ -6,10 +6,10 @@ feature domain is dealt to ``k + 1 + t`` partitions; two such sets agree in at l
 each partition (the set's elements in it) is shared. A set with at most ``t`` empty partitions leaves these out, for it
 agrees with any partner in another one; the few sets with more give signatures for the empty ones too. Nothing is missed.
 
-Documents with the same set are one class before any of this; classes are joined, copies never. Classes with a common
-signature are first compared with one of them only; what that links is one group, and then only classes of a signature that
-are still in different groups are compared, each pair once. Where many remain, a pair has to share a signature of a second,
-independent partitioning too, which every linked pair does. Whole sets are compared in the end, so the links are exact.
+Documents with the same set are one class before any of this; classes are joined, copies never. All signatures with the same
+smallest class make one candidate group, which holds their classes once each. A group is cut into blocks, and each pair of
+blocks is a task's work: the sets that meet there are compared in full through their inverted index, and of the links found
+only those that connect what was apart are sent on, at most one a set. So the links are exact and pairs are never listed.
 
 Defined cases: a text with fewer than n words is one shingle of all its words; null, empty and blank texts have no set and
 are alone; repeated rows are copies; a null doc_id can have links but never names a group (a group of only such ids has the
@@ -23,7 +23,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -36,10 +35,10 @@ from tickspark.llm.common import mix64 as mix
 
 N = 5
 SIMILARITY = (80, 100)
-#: Ids are sent to every executor up to this many (64 MB); more are joined.
-MOST_IDS = 8_000_000
-#: Signatures with more undecided classes than this have to agree with a second one; below, pairs are fewer than second signatures.
-MANY = 256
+#: Classes are sent to every executor up to this many (64 MB); more are joined.
+MOST_IDS = 4_000_000
+#: Sets of a candidate group that are compared in one go; a larger group makes a task for each pair of blocks.
+BLOCK = 256
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -122,9 +121,18 @@ def class_of(s: np.ndarray, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes(), seed)
 
 
+def text_hash(text: str) -> int:
+    h = xxhash.xxh3_64_intdigest(text)
+    return h if h < 1 << 63 else h - (1 << 64)
+
+
+def signed_int(i: int) -> int:
+    return i if i < 1 << 63 else i - (1 << 64)
+
+
 def classes(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
-    """doc_id, n_shingles and the class (null without words) of every document, and the seed whose 64-bit class ids are
-    verified to be different for different sets."""
+    """doc_id, n_shingles, the class (null without words) and the hash of the text of every document, and the seed whose
+    64-bit class ids are verified to be different for different sets."""
     for seed in range(8):
 
         def to_classes(batches: Iterator[pa.RecordBatch], seed: int = seed) -> Iterator[pa.RecordBatch]:
@@ -132,63 +140,97 @@ def classes(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
                 sizes, ids, checks = [], [], []
                 for s in shingle_sets(b.column("text"), n):
                     sizes.append(len(s))
-                    ids.append(class_of(s, seed) if len(s) else None)
+                    ids.append(signed_int(class_of(s, seed)) if len(s) else None)
                     checks.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                ids = pa.array([i if i is None or i < 1 << 63 else i - (1 << 64) for i in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), ids, pa.array(checks, pa.binary())], ["doc_id", "n_shingles", "c", "check"])
+                texts = [text_hash(t or "") for t in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(checks, pa.binary())], ["doc_id", "n_shingles", "c", "text", "check"])
 
-        rows = cut(docs.select("doc_id", "text").mapInArrow(to_classes, "doc_id long, n_shingles long, c long, check binary"), "classes")
+        rows = cut(docs.select("doc_id", "text").mapInArrow(to_classes, "doc_id long, n_shingles long, c long, text long, check binary"), "classes")
         if rows.where("c is not null").groupBy("c").agg(F.min("check").alias("a"), F.max("check").alias("b")).where("a <> b").isEmpty():
             return rows.drop("check"), seed
     raise ValueError("class ids collide with every seed")
 
 
-def sets_of(docs: DataFrame, n: int, seed: int, wanted: DataFrame) -> DataFrame:
-    """c and set (64-bit hashes, sorted) of the wanted classes (c), one row each."""
-    spark = docs.sparkSession
-    ids = None
-    if wanted.count() <= MOST_IDS:
-        ids = spark.sparkContext.broadcast(np.sort(np.array([r.c for r in wanted.toLocalIterator()], dtype=np.int64)))
+def sets_of(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (text: the hash of a text, and c, its class) with the class's set (64-bit hashes, sorted).
+
+    Only texts whose hash is wanted are cut into shingles."""
+    rows = cut(wanted, "wanted")
+    if rows.count() <= MOST_IDS:
+        t = rows.toArrow()
+        order = np.argsort(t.column("text").to_numpy())
+        held = docs.sparkSession.sparkContext.broadcast((t.column("text").to_numpy()[order], t.column("c").to_numpy()[order]))
+    else:
+        held = None
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
-            cs, out = [], []
-            for s in shingle_sets(b.column("text"), n):
-                if len(s):
-                    c = class_of(s, seed)
-                    c = c if c < 1 << 63 else c - (1 << 64)
-                    if c in seen:
-                        continue
-                    if ids is not None:
-                        i = np.searchsorted(ids.value, c)
-                        if i == len(ids.value) or ids.value[i] != c:
-                            continue
-                    seen.add(c)
-                    cs.append(c)
-                    out.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(cs, pa.int64()), pa.array(out, pa.binary())], ["c", "set"])
-
-    found = docs.select("text").mapInArrow(to_sets, "c long, set binary")
-    return (found if ids is not None else found.join(wanted, "c", "left_semi")).dropDuplicates(["c"])
-
-
-def verified(pairs: DataFrame, docs: DataFrame, n: int, seed: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "wanted")
-    sets = cut(sets_of(docs, n, seed, wanted), "sets")
-
-    @F.pandas_udf("boolean")
-    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            shared = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * den >= max(len(x), len(y)) * num else 0
-            out.append(shared * den >= (len(x) + len(y) - shared) * num)
-        return pd.Series(out, dtype=bool)
-
-    left = pairs.join(sets.select(F.col("c").alias("a"), F.col("set").alias("x")), "a")
-    return left.join(sets.select(F.col("c").alias("b"), F.col("set").alias("y")), "b").where(similar("x", "y")).select("a", "b")
+            texts = np.array([text_hash(t or "") for t in b.column("text").to_pylist()], dtype=np.int64)
+            cs = texts
+            if held is not None:
+                names, ids = held.value
+                at = np.minimum(np.searchsorted(names, texts), len(names) - 1)
+                cs = np.where(names[at] == texts, ids[at], 0)
+                some = [i for i in np.flatnonzero(names[at] == texts).tolist() if not (texts[i] in seen or seen.add(texts[i]))]
+            else:
+                some = [i for i in range(len(texts)) if not (texts[i] in seen or seen.add(texts[i]))]
+            sets = shingle_sets(b.column("text").take(pa.array(some, pa.int64())), n)
+            yield pa.RecordBatch.from_arrays([pa.array(cs[some]), pa.array([s.tobytes() for s in sets], pa.binary())], ["c" if held is not None else "text", "set"])
+
+    if held is not None and not len(held.value[0]):
+        return docs.sparkSession.createDataFrame([], "c long, set binary")
+    found = docs.select("text").mapInArrow(to_sets, f"{'c' if held is not None else 'text'} long, set binary")
+    return found if held is not None else found.join(rows, "text").select("c", "set")
+
+
+def spanning_links(cs: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that connect what the links among these sets connect."""
+    size = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    of = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    value, owner = flat[order], of[order]
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    end = np.append(first[1:], len(value))
+    term = np.empty(len(flat), np.int64)
+    term[order] = np.repeat(np.arange(len(first)), end - first)
+    starts = np.append(0, np.cumsum(size))
+    common = end - first > 1
+    root, links = np.arange(len(sets)), []
+    for i in range(len(sets)):
+        t = term[starts[i] : starts[i + 1]]
+        t = t[common[t]]
+        if not len(t) or (root == root[i]).all():
+            continue
+        met = np.bincount(np.concatenate([owner[a:b] for a, b in zip(first[t], end[t], strict=True)]), minlength=len(sets))
+        near = (met * den >= (size + size[i] - met) * num) & (root != root[i])
+        for j in np.flatnonzero(near):
+            if root[j] != root[i]:
+                links.append((int(cs[i]), int(cs[j])))
+                root[root == root[j]] = root[i]
+    return links
+
+
+def compared(first: DataFrame, docs: DataFrame, n: int, members: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that connect the classes (b) of each candidate group (a) as far as their similarities do."""
+    counted = first.groupBy("a").agg(F.count("*").alias("_n"))
+    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
+    group = first.join(counted, "a").select("a", "b", blocks.alias("_blocks"), F.pmod(F.xxhash64("b"), blocks.cast("long")).cast("int").alias("_block"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: F.struct(F.least("_block", k).alias("x"), F.greatest("_block", k).alias("y")))
+    group = group.select("a", F.col("b").alias("c"), F.explode(pairs).alias("_xy"), "_block").select(F.xxhash64("a", "_xy.x", "_xy.y").alias("task"), "c")
+    texts = members.where("c is not null").groupBy("c").agg(F.min("text").alias("text"))
+    wanted = texts.join(first.select(F.col("b").alias("c")).distinct(), "c", "left_semi")
+    sets = sets_of(docs, n, wanted).dropDuplicates(["c"])
+
+    def link(rows: pa.Table) -> pa.Table:
+        cs = rows.column("c").to_numpy()
+        order = np.argsort(cs)
+        sets = [np.frombuffer(s, np.uint64) for s in rows.column("set").to_pylist()]
+        found = spanning_links(cs[order], [sets[i] for i in order], num, den)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return group.join(sets, "c").groupBy("task").applyInArrow(link, "a long, b long")
 
 
 def groups(links: DataFrame) -> DataFrame:
@@ -214,7 +256,7 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: tuple[int, int] = S
     bound_batches(docs.sparkSession)
     members, seed = classes(docs, n)
 
-    def to_signatures(batches: Iterator[pa.RecordBatch], second: bool = False) -> Iterator[pa.RecordBatch]:
+    def to_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
             sigs, cs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
@@ -226,37 +268,9 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: tuple[int, int] = S
             yield pa.RecordBatch.from_arrays([signed(np.concatenate(sigs)), signed(np.concatenate(cs))], ["sig", "c"])
 
     sigs = docs.select("text").mapInArrow(to_signatures, "sig long, c long")
-    shared = sigs.withColumn("_least", F.min("c").over(W.partitionBy("sig"))).withColumn("_most", F.max("c").over(W.partitionBy("sig")))
-    shared = cut(shared.where("_least < _most").select("sig", "c", "_least"), "shared")
-    first = cut(shared.where("c <> _least").select(F.col("_least").alias("a"), F.col("c").alias("b")).distinct(), "first")
-    links = cut(verified(first, docs, n, seed, num, den), "links")
-    root = groups(links)
-    # classes of a signature that are still in different groups
-    open_ = shared.select("sig", "c").join(root, "c", "left").select("sig", "c", F.coalesce("root", "c").alias("root")).distinct()
-    mixed = open_.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("_n")).where("lo < hi").select("sig", F.col("_n"))
-    open_ = cut(open_.join(mixed, "sig"), "open")
-    few = open_.where(F.col("_n") <= MANY).select("sig", "c", "root")
-    many = open_.where(F.col("_n") > MANY).select("sig", "c", "root")
-    if not many.isEmpty():
-        wanted = cut(many.select("c").distinct(), "many")
-
-        def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                out = [signatures(np.frombuffer(s, np.uint64), num, den, seed=1) for s in b.column("set").to_pylist()]
-                of = np.repeat(b.column("c").to_numpy(), [len(x) for x in out])
-                yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), signed(np.concatenate([np.zeros(0, np.uint64), *out]))], ["c", "sig2"])
-
-        more = sets_of(docs, n, seed, wanted).mapInArrow(second, "c long, sig2 long")
-        refined = many.join(more, "c").select(F.xxhash64("sig", "sig2").alias("sig"), "c", "root").distinct()
-        lone = W.partitionBy("sig")
-        refined = refined.withColumn("_lo", F.min("root").over(lone)).withColumn("_hi", F.max("root").over(lone)).where("_lo < _hi").select("sig", "c", "root")
-        few = cut(few.unionByName(refined), "few")
-    a, b = few.alias("a"), few.alias("b")
-    pairs = a.join(b, F.col("a.sig") == F.col("b.sig")).where("a.root < b.root").select(F.least("a.c", "b.c").alias("a"), F.greatest("a.c", "b.c").alias("b")).distinct()
-    pairs = cut(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    if not pairs.isEmpty():
-        links = links.unionByName(cut(verified(pairs, docs, n, seed, num, den), "links"))
-        root = groups(links)
+    shared = sigs.withColumn("a", F.min("c").over(W.partitionBy("sig"))).withColumn("_most", F.max("c").over(W.partitionBy("sig")))
+    first = cut(shared.where("a < _most").select("a", F.col("c").alias("b")).distinct(), "first")
+    root = groups(cut(compared(first, docs, n, members, num, den), "links"))
     ids = members.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("_id"))
     named = ids.join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
     named = named.join(named.groupBy("root").agg(F.min("_id").alias("_group")), "root").select("c", "_group")
