@@ -1,4 +1,4 @@
 """Registered queries and the SQL that each is compared with."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tickspark.plans import market  # noqa: F401
+from tickspark.plans.common import ORACLES, QUERIES  # noqa: F401
