@@ -147,7 +147,7 @@ def fit(docs: DataFrame, examples: int = EXAMPLES) -> tuple[LabelModel, np.ndarr
     rows = rows.mapInPandas(hash_, "doc_id long, _votes string, i array<int>, x array<float>").toPandas()
     order = rows.assign(n=[len(i) for i in rows["i"]]).sort_values(["doc_id", "n"]).index
     order = np.random.default_rng(7).permutation(order)
-    return model, train([(np.asarray(rows["i"][r]), np.asarray(rows["x"][r], float), model.posterior[rows["_votes"][r]]) for r in order])
+    return model, train([(np.asarray(rows["i"][r], np.int64), np.asarray(rows["x"][r], float), model.posterior[rows["_votes"][r]]) for r in order])
 
 
 def score(docs: DataFrame, model: LabelModel, weights: np.ndarray, keep: float = KEEP) -> DataFrame:
