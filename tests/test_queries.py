@@ -25,3 +25,12 @@ def test_the_flagship_runs(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).limit(1).count() == 1
+
+
+def test_queries_can_be_listed_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)

@@ -13,7 +13,12 @@ from tickspark.plans.market import ROLLING, half_hours, rolling_features, rounde
 from tickspark.plans.sessions import LISTED
 
 SPLIT = "2024-01-20 00:00:00"
-AT = F.lit(SPLIT).cast("timestamp_ntz")
+
+
+def at():
+    return F.lit(SPLIT).cast("timestamp_ntz")
+
+
 SIDES = f"""{BARS}, old AS (SELECT symbol, window_start, close, total_volume FROM bars WHERE window_start < TIMESTAMP '2024-01-20 00:00:00'),
   new AS (SELECT symbol, window_start, CASE WHEN day(window_start) % 2 = 0 THEN close + 1 ELSE close END AS close, total_volume FROM bars WHERE window_start >= TIMESTAMP '2024-01-18 00:00:00')"""
 
@@ -21,7 +26,7 @@ SIDES = f"""{BARS}, old AS (SELECT symbol, window_start, close, total_volume FRO
 def sides(spark, d):
     b = half_hours(spark, d).select("symbol", "window_start", "close", "total_volume")
     new = b.where(F.col("window_start") >= F.lit("2024-01-18").cast("timestamp_ntz")).withColumn("close", F.when(F.dayofmonth("window_start") % 2 == 0, F.col("close") + 1).otherwise(F.col("close")))
-    return b.where(F.col("window_start") < AT), new
+    return b.where(F.col("window_start") < at()), new
 
 
 @register("upsert_bars", f"WITH {SIDES} SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (symbol, window_start)")
@@ -73,7 +78,7 @@ def sliding_snapshot(spark, d):
 @register("legacy_snapshot", f"WITH {VERSIONED} SELECT symbol, event_timestamp, close, dataset_version FROM ver WHERE event_timestamp >= TIMESTAMP '2024-01-24 00:00:00' - INTERVAL 10 DAY")
 def legacy_snapshot(spark, d):
     v = versioned(spark, d)
-    return R.legacy_snapshot(v.where(F.col("event_timestamp") < AT), v.unionByName(v), F.lit("2024-01-24").cast("timestamp_ntz"), 10)
+    return R.legacy_snapshot(v.where(F.col("event_timestamp") < at()), v.unionByName(v), F.lit("2024-01-24").cast("timestamp_ntz"), 10)
 
 
 @register("latest_publication", f"WITH {LEDGER} SELECT arg_max(dataset_id, max_event_time) AS dataset_id, max(max_event_time) AS max_event_time FROM led WHERE status = 'complete' AND NOT historical")
@@ -127,8 +132,8 @@ def labelled(spark, d):
 @register("online_latest", f"WITH {ONLINE} SELECT * FROM online")
 def online_latest(spark, d):
     b = labelled(spark, d)
-    first = P.latest_per_key(b.where(F.col("event_timestamp") <= AT), ["close", "total_volume"])
-    return P.materialise(first, b, AT, F.lit("2025-01-01").cast("timestamp_ntz"), ["close", "total_volume"])
+    first = P.latest_per_key(b.where(F.col("event_timestamp") <= at()), ["close", "total_volume"])
+    return P.materialise(first, b, at(), F.lit("2025-01-01").cast("timestamp_ntz"), ["close", "total_volume"])
 
 
 @register("online_lookup", f"WITH {ONLINE} SELECT r.symbol, event_timestamp, close, o.symbol IS NULL AS missing FROM (SELECT unnest(['click', 'view', 'nobody']) AS symbol) r LEFT JOIN online o ON r.symbol = o.symbol")

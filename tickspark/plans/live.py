@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickspark.plans.common import BARS, TRADES, read, register, trades
-from tickspark.plans.market import MOMENT, REASONS, half_hours, rounded
+from tickspark.plans.market import REASONS, half_hours, moment, rounded
 from tickspark.schemas import BAR
 from tickspark.sources import releases
 from tickspark.sources.tables import VersionedTable, workspace
@@ -36,7 +36,7 @@ def stream_ohlcv(spark, d):
 @register("stream_dead_letter", f"WITH {TRADES}, faulty AS (SELECT * REPLACE (CASE WHEN event_id % 83 = 0 THEN ' ' ELSE symbol END AS symbol, CASE WHEN event_id % 97 = 0 THEN -1.0 ELSE price END AS price) FROM trades), tagged AS (SELECT event_id, {REASONS}) SELECT coalesce(dq_reason, 'valid') AS dq_reason, count(*) AS n FROM tagged GROUP BY 1")
 def stream_dead_letter(spark, d):
     w = workspace(spark, "stream-split")
-    write = live.split_writer(f"{w}/bronze", f"{w}/dead", MOMENT.cast("timestamp"))
+    write = live.split_writer(f"{w}/bronze", f"{w}/dead", moment().cast("timestamp"))
     live.each_batch(faulty_stream(spark, d), write, f"{w}/checkpoint", ONCE, "split").awaitTermination()
     valid, dead = spark.read.parquet(f"{w}/bronze"), spark.read.parquet(f"{w}/dead")
     tags = valid.select(F.lit("valid").alias("dq_reason")).unionByName(dead.select("dq_reason"))

@@ -9,7 +9,9 @@ from tickspark.operators import quality as Q
 from tickspark.plans.common import AS_OF, BARS, FAULTY, GAPPY, SYMBOLS, TRADES, faulty, register, trades
 from tickspark.sources import trades as T
 
-MOMENT = F.lit(AS_OF).cast("timestamp_ntz")
+
+def moment():
+    return F.lit(AS_OF).cast("timestamp_ntz")
 
 
 def half_hours(spark, d):
@@ -46,22 +48,22 @@ TAGGED = f"WITH {FAULTY}, tagged AS (SELECT event_id, symbol, price, volume, tim
 
 @register("trades_valid", f"{TAGGED} SELECT event_id, symbol, price, volume, timestamp, event_time FROM tagged WHERE dq_reason IS NULL")
 def trades_valid(spark, d):
-    return Q.split(faulty(spark, d), MOMENT)[0]
+    return Q.split(faulty(spark, d), moment())[0]
 
 
 @register("trades_dead_letter", f"{TAGGED} SELECT event_id, symbol, price, volume, timestamp, event_time, dq_reason, TIMESTAMP '2024-01-20 00:00:00' AS ingested_at FROM tagged WHERE dq_reason IS NOT NULL")
 def trades_dead_letter(spark, d):
-    return Q.split(faulty(spark, d), MOMENT)[1]
+    return Q.split(faulty(spark, d), moment())[1]
 
 
 @register("dead_letter_counts", f"{TAGGED} SELECT dq_reason, count(*) AS n FROM tagged WHERE dq_reason IS NOT NULL GROUP BY 1")
 def dead_letter_counts(spark, d):
-    return Q.reason_counts(Q.split(faulty(spark, d), MOMENT)[1])
+    return Q.reason_counts(Q.split(faulty(spark, d), moment())[1])
 
 
 @register("late_events", f"WITH {TRADES} SELECT event_id, symbol, event_time FROM trades WHERE event_time < TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 5 MINUTE")
 def late_events(spark, d):
-    return trades(spark, d).where(Q.is_late(MOMENT)).select("event_id", "symbol", "event_time")
+    return trades(spark, d).where(Q.is_late(moment())).select("event_id", "symbol", "event_time")
 
 
 @register("strict_trades", f"""WITH {FAULTY} SELECT event_id, coalesce(symbol IN ('click', 'purchase', 'view') AND price > 0 AND volume > 0 AND timestamp >= 1000000000000 AND timestamp < 100000000000000, FALSE) AS valid FROM faulty""")
@@ -151,7 +153,7 @@ def returns(spark, d):
 SELECT window_start, window_end, symbol, open, high, low, close, total_volume FROM p WHERE r <= 60 UNION ALL SELECT * FROM bars WHERE window_start >= TIMESTAMP '2024-01-20 00:00:00' AND window_start < TIMESTAMP '2024-01-20 06:30:00'""",
 )
 def bounded_history(spark, d):
-    return B.bounded_history(half_hours(spark, d), MOMENT, MOMENT + F.expr("interval 390 minutes"))
+    return B.bounded_history(half_hours(spark, d), moment(), moment() + F.expr("interval 390 minutes"))
 
 
 @register("time_index", f"WITH {BARS} SELECT symbol, window_start, row_number() OVER (PARTITION BY symbol ORDER BY window_start)::INTEGER - 1 AS time_idx FROM bars")

@@ -10,7 +10,7 @@ from tickspark.operators import monitoring as M
 from tickspark.operators import universe as U
 from tickspark.operators.pointintime import latest_per_key
 from tickspark.plans.common import BARS, TRADES, read, register, trades
-from tickspark.plans.features import AT, labelled
+from tickspark.plans.features import at, labelled
 from tickspark.plans.market import ROLLING, half_hours, rolling_features, rounded
 
 #: Paths of 13 steps from the events; the second model is worse.
@@ -135,7 +135,7 @@ COLUMNS = ["close", "high", "low", "total_volume"]
 
 def periods(spark, d):
     b = labelled(spark, d)
-    return b.where(F.col("event_timestamp") < AT), b.where(F.col("event_timestamp") >= AT)
+    return b.where(F.col("event_timestamp") < at()), b.where(F.col("event_timestamp") >= at())
 
 
 MELTED = f"""{BARS}, s AS (SELECT symbol, feature, round(value, 6) AS value, (window_end >= TIMESTAMP '2024-01-20 00:00:00')::INT AS side FROM (SELECT symbol, window_end, unnest(['close', 'high', 'low', 'total_volume']) AS feature, unnest([close, high, low, total_volume::DOUBLE]) AS value FROM bars))"""
