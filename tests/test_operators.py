@@ -160,3 +160,11 @@ def test_empty_tables(spark):
     assert V.tick_coverage(trades, day(spark)).isEmpty()
     assert V.missing_bars(none, day(spark), ["A"]).count() == 13
     assert Q.split(trades)[0].isEmpty() and Q.duplicate_payloads(trades).isEmpty()
+
+
+def test_bounded_collect(spark):
+    from tickspark.functions.bounded import TooManyRows, collect_bounded
+
+    assert len(collect_bounded(spark.range(5), 5)) == 5
+    with pytest.raises(TooManyRows):
+        collect_bounded(spark.range(6), 5)

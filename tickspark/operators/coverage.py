@@ -114,3 +114,15 @@ def content_digest(bars: DataFrame, by: Sequence[str] = ("symbol",)) -> DataFram
     groups = day.groupBy(*by, "_day").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_h")), ""), 256).alias("_h"))
     keyed = groups.select(F.concat_ws("|", *by, "_day", "_h").alias("_k"))
     return keyed.agg(F.count("*").alias("groups"), F.sha2(F.array_join(F.array_sort(F.collect_list("_k")), ""), 256).alias("digest"))
+
+
+def request_guards(requests: DataFrame, most_days: int = 730) -> DataFrame:
+    """``requests`` (start_date, end_date, retrieved_at) with the reasons that refuse them, an empty array if none."""
+    days = F.date_diff("end_date", "start_date")
+    found = F.array(
+        F.when(F.col("start_date").isNull() | F.col("end_date").isNull(), "missing_date"),
+        F.when(days < 0, "dates_out_of_order"),
+        F.when(days > most_days, "range_too_long"),
+        F.when(F.col("retrieved_at") < F.col("end_date"), "unfinished_range"),
+    )
+    return requests.withColumn("refused", F.array_compact(found))

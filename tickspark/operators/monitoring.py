@@ -49,3 +49,9 @@ def readiness(online: DataFrame, offline: DataFrame, required: Column) -> DataFr
     both = last.join(online.select("symbol", F.col("close").alias("online_close")), "symbol", "left")
     near = F.abs(F.col("offline_close") - F.col("online_close")) <= F.greatest(F.lit(1e-4), 1e-5 * F.abs("offline_close"))
     return both.withColumns({"fresh": F.col("cutoff") >= required, "parity": F.coalesce(near, F.lit(False))}).withColumn("ready", F.col("fresh") & F.col("parity"))
+
+
+def snapshot_freshness(rows: DataFrame, now: Column, time: str = "event_timestamp") -> DataFrame:
+    """One row: the newest time and its age in seconds."""
+    age = (F.unix_millis(now.cast("timestamp")) - F.unix_millis(F.max(time).cast("timestamp"))) / 1000
+    return rows.agg(F.max(time).alias("newest"), age.alias("staleness_seconds"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickspark.operators import calendar as C
 from tickspark.operators import coverage as V
-from tickspark.plans.common import BARS, SYMBOLS, TRADES, register, trades
+from tickspark.plans.common import BARS, SYMBOLS, TRADES, read, register, trades
 from tickspark.plans.market import half_hours
 
 LISTED = ", ".join(f"'{s}'" for s in SYMBOLS)
@@ -144,3 +144,42 @@ def recovery_coverage(spark, d):
 @register("content_digest")
 def content_digest(spark, d):
     return V.content_digest(half_hours(spark, d))
+
+
+@register("request_guards", """WITH q AS (SELECT o_orderkey, o_orderdate::DATE AS start_date, (o_orderdate::DATE + (o_orderkey % 900)::INTEGER) - 100 AS end_date FROM orders)
+SELECT o_orderkey, array_to_string(list_filter([CASE WHEN end_date < start_date THEN 'dates_out_of_order' END, CASE WHEN end_date - start_date > 730 THEN 'range_too_long' END, CASE WHEN DATE '1998-01-01' < end_date THEN 'unfinished_range' END], lambda x: x IS NOT NULL), ',') AS refused FROM q""")
+def request_guards(spark, d):
+    o = read(spark, d, "orders").withColumn("start_date", F.to_date("o_orderdate"))
+    q = o.select("o_orderkey", "start_date", F.date_add("start_date", (F.col("o_orderkey") % 900 - 100).cast("int")).alias("end_date"), F.lit("1998-01-01").cast("date").alias("retrieved_at"))
+    return V.request_guards(q).select("o_orderkey", F.array_join("refused", ",").alias("refused"))
+
+
+@register("snapshot_freshness", f"WITH {BARS} SELECT max(window_end) AS newest, epoch_us(TIMESTAMP '2024-02-02 00:00:00' - max(window_end)) / 1000000.0::DOUBLE AS staleness_seconds FROM bars".replace("epoch_us(TIMESTAMP '2024-02-02 00:00:00' - max(window_end))", "(epoch_us(TIMESTAMP '2024-02-02 00:00:00') - epoch_us(max(window_end)))"))
+def snapshot_freshness(spark, d):
+    from tickspark.operators.monitoring import snapshot_freshness as fresh
+
+    return fresh(half_hours(spark, d), F.lit("2024-02-02").cast("timestamp_ntz"), "window_end")
+
+
+@register("allowed_symbols", f"WITH {TRADES} SELECT event_id, 'CLICK' AS symbol FROM trades WHERE symbol = 'click'")
+def allowed_symbols(spark, d):
+    from tickspark.operators.quality import allow_symbols
+
+    return allow_symbols(trades(spark, d).select("event_id", F.concat(F.lit(" "), "symbol").alias("symbol")), ["Click "])
+
+
+@register(
+    "prediction_frame",
+    f"""WITH {GRID}, {BARS}, h AS (SELECT symbol, window_end AS event_timestamp, close, total_volume FROM bars WHERE window_end <= TIMESTAMP '2024-01-12 18:00:00'), l AS (SELECT symbol, max(event_timestamp) AS last, arg_max(close, event_timestamp) AS close, arg_max(total_volume, event_timestamp) AS total_volume FROM h GROUP BY symbol),
+n AS (SELECT symbol, close, total_volume, window_start + INTERVAL 30 MINUTE AS event_timestamp, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS k FROM l JOIN starts ON window_start + INTERVAL 30 MINUTE > last),
+u AS (SELECT symbol, event_timestamp, close, total_volume FROM h UNION ALL SELECT symbol, event_timestamp, close, total_volume FROM n WHERE k <= 39)
+SELECT symbol, event_timestamp, row_number() OVER w::INTEGER - 1 AS time_idx, CASE WHEN (event_timestamp - INTERVAL 5 HOUR)::DATE IN (DATE '2024-01-01', DATE '2024-01-15') THEN '1.0' ELSE '0.0' END AS is_holiday, hour(event_timestamp)::INTEGER AS hour, round(ln(close), 8) AS log_close,
+  round(coalesce(ln(close) - lag(ln(close)) OVER w, 0), 8) + 0.0 AS target FROM u WINDOW w AS (PARTITION BY symbol ORDER BY event_timestamp)""".replace("row_number() OVER w::INTEGER", "(row_number() OVER w)::INTEGER"),
+)
+def prediction_frame(spark, d):
+    from tickspark.operators.training import prediction_frame as frame
+
+    b = half_hours(spark, d).where(F.col("window_end") <= F.lit("2024-01-12 18:00:00").cast("timestamp_ntz")).select("symbol", F.col("window_end").alias("event_timestamp"), "close", "total_volume")
+    latest = b.groupBy("symbol").agg(F.max("event_timestamp").alias("event_timestamp"))
+    out = frame(b, C.future_bars(latest, sess(spark, d), 39))
+    return out.select("symbol", "event_timestamp", "time_idx", "is_holiday", "hour", F.round("log_close", 8).alias("log_close"), (F.round("target", 8) + 0.0).alias("target"))
