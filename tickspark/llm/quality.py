@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,10 @@ EXAMPLES = 8000
 WIDTH = 1 << 18
 KEEP = 0.4
 SHAPE = bytes(120 if 97 <= b <= 122 or b >= 128 else 88 if 65 <= b <= 90 else 57 if 48 <= b <= 57 else b for b in range(256))
+UPPER, DIGITS, SPACES = (bytes(b for b in range(256) if SHAPE[b] == c) for c in b"X9 ")
+SPACES += b"\t\n\r\x0b\x0c"
+LOWER = bytes(b for b in range(256) if SHAPE[b] == 120)
+WORDY = UPPER + LOWER + DIGITS
 RUNS = re.compile(rb"(.)\1+", re.DOTALL)
 
 
@@ -37,6 +42,10 @@ def vote(junk: bool, good: bool) -> int:
     return 0 if junk else 1 if good else -1
 
 
+def number_of(text: bytes, some: bytes) -> int:
+    return len(text) - len(text.translate(None, some))
+
+
 def votes_of(text: bytes | None) -> list[int]:
     """One vote a labeller: repetition, variety, symbols, capitals, wordless tokens, sentence marks, word length, digits, echoes."""
     w = text.split() if text else []
@@ -44,12 +53,11 @@ def votes_of(text: bytes | None) -> list[int]:
     if n < 8:
         return [-1] * 9
     counts = Counter(w)
-    shape = Counter(text.translate(SHAPE))
-    size = len(text) - shape[32] - shape[10] - shape[9] - shape[13]
-    lower, upper, digit = shape[120] / size, shape[88] / size, shape[57] / size
-    symbols = 1 - lower - upper - digit
-    top, variety = counts.most_common(1)[0][1] / n, len(counts) / n
-    bare = sum(m for x, m in counts.items() if not any(c >= 128 or 65 <= c <= 90 or 97 <= c <= 122 or 48 <= c <= 57 for c in x)) / n
+    size = len(text) - number_of(text, SPACES)
+    upper, digit = number_of(text, UPPER) / size, number_of(text, DIGITS) / size
+    symbols = 1 - number_of(text, WORDY) / size
+    top, variety = max(counts.values()) / n, len(counts) / n
+    bare = sum(m for x, m in counts.items() if x.translate(None, WORDY) == x) / n
     marks = sum(m for x, m in counts.items() if x[-1] in b".,;:!?") / n
     length = size / n
     echo = sum(a == b for a, b in zip(w, w[1:])) / n  # noqa: B905
@@ -107,15 +115,22 @@ class LabelModel:
         self.prior, self.posterior = float(prior), dict(zip(names, q.tolist(), strict=True))
 
 
+@lru_cache(maxsize=1 << 17)
+def buckets(w: bytes) -> tuple[int, int]:
+    """Where a word and its shape are counted."""
+    return zlib.crc32(w) % WIDTH, zlib.crc32(b"\0" + RUNS.sub(rb"\1", w.translate(SHAPE))) % WIDTH
+
+
 def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words and shapes of words, and how much the commonest word repeats; of length 1 in all."""
     counts = Counter(text.split()) if text else Counter()
     total: Counter = Counter()
     for w, n in counts.items():
-        total[zlib.crc32(w) % WIDTH] += n
-        total[zlib.crc32(b"\0" + RUNS.sub(rb"\1", w.translate(SHAPE))) % WIDTH] += n
+        word, shape = buckets(w)
+        total[word] += n
+        total[shape] += n
     if counts:
-        share = counts.most_common(1)[0][1] / counts.total()
+        share = max(counts.values()) / counts.total()
         total[zlib.crc32(b"\1%d" % int(10 * share)) % WIDTH] += 2 * counts.total()
     i, x = np.fromiter(total.keys(), np.int64, len(total)), np.fromiter(total.values(), np.float64, len(total))
     return i, x / np.sqrt((x * x).sum()) if len(x) else x
