@@ -6,10 +6,12 @@ feature domain is dealt to ``k + 1 + t`` partitions; two such sets agree in at l
 each partition (the set's elements in it) is shared. A set with at most ``t`` empty partitions leaves these out, for it
 agrees with any partner in another one; the few sets with more give signatures for the empty ones too. Nothing is missed.
 
-Documents with the same set are one class before any of this; classes are joined, copies never. All signatures with the same
-smallest class make one candidate group, which holds their classes once each. A group is cut into blocks, and each pair of
-blocks is a task's work: the sets that meet there are compared in full through their inverted index, and of the links found
-only those that connect what was apart are sent on, at most one a set. So the links are exact and pairs are never listed.
+Documents with the same set are one class before any of this; classes are joined, copies never. All signatures of a band with
+the same smallest class make one candidate group, which holds their classes once each. A group is cut into blocks, and each
+pair of blocks is a task's work. First only sketches meet (how many elements lie in each of 128 buckets; the differences of
+two sketches never add up to more than the sets differ), and classes that can't link to any other of the group leave it. Then
+the sets of the rest are compared in full through their inverted index, and of the links found only those that connect
+what was apart are sent on, at most one a set. So the links are exact and pairs are never listed.
 
 Defined cases: a text with fewer than n words is one shingle of all its words; null, empty and blank texts have no set and
 are alone; repeated rows are copies; a null doc_id can have links but never names a group (a group of only such ids has the
@@ -39,6 +41,8 @@ SIMILARITY = (80, 100)
 MOST_IDS = 4_000_000
 #: Sets of a candidate group that are compared in one go; a larger group makes a task for each pair of blocks.
 BLOCK = 256
+#: Buckets of a sketch, a power of two.
+BUCKETS = 128
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -91,7 +95,7 @@ def parts_of(band: int, num: int, den: int) -> tuple[int, int]:
     return k + 1 + t, t
 
 
-def signatures(s: np.ndarray, num: int, den: int, seed: int = 0) -> np.ndarray:
+def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
     """Of a set, for its band and the next."""
     size = len(s)
     all_bands = bands(num, den)
@@ -101,15 +105,16 @@ def signatures(s: np.ndarray, num: int, den: int, seed: int = 0) -> np.ndarray:
         parts, spare = parts_of(j, num, den)
         if not parts or not size:
             continue
-        x = mix(s, 11 + seed)
+        x = mix(s, 11)
         part = ((x >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         x = mix(s, 1001)
         low = np.bincount(part, weights=(x & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=parts).astype(np.uint64)
         high = np.bincount(part, weights=(x >> np.uint64(32)).astype(np.float64), minlength=parts).astype(np.uint64)
         number = np.bincount(part, minlength=parts)
         with np.errstate(over="ignore"):
-            sums = mix(low + (high << np.uint64(32)), 3) + mix(np.arange(parts, dtype=np.uint64) + np.uint64(j << 32) + np.uint64(seed << 60), 5)
-        out.append(mix(sums)[number > 0] if (number == 0).sum() <= spare else mix(sums))
+            sums = mix(low + (high << np.uint64(32)), 3) + mix(np.arange(parts, dtype=np.uint64) + np.uint64(j << 32), 5)
+        sums = (mix(sums) & ~np.uint64(63)) | np.uint64(j & 63)  # the last bits tell the band
+        out.append(sums[number > 0] if (number == 0).sum() <= spare else sums)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -121,6 +126,10 @@ def class_of(s: np.ndarray, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes(), seed)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((mix(s, 77) >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+
+
 def text_hash(text: str) -> int:
     h = xxhash.xxh3_64_intdigest(text)
     return h if h < 1 << 63 else h - (1 << 64)
@@ -137,15 +146,16 @@ def classes(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
 
         def to_classes(batches: Iterator[pa.RecordBatch], seed: int = seed) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                sizes, ids, checks = [], [], []
+                sizes, ids, checks, sketches = [], [], [], []
                 for s in shingle_sets(b.column("text"), n):
                     sizes.append(len(s))
                     ids.append(signed_int(class_of(s, seed)) if len(s) else None)
                     checks.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                    sketches.append(sketch(s) if len(s) else None)
                 texts = [text_hash(t or "") for t in b.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(checks, pa.binary())], ["doc_id", "n_shingles", "c", "text", "check"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(checks, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "n_shingles", "c", "text", "check", "sketch"])
 
-        rows = cut(docs.select("doc_id", "text").mapInArrow(to_classes, "doc_id long, n_shingles long, c long, text long, check binary"), "classes")
+        rows = cut(docs.select("doc_id", "text").mapInArrow(to_classes, "doc_id long, n_shingles long, c long, text long, check binary, sketch binary"), "classes")
         if rows.where("c is not null").groupBy("c").agg(F.min("check").alias("a"), F.max("check").alias("b")).where("a <> b").isEmpty():
             return rows.drop("check"), seed
     raise ValueError("class ids collide with every seed")
@@ -212,15 +222,35 @@ def spanning_links(cs: np.ndarray, sets: list[np.ndarray], num: int, den: int) -
     return links
 
 
-def compared(first: DataFrame, docs: DataFrame, n: int, members: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) that connect the classes (b) of each candidate group (a) as far as their similarities do."""
-    counted = first.groupBy("a").agg(F.count("*").alias("_n"))
-    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
-    group = first.join(counted, "a").select("a", "b", blocks.alias("_blocks"), F.pmod(F.xxhash64("b"), blocks.cast("long")).cast("int").alias("_block"))
+def in_blocks(group: DataFrame) -> DataFrame:
+    """(g, c) to (task, g, c): a class is in a task for each pair of blocks that its own block is in."""
+    counted = group.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    of = group.join(counted, "g").withColumn("_block", F.pmod(F.xxhash64("c"), F.col("_blocks").cast("long")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: F.struct(F.least("_block", k).alias("x"), F.greatest("_block", k).alias("y")))
-    group = group.select("a", F.col("b").alias("c"), F.explode(pairs).alias("_xy"), "_block").select(F.xxhash64("a", "_xy.x", "_xy.y").alias("task"), "c")
+    return of.select("g", "c", F.explode(pairs).alias("_xy")).select(F.xxhash64("g", "_xy.x", "_xy.y").alias("task"), "g", "c")
+
+
+def may_link(group: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
+    """The classes (g, c) of each group that some other class of it could be linked to, by sizes and sketches."""
+
+    def keep(rows: pa.Table) -> pa.Table:
+        size = rows.column("n_shingles").to_numpy()
+        x = np.stack([np.frombuffer(s, np.uint8) for s in rows.column("sketch").to_pylist()]).astype(np.int16)
+        near = np.zeros(len(size), bool)
+        for i in range(len(size)):
+            far = np.abs(x - x[i]).sum(1) * (den + num) > (size + size[i]) * (den - num)
+            far[i] = True
+            near[i] = not far.all()
+        return rows.select(["g", "c"]).filter(pa.array(near))
+
+    classes_ = members.where("c is not null").groupBy("c").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    return in_blocks(group).join(classes_, "c").groupBy("task").applyInArrow(keep, "g long, c long").distinct()
+
+
+def compared(group: DataFrame, docs: DataFrame, n: int, members: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that connect the classes (c) of each candidate group (g) as far as their similarities do."""
     texts = members.where("c is not null").groupBy("c").agg(F.min("text").alias("text"))
-    wanted = texts.join(first.select(F.col("b").alias("c")).distinct(), "c", "left_semi")
+    wanted = texts.join(group.select("c").distinct(), "c", "left_semi")
     sets = sets_of(docs, n, wanted).dropDuplicates(["c"])
 
     def link(rows: pa.Table) -> pa.Table:
@@ -230,7 +260,7 @@ def compared(first: DataFrame, docs: DataFrame, n: int, members: DataFrame, num:
         found = spanning_links(cs[order], [sets[i] for i in order], num, den)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return group.join(sets, "c").groupBy("task").applyInArrow(link, "a long, b long")
+    return in_blocks(group).select("task", "c").join(sets, "c").groupBy("task").applyInArrow(link, "a long, b long")
 
 
 def groups(links: DataFrame) -> DataFrame:
@@ -269,8 +299,9 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: tuple[int, int] = S
 
     sigs = docs.select("text").mapInArrow(to_signatures, "sig long, c long")
     shared = sigs.withColumn("a", F.min("c").over(W.partitionBy("sig"))).withColumn("_most", F.max("c").over(W.partitionBy("sig")))
-    first = cut(shared.where("a < _most").select("a", F.col("c").alias("b")).distinct(), "first")
-    root = groups(cut(compared(first, docs, n, members, num, den), "links"))
+    group = shared.where("a < _most").select(F.xxhash64("a", F.col("sig").bitwiseAND(F.lit(63))).alias("g"), "c").distinct()
+    group = cut(may_link(cut(group, "group"), members, num, den), "group")
+    root = groups(cut(compared(group, docs, n, members, num, den), "links"))
     ids = members.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("_id"))
     named = ids.join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
     named = named.join(named.groupBy("root").agg(F.min("_id").alias("_group")), "root").select("c", "_group")
