@@ -40,7 +40,7 @@ SIMILARITY = (80, 100)
 #: Classes are sent to every executor up to this many (64 MB); more are joined.
 MOST_IDS = 4_000_000
 #: Sets of a candidate group that are compared in one go; a larger group makes a task for each pair of blocks.
-BLOCK = 256
+BLOCK = 512
 #: Buckets of a sketch, a power of two.
 BUCKETS = 128
 
