@@ -8,7 +8,7 @@ agrees with any partner in another one; the few sets with more give signatures f
 
 Documents with the same set are one class before any of this; classes are joined, copies never. All signatures of a band with
 the same smallest class make one candidate group, which holds their classes once each. A group is cut into blocks, and each
-pair of blocks is a task's work. First only sketches meet (how many elements lie in each of 128 buckets; the differences of
+pair of blocks is a task's work. First only sketches meet (how many elements lie in each of some buckets; the differences of
 two sketches never add up to more than the sets differ), and classes that can't link to any other of the group leave it. Then
 the sets of the rest are compared in full through their inverted index, and of the links found only those that connect
 what was apart are sent on, at most one a set. So the links are exact and pairs are never listed.
@@ -41,7 +41,7 @@ SIMILARITY = (80, 100)
 MOST_IDS = 4_000_000
 #: Sets of a candidate group that are compared in one go; a larger group makes a task for each pair of blocks.
 BLOCK = 512
-#: Buckets of a sketch, a power of two.
+#: Buckets of the smallest sketch; larger sets have powers of two with 4 to 8 elements a bucket.
 BUCKETS = 128
 
 
@@ -127,7 +127,15 @@ def class_of(s: np.ndarray, seed: int) -> int:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((mix(s, 77) >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+    """How many elements lie in each bucket, up to 255."""
+    n = max(BUCKETS, 1 << max(0, (len(s) // 4).bit_length() - 1))
+    return np.minimum(np.bincount((mix(s, 77) >> np.uint64(32)).astype(np.int64) % n, minlength=n), 255).astype(np.uint8).tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows with as many buckets as the smallest has."""
+    least = min(len(x) for x in sketches)
+    return np.stack([np.frombuffer(x, np.uint8).astype(np.int32).reshape(-1, least).sum(0) for x in sketches])
 
 
 def text_hash(text: str) -> int:
@@ -235,7 +243,7 @@ def may_link(group: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
 
     def keep(rows: pa.Table) -> pa.Table:
         size = rows.column("n_shingles").to_numpy()
-        x = np.stack([np.frombuffer(s, np.uint8) for s in rows.column("sketch").to_pylist()]).astype(np.int16)
+        x = folded(rows.column("sketch").to_pylist())
         near = np.zeros(len(size), bool)
         for i in range(len(size)):
             far = np.abs(x - x[i]).sum(1) * (den + num) > (size + size[i]) * (den - num)
