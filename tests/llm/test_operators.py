@@ -167,6 +167,16 @@ def test_katz_with_a_small_vocabulary_keeps_the_exact_base(spark):
         assert (r.n_tokens, r.n_known) == want[r.doc_id][:2] and r.base_score == pytest.approx(want[r.doc_id][3], abs=1e-8) and r.score <= 0
 
 
+@pytest.mark.parametrize("cached", [0, 1, 10])
+def test_katz_models_words_outside_the_cache(spark, cached):
+    rows = corpus(120)
+    rows += [(120 + i, f"w0 rare{i} w1 rare{i // 2} w2", "a") for i in range(40)]
+    want = brute_katz([(i, t) for i, t, _ in rows])
+    for r in katz.score(frame(spark, rows), vocabulary=cached).collect():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3]
+        assert (r.base_score, r.score) == pytest.approx(want[r.doc_id][3:], abs=1e-8)
+
+
 def test_katz_on_odd_rows(spark):
     got = katz.score(odd(spark)).collect()
     assert len(got) == 12 and all(math.isfinite(r.score) and r.score <= 0 for r in got)
