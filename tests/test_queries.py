@@ -21,6 +21,12 @@ def test_every_oracle_has_a_query():
     assert set(plans.ORACLES) <= set(plans.QUERIES)
 
 
+def test_sequence_examples_of_every_origin(spark, sf):
+    every, some = plans.QUERIES["sequence_examples_all"](spark, sf), plans.QUERIES["sequence_examples"](spark, sf)
+    assert every.where("time_idx % 4 <> 0").count() > 0
+    assert every.where("time_idx % 4 = 0").exceptAll(some).isEmpty() and every.where("time_idx % 4 = 0").count() == some.count()
+
+
 def test_the_flagship_runs(spark):
     import __spark_entry__
 

@@ -243,6 +243,13 @@ def purged_windows(spark, d):
     return TR.purged_windows(index(spark, d).where("in_holdout").drop("in_holdout"), 3, HORIZON)
 
 
+def examples(spark, d, stride):
+    rows = TR.time_index(labelled(spark, d).select("symbol", "event_timestamp", "close"), "event_timestamp")
+    ex = TR.sequence_examples(rows, ["close"], ENCODER, HORIZON, stride)
+    total = F.aggregate("encoder", F.lit(0.0), lambda a, x: a + x["close"])
+    return ex.select("symbol", "time_idx", F.size("encoder").alias("encoder_length"), F.size("decoder").alias("decoder_length"), F.element_at("encoder", 1)["close"].alias("encoder_first"), F.element_at("decoder", -1)["close"].alias("decoder_last"), F.round(total, 6).alias("encoder_sum"))
+
+
 @register(
     "sequence_examples",
     f"""WITH {SPLITS}, e AS (SELECT symbol, time_idx, count(*) OVER a AS encoder_length, count(*) OVER b AS decoder_length, first_value(close) OVER a AS encoder_first, last_value(close) OVER b AS decoder_last, round(sum(close) OVER a, 6) AS encoder_sum FROM rows
@@ -250,7 +257,14 @@ def purged_windows(spark, d):
 SELECT symbol, time_idx, encoder_length::INTEGER AS encoder_length, decoder_length::INTEGER AS decoder_length, encoder_first, decoder_last, encoder_sum FROM e WHERE encoder_length >= 48 AND time_idx % 4 = 0""",
 )
 def sequence_examples(spark, d):
-    rows = TR.time_index(labelled(spark, d).select("symbol", "event_timestamp", "close"), "event_timestamp")
-    ex = TR.sequence_examples(rows, ["close"], ENCODER, HORIZON, 4)
-    total = F.aggregate("encoder", F.lit(0.0), lambda a, x: a + x["close"])
-    return ex.select("symbol", "time_idx", F.size("encoder").alias("encoder_length"), F.size("decoder").alias("decoder_length"), F.element_at("encoder", 1)["close"].alias("encoder_first"), F.element_at("decoder", -1)["close"].alias("decoder_last"), F.round(total, 6).alias("encoder_sum"))
+    return examples(spark, d, 4)
+
+
+@register(
+    "sequence_examples_all",
+    f"""WITH {SPLITS}, e AS (SELECT symbol, time_idx, count(*) OVER a AS encoder_length, count(*) OVER b AS decoder_length, first_value(close) OVER a AS encoder_first, last_value(close) OVER b AS decoder_last, round(sum(close) OVER a, 6) AS encoder_sum FROM rows
+  WINDOW a AS (PARTITION BY symbol ORDER BY time_idx ROWS BETWEEN 96 PRECEDING AND 1 PRECEDING), b AS (PARTITION BY symbol ORDER BY time_idx ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING))
+SELECT symbol, time_idx, encoder_length::INTEGER AS encoder_length, decoder_length::INTEGER AS decoder_length, encoder_first, decoder_last, encoder_sum FROM e WHERE encoder_length >= 48""",
+)
+def sequence_examples_all(spark, d):
+    return examples(spark, d, 1)
