@@ -321,6 +321,17 @@ def test_a_broken_off_batch_is_overwritten(spark):
     assert totals(t) == {("a", "en"): (1, 5)}
 
 
+def test_rows_that_share_an_id_or_have_none_all_count(spark, tmp_path):
+    from tickspark.llm import queries
+
+    rows = [(None, "no id"), (None, "none here either"), (1, "a b"), (1, "c d e"), (1, "a b"), (2, "junk"), (2, "more junk"), (3, "toxic one"), (3, "toxic two too")]
+    frame(spark, [(i, t, "s") for i, t in rows]).select("doc_id", "text", "lang", "source").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(2, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {(r.source, r.tokenizer): (r.docs, r.tokens) for r in queries.op6_token_counts(spark, str(tmp_path)).collect()}
+    assert got["s", "words-1"] == (5, 12) and got["quarantine", "words-1"] == (2, 5)
+    assert got["s", "byte-bpe-50k-1"][0] == 5 and got["quarantine", "byte-bpe-50k-1"][0] == 2
+
+
 def test_token_counts_of_odd_rows(spark):
     got = token_rollup.count_tokens(odd(spark), VOCABULARY, "v").collect()
     assert len(got) == 24

@@ -35,7 +35,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches: all documents come in; those labelled junk go; those labelled toxic move to a source of their own."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     rollup = token_rollup.TokenRollup(spark, scratch(spark, "rollup"))
-    counted = cut(token_rollup.count_tokens(docs, VOCABULARY, "byte-bpe-50k-1"), "counts")
+    counted = cut(token_rollup.count_tokens(docs, VOCABULARY, "byte-bpe-50k-1").withColumn("copy", F.monotonically_increasing_id()), "counts")  # every row counts
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     rollup.commit(1, counted.withColumn("op", F.lit("insert")))
     rollup.commit(2, counted.join(marks.where("quality = 0"), "doc_id", "left_semi").withColumn("op", F.lit("delete")))

@@ -9,8 +9,9 @@ mark; running it again overwrites what it left. A batch with a mark is not appli
 
 Defined cases: an insert of a known document revises it, a revision of an unknown one inserts it, a delete of an unknown one
 changes nothing; of several changes to one document in a batch the one with the highest ``seq`` holds; null texts count 0;
-null sources and languages are groups of their own; a null doc_id is one document; null counts are 0; batches must come in
-the order of their numbers.
+null sources and languages are groups of their own; null counts are 0; batches must come in the order of their numbers. A
+document is a doc_id and, where changes have such a column, its ``copy``: rows that share an id, or have none, count as one
+document unless their copies differ.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from tickspark.llm.common import bound_batches, cut, word_count
 GROUP = ["source", "lang", "tokenizer"]
 #: How the byte-level vocabulary cuts a text before merging. Fixed value, published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-STATE = "doc_id long, source string, lang string, tokenizer string, n_tokens long, batch long"
+STATE = "doc_id long, source string, lang string, tokenizer string, n_tokens long, copy long, batch long"
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long, batch long"
 
 
@@ -67,15 +68,15 @@ class TokenRollup:
     def state(self) -> DataFrame:
         """The latest row of every document and tokenizer; n_tokens is null after a delete."""
         rows = self._read("state", STATE, self.committed())
-        latest = rows.groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens"), "batch").alias("_s"))
-        return latest.select("doc_id", "tokenizer", "_s.*")
+        latest = rows.groupBy("doc_id", F.coalesce("copy", F.lit(0)).alias("copy"), "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens"), "batch").alias("_s"))
+        return latest.select("doc_id", "copy", "tokenizer", "_s.*")
 
     def totals(self) -> DataFrame:
         rows = self._read("deltas", DELTA, self.committed())
         return rows.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
 
     def commit(self, batch: int, changes: DataFrame) -> bool:
-        """Applies ``changes`` (op: insert, revise or delete; doc_id, source, lang, tokenizer, n_tokens, optionally seq).
+        """Applies ``changes`` (op: insert, revise or delete; doc_id, source, lang, tokenizer, n_tokens, optionally seq and copy).
 
         False if the batch was committed before."""
         done = self.committed()
@@ -84,16 +85,17 @@ class TokenRollup:
         if done and batch < done[-1]:
             raise ValueError(f"batch {batch} comes after {done[-1]}")
         seq = F.col("seq") if "seq" in changes.columns else F.lit(0)
+        copy = (F.coalesce("copy", F.lit(0)) if "copy" in changes.columns else F.lit(0)).cast("long").alias("copy")
         n = F.when(F.col("op") != "delete", F.coalesce(F.col("n_tokens"), F.lit(0)).cast("long"))
         order = F.struct(seq.alias("seq"), "op", n.alias("n"), F.col("source").alias("s"), F.col("lang").alias("l"))
-        new = changes.where("op in ('insert', 'revise', 'delete')").groupBy("doc_id", "tokenizer").agg(F.max(order).alias("_n"))
-        new = new.select("doc_id", "tokenizer", F.col("_n.s").alias("source"), F.col("_n.l").alias("lang"), F.col("_n.n").alias("n_tokens"))
+        new = changes.where("op in ('insert', 'revise', 'delete')").groupBy("doc_id", copy, "tokenizer").agg(F.max(order).alias("_n"))
+        new = new.select("doc_id", "copy", "tokenizer", F.col("_n.s").alias("source"), F.col("_n.l").alias("lang"), F.col("_n.n").alias("n_tokens"))
         new.write.mode("overwrite").parquet(f"{self.folder}/state/batch={batch}")
-        new = self.spark.read.schema("doc_id long, tokenizer string, source string, lang string, n_tokens long").parquet(f"{self.folder}/state/batch={batch}")
+        new = self.spark.read.schema("doc_id long, copy long, tokenizer string, source string, lang string, n_tokens long").parquet(f"{self.folder}/state/batch={batch}")
         signed = [new.where("n_tokens is not null").select(*GROUP, F.lit(1).alias("docs"), F.col("n_tokens").alias("tokens"))]
         if done:
-            old, key = self.state().alias("o"), new.select("doc_id", "tokenizer").alias("k")
-            met = old.join(key, F.col("o.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("o.tokenizer").eqNullSafe(F.col("k.tokenizer")), "left_semi")
+            old, key = self.state().alias("o"), new.select("doc_id", "copy", "tokenizer").alias("k")
+            met = old.join(key, F.col("o.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("o.copy") == F.col("k.copy")) & F.col("o.tokenizer").eqNullSafe(F.col("k.tokenizer")), "left_semi")
             signed.append(met.where("n_tokens is not null").select(*GROUP, F.lit(-1).alias("docs"), (-F.col("n_tokens")).alias("tokens")))
         rows = signed[0] if len(signed) == 1 else signed[0].unionByName(signed[1])
         rows.groupBy(*GROUP).agg(F.sum("docs").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens")).write.mode("overwrite").parquet(f"{self.folder}/deltas/batch={batch}")
