@@ -275,6 +275,68 @@ def test_line_dedup_on_runs(spark):
     assert (got[2].n_lines, got[2].n_deleted) == (7, 4)
 
 
+def brute_runs(rows, min_words):
+    """The lines with words that stay when maximal runs of equal lines that an earlier document has, found along each diagonal, go; lines differ within a text."""
+    import re
+
+    texts = {i: [(k, line.strip(" ").lower(), len(words(line))) for k, line in enumerate(t.split("\n")) if re.search(r"[^\x20\x09-\x0D]", line)] for i, t, _ in rows}
+    out = {}
+    for i, t, _ in rows:
+        gone = set()
+        for j in (j for j in texts if j < i):
+            a, b = texts[i], texts[j]
+            for by in range(-len(b) + 1, len(a)):
+                run = []
+                for p in [*range(max(0, by), min(len(a), len(b) + by)), None]:
+                    if p is not None and a[p][1] == b[p - by][1]:
+                        run.append(p)
+                        continue
+                    if run and sum(a[q][2] for q in run) >= min_words:
+                        gone |= {a[q][0] for q in run}
+                    run = []
+        out[i] = (t.count("\n") + 1, [x for k, x in enumerate(t.split("\n")) if k not in gone and words(x)])
+    return out
+
+
+@pytest.mark.parametrize("min_words", [1, 12, 50])
+def test_line_dedup_equals_maximal_runs(spark, min_words):
+    rng = random.Random(min_words)
+    pool = [" ".join(f"l{i}x{k}" for k in range(rng.choice([1, 1, 2, 3, 8, 20, 60]))) for i in range(120)]
+    rows = []
+    for i in range(60):
+        lines, at = [], rng.randrange(100)
+        for _ in range(rng.randint(0, 6)):  # stretches of the pool, in new company
+            at = (at + rng.randint(1, 20)) % 120
+            lines += [x for x in pool[at : at + rng.randint(1, 12)] if x not in lines]
+            lines += rng.choice([[], [""], [f"own {i} {len(lines)}"], [" \t"]])
+        rows.append((i, "\n".join(rng.choice([x, x.upper(), f" {x}  "]) for x in lines), "a"))
+    got = {r.doc_id: (r.n_lines, [x for x in r.text.split("\n") if words(x)]) for r in line_dedup.dedup(frame(spark, rows), min_words).collect()}
+    assert got == brute_runs(rows, min_words)
+
+
+def test_fingerprints_are_fewer_than_lines(spark):
+    rng = random.Random(9)
+    rows = [(i, "\n".join(" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(10)) for _ in range(200)), "a") for i in range(20)]
+    prints = line_dedup.fingerprints(line_dedup.line_arrays(frame(spark, rows)), 50)
+    assert prints.count() < 0.55 * 20 * 200
+
+
+def test_a_very_common_passage_and_line(spark):
+    run = "\n".join(" ".join(f"r{i}x{k}" for k in range(20)) for i in range(4))
+    rows = [(i, f"start {i}\n{run}\nend {i}" if i % 2 else f"{run.split(chr(10))[i % 4]}\n" + " ".join(f"q{i}x{k}" for k in range(60)), "a") for i in range(400)]
+    got = {r.doc_id: r.n_deleted for r in line_dedup.dedup(frame(spark, rows)).collect()}
+    assert got == {i: 4 * (i % 2 and i > 1) for i in range(400)}
+
+
+def test_kept_columns_may_have_any_name(spark):
+    run = " ".join(f"r{k}" for k in range(60))
+    docs = frame(spark, [(1, run, "a"), (2, f"x\n{run}", "a")])
+    for c in ("_text", "_runs", "runs", "row", "cut", "kept", "n", "id", "of", "_l", "f", "windows"):
+        docs = docs.withColumn(c, F.lit("mine"))
+    got = line_dedup.dedup(docs)
+    assert {(r.text, r["_text"], r.kept, r.runs, r.row) for r in got.collect()} == {(run, "mine", "mine", "mine", "mine"), ("x", "mine", "mine", "mine", "mine")}
+
+
 def test_line_dedup_keeps_the_first_of_two_in_one_text(spark):
     run = "\n".join(" ".join(f"r{i}x{k}" for k in range(20)) for i in range(4))
     assert line_dedup.dedup(frame(spark, [(1, f"{run}\nmiddle\n{run}", "a")])).first().text == f"{run}\nmiddle"
