@@ -257,6 +257,23 @@ def test_near_duplicates_on_odd_rows(spark):
     assert kept.columns == odd(spark).columns
 
 
+def test_rows_that_share_an_id_but_not_a_text_are_not_lost(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    docs = frame(spark, [(1, a, "s"), (2, a, "s"), (2, b, "s"), (3, f"{a} more", "s"), (3, f"{a} other", "s"), (4, b + " x", "s"), (5, None, "s"), (5, "", "s"), (None, a, "s"), (None, "alone here", "s"), (6, "twice", "s"), (6, "twice", "s")])
+    kept = sorted(((r.doc_id or 0, r.text) for r in ngram_join.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(0, "alone here"), (1, a), (2, b), (5, None), (5, ""), (6, "twice")], key=str)
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.near_duplicates(docs.where("text is not null")).collect()}
+    assert got[2, 36] == 2 and got[3, 37] == 1 and got[1, 36] == 1
+
+
+@pytest.mark.parametrize(("num", "den"), [(85, 100), (80, 100), (1, 2)])
+def test_signatures_stay_in_proportion_to_the_difference(num, den):
+    for band in range(1, 28):
+        parts, spare = ngram_join.parts_of(band, num, den)
+        k = 2 * ngram_join.bands(num, den)[band][1] * (den - num) // (den + num)
+        assert not k and not parts or (parts - spare) * 2 > k >= (parts - spare - 1) * 2
+
+
 # 5: line dedup
 
 

@@ -2,9 +2,12 @@
 
 Sets are put in size bands so that two sets with enough similarity lie in one band or in neighbouring ones, and a set gives
 signatures for its own band and for the next. In a band, sets that are similar enough differ in at most ``k`` elements. The
-feature domain is dealt to ``k + 1 + t`` partitions; two such sets agree in at least ``t + 1`` of these, so a signature for
-each partition (the set's elements in it) is shared. A set with at most ``t`` empty partitions leaves these out, for it
-agrees with any partner in another one; the few sets with more give signatures for the empty ones too. Nothing is missed.
+feature domain is dealt to first-level parts, and each of these to ``SECOND`` second-level partitions. With ``n1`` parts where
+``(DIFFER + 1) * n1 > k``, two such sets have a part in which they differ in at most ``DIFFER`` elements, so that they agree in
+at least ``SECOND - DIFFER`` of its partitions. All subsets of that many partitions are enumerated, and the elements that a
+set has in a subset are one signature: the two sets share one. ``spare`` more parts make sure that they agree so in
+``spare + 1`` parts; a set with at most ``spare`` parts that have an empty signature leaves the empty ones out, for it agrees
+with any partner in another part; the few sets with more give the empty ones too. Nothing is missed.
 
 Documents with the same set are one class before any of this; classes are joined, copies never. All signatures of a band with
 the same smallest class make one candidate group, which holds their classes once each. A group is cut into blocks, and each
@@ -13,9 +16,12 @@ two sketches never add up to more than the sets differ), and classes that can't
 the sets of the rest are compared in full through their inverted index, and of the links found only those that connect
 what was apart are sent on, at most one a set. So the links are exact and pairs are never listed.
 
+Texts are known by the 128 bits of their MD5, classes by 64 bits that are checked to be free of collisions, shingles by 64 bits.
+
 Defined cases: a text with fewer than n words is one shingle of all its words; null, empty and blank texts have no set and
-are alone; repeated rows are copies; a null doc_id can have links but never names a group (a group of only such ids has the
-id null); other columns are not read; equal sets are always linked.
+are alone; repeated rows are copies; rows that share an id but not a text are documents of their own; a null doc_id can have
+links but never names a group (a group of only such ids has the id null); other columns are not read; equal sets are always
+linked.
 """
 
 from __future__ import annotations
@@ -23,12 +29,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,8 +44,9 @@ from tickspark.llm.common import mix64 as mix
 
 N = 5
 SIMILARITY = (80, 100)
-#: Classes are sent to every executor up to this many (64 MB); more are joined.
-MOST_IDS = 4_000_000
+#: Second-level partitions of a first-level part, and in how many of these similar sets may differ.
+SECOND, DIFFER = 3, 1
+SUBSETS = list(combinations(range(SECOND), SECOND - DIFFER))
 #: Sets of a candidate group that are compared in one go; a larger group makes a task for each pair of blocks.
 BLOCK = 512
 #: Buckets of the smallest sketch; larger sets have powers of two with 4 to 8 elements a bucket.
@@ -81,18 +89,21 @@ def bands(num: int, den: int) -> list[tuple[int, int]]:
 
 @cache
 def parts_of(band: int, num: int, den: int) -> tuple[int, int]:
-    """k + 1 + t and t of the sets of this band and of the one before it; (0, 0) if these link only to their equals."""
+    """First-level parts of the sets of this band and of the one before it, and the spare ones; (0, 0) if these link only to
+    their equals."""
     k = 2 * bands(num, den)[band][1] * (den - num) // (den + num)
     if not k:
         return 0, 0
+    needed = -(-(k + 1) // (DIFFER + 1))
     least = bands(num, den)[max(band - 1, 0)][0]
 
-    def over(t: int) -> float:  # how likely the smallest set has more than t empty partitions, about
-        rate = (k + 1 + t) * math.exp(-least / (k + 1 + t))
-        return 1 - sum(math.exp(-rate + i * math.log(rate) - math.lgamma(i + 1)) for i in range(t + 1))
+    def over(spare: int) -> float:  # how likely the smallest set has empty signatures in more than the spare parts, about
+        parts = needed + spare
+        rate = parts * len(SUBSETS) * math.exp(-least / parts * (SECOND - DIFFER) / SECOND)
+        return 1 - sum(math.exp(-rate + i * math.log(rate) - math.lgamma(i + 1)) for i in range(spare + 1))
 
-    t = min(range(min(k, 40) + 1), key=lambda t: (max(over(t), 0.02), t))
-    return k + 1 + t, t
+    spare = min(range(min(k, 20) + 1), key=lambda t: (max(over(t), 0.02), t))
+    return needed + spare, spare
 
 
 def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -101,20 +112,23 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
     all_bands = bands(num, den)
     band = next(i for i in range(int(math.log(size) / math.log(den / num) / 2) if size > 8 else 0, len(all_bands)) if all_bands[i][1] >= size) if size else 0
     out = []
+    x, y = mix(s, 11) >> np.uint64(32), mix(s, 1001)
+    low, high = (y & np.uint64(0xFFFFFFFF)).astype(np.float64), (y >> np.uint64(32)).astype(np.float64)
     for j in (band, band + 1):
         parts, spare = parts_of(j, num, den)
         if not parts or not size:
             continue
-        x = mix(s, 11)
-        part = ((x >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-        x = mix(s, 1001)
-        low = np.bincount(part, weights=(x & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=parts).astype(np.uint64)
-        high = np.bincount(part, weights=(x >> np.uint64(32)).astype(np.float64), minlength=parts).astype(np.uint64)
-        number = np.bincount(part, minlength=parts)
+        cells = parts * SECOND
+        cell = (x * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+        lows, highs, numbers = (np.bincount(cell, weights=w, minlength=cells).reshape(parts, SECOND) for w in (low, high, None))
+        # one row a part, one column a subset of its partitions
+        lows, highs, numbers = (np.stack([v[:, list(some)].sum(1) for some in SUBSETS], 1) for v in (lows, highs, numbers))
+        name = np.arange(parts * len(SUBSETS), dtype=np.uint64).reshape(parts, -1) + np.uint64(j << 32)
         with np.errstate(over="ignore"):
-            sums = mix(low + (high << np.uint64(32)), 3) + mix(np.arange(parts, dtype=np.uint64) + np.uint64(j << 32), 5)
+            sums = mix(lows.astype(np.uint64) + (highs.astype(np.uint64) << np.uint64(32)), 3) + mix(name, 5)
         sums = (mix(sums) & ~np.uint64(63)) | np.uint64(j & 63)  # the last bits tell the band
-        out.append(sums[number > 0] if (number == 0).sum() <= spare else sums)
+        full = numbers > 0
+        out.append(sums[full] if (~full.all(1)).sum() <= spare else sums.ravel())
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -138,9 +152,8 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(x, np.uint8).astype(np.int32).reshape(-1, least).sum(0) for x in sketches])
 
 
-def text_hash(text: str) -> int:
-    h = xxhash.xxh3_64_intdigest(text)
-    return h if h < 1 << 63 else h - (1 << 64)
+def text_name(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def signed_int(i: int) -> int:
@@ -148,8 +161,8 @@ def signed_int(i: int) -> int:
 
 
 def classes(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
-    """doc_id, n_shingles, the class (null without words) and the hash of the text of every document, and the seed whose
-    64-bit class ids are verified to be different for different sets."""
+    """doc_id, name (of the text), n_shingles, c (the class; null without words) and sketch of every document, and the seed
+    whose 64-bit class ids are verified to be different for different sets."""
     for seed in range(8):
 
         def to_classes(batches: Iterator[pa.RecordBatch], seed: int = seed) -> Iterator[pa.RecordBatch]:
@@ -160,46 +173,28 @@ def classes(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
                     ids.append(signed_int(class_of(s, seed)) if len(s) else None)
                     checks.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                     sketches.append(sketch(s) if len(s) else None)
-                texts = [text_hash(t or "") for t in b.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(checks, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "n_shingles", "c", "text", "check", "sketch"])
+                columns = [b.column("doc_id"), b.column("name"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(checks, pa.binary()), pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "name", "n_shingles", "c", "check", "sketch"])
 
-        rows = cut(docs.select("doc_id", "text").mapInArrow(to_classes, "doc_id long, n_shingles long, c long, text long, check binary, sketch binary"), "classes")
+        named = docs.select("doc_id", text_name(F.col("text")).alias("name"), "text")
+        rows = cut(named.mapInArrow(to_classes, "doc_id long, name binary, n_shingles long, c long, check binary, sketch binary"), "classes")
         if rows.where("c is not null").groupBy("c").agg(F.min("check").alias("a"), F.max("check").alias("b")).where("a <> b").isEmpty():
             return rows.drop("check"), seed
     raise ValueError("class ids collide with every seed")
 
 
 def sets_of(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (text: the hash of a text, and c, its class) with the class's set (64-bit hashes, sorted).
+    """c and set (64-bit hashes, sorted) of the classes in ``wanted`` (c, doc_id, name: a document of the class).
 
-    Only texts whose hash is wanted are cut into shingles."""
-    rows = cut(wanted, "wanted")
-    if rows.count() <= MOST_IDS:
-        t = rows.toArrow()
-        order = np.argsort(t.column("text").to_numpy())
-        held = docs.sparkSession.sparkContext.broadcast((t.column("text").to_numpy()[order], t.column("c").to_numpy()[order]))
-    else:
-        held = None
+    Only these documents' texts are cut into shingles."""
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for b in batches:
-            texts = np.array([text_hash(t or "") for t in b.column("text").to_pylist()], dtype=np.int64)
-            cs = texts
-            if held is not None:
-                names, ids = held.value
-                at = np.minimum(np.searchsorted(names, texts), len(names) - 1)
-                cs = np.where(names[at] == texts, ids[at], 0)
-                some = [i for i in np.flatnonzero(names[at] == texts).tolist() if not (texts[i] in seen or seen.add(texts[i]))]
-            else:
-                some = [i for i in range(len(texts)) if not (texts[i] in seen or seen.add(texts[i]))]
-            sets = shingle_sets(b.column("text").take(pa.array(some, pa.int64())), n)
-            yield pa.RecordBatch.from_arrays([pa.array(cs[some]), pa.array([s.tobytes() for s in sets], pa.binary())], ["c" if held is not None else "text", "set"])
-
-    if held is not None and not len(held.value[0]):
-        return docs.sparkSession.createDataFrame([], "c long, set binary")
-    found = docs.select("text").mapInArrow(to_sets, f"{'c' if held is not None else 'text'} long, set binary")
-    return found if held is not None else found.join(rows, "text").select("c", "set")
+            yield pa.RecordBatch.from_arrays([b.column("c"), pa.array([s.tobytes() for s in shingle_sets(b.column("text"), n)], pa.binary())], ["c", "set"])
+
+    named = docs.select(F.col("doc_id").alias("_id"), text_name(F.col("text")).alias("_of"), "text")
+    texts = named.join(wanted, (F.col("_of") == F.col("name")) & F.col("_id").eqNullSafe(F.col("doc_id"))).select("c", "text")
+    return texts.mapInArrow(to_sets, "c long, set binary").dropDuplicates(["c"])  # repeated rows
 
 
 def spanning_links(cs: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
@@ -257,9 +252,9 @@ def may_link(group: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
 
 def compared(group: DataFrame, docs: DataFrame, n: int, members: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) that connect the classes (c) of each candidate group (g) as far as their similarities do."""
-    texts = members.where("c is not null").groupBy("c").agg(F.min("text").alias("text"))
-    wanted = texts.join(group.select("c").distinct(), "c", "left_semi")
-    sets = sets_of(docs, n, wanted).dropDuplicates(["c"])
+    one = members.where("c is not null").groupBy("c").agg(F.min(F.struct("doc_id", "name")).alias("_one"))
+    wanted = one.join(group.select("c").distinct(), "c", "left_semi").select("c", "_one.*")
+    sets = sets_of(docs, n, wanted)
 
     def link(rows: pa.Table) -> pa.Table:
         cs = rows.column("c").to_numpy()
@@ -288,8 +283,8 @@ def groups(links: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicates(docs: DataFrame, n: int = N, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row of ``docs``."""
+def grouped(docs: DataFrame, n: int, similarity: tuple[int, int]) -> DataFrame:
+    """doc_id, name, n_shingles and root (the smallest class that links reach; null without words) of every row of ``docs``."""
     num, den = similarity
     bound_batches(docs.sparkSession)
     members, seed = classes(docs, n)
@@ -310,21 +305,32 @@ def near_duplicates(docs: DataFrame, n: int = N, similarity: tuple[int, int] = S
     group = shared.where("a < _most").select(F.xxhash64("a", F.col("sig").bitwiseAND(F.lit(63))).alias("g"), "c").distinct()
     group = cut(may_link(cut(group, "group"), members, num, den), "group")
     root = groups(cut(compared(group, docs, n, members, num, den), "links"))
-    ids = members.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("_id"))
-    named = ids.join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    named = named.join(named.groupBy("root").agg(F.min("_id").alias("_group")), "root").select("c", "_group")
-    named = cut(named, "named")
-    return members.join(named, "c", "left").select("doc_id", "n_shingles", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("_group")).alias("component_id"))
+    return members.join(root, "c", "left").select("doc_id", "name", "n_shingles", F.coalesce("root", "c").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, n: int = N, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row of ``docs``."""
+    found = cut(grouped(docs, n, similarity), "grouped")
+    named = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("_group"))
+    return found.join(named, "root", "left").select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("_group")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = N, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """The document with the smallest doc_id of each group, and all that have no links.
-
-    Rows that repeat with id and text are one; rows with a null doc_id, or without words, always stay."""
-    found = cut(near_duplicates(docs, n, similarity), "near")
-    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
-    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        again = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
-        kept = kept.where("doc_id is null").unionByName(again)
-    return kept
+    """One document of each group, the one with the smallest doc_id (null last; then by its text's digest), and all that have
+    no links. A document is a row's doc_id and text: rows that repeat both are one, rows without words always stay."""
+    found = cut(grouped(docs, n, similarity).where("root is not null").select("root", F.col("doc_id").alias("_id"), F.col("name").alias("_of")), "grouped")
+    order = F.struct(F.col("_id").isNull().alias("last"), "_id", "_of")
+    each = cut(found.groupBy("root", "_id", "_of").agg(F.count("*").alias("_n")), "grouped")
+    first = each.groupBy("root").agg(F.min(order).alias("_first"))
+    each = each.join(first, "root").select("_id", "_of", "_n", (F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_of") == F.col("_first._of"))).alias("_stays"))
+    marks = cut(each.where("not _stays or _n > 1"), "marks")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), text_name(F.col("text")).alias("of"))
+
+    def marked(how: str, some: DataFrame, of: DataFrame) -> DataFrame:
+        return of.join(some.select("_id", "_of"), F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("of") == F.col("_of")), how)
+
+    again = marks.where("_stays")
+    if again.isEmpty():
+        return marked("left_anti", marks, rows).select("row.*")
+    once = marked("left_semi", again, rows).withColumns({"id": F.col("row.doc_id")}).dropDuplicates(["id", "of"])
+    return marked("left_anti", marks, rows).select("row.*").unionByName(once.select("row.*"))

@@ -86,6 +86,19 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), 4, (85, 100))
 
 
+OP4_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT n, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM d WHERE len(w) > 0),
+x AS (SELECT DISTINCT n, array_to_string(w[s : s + 3], ' ') AS shingle FROM g),
+z AS (SELECT n, count(*) AS size FROM x GROUP BY n),
+p AS (SELECT a.n AS a, b.n AS b, count(*) AS common FROM x a JOIN x b ON a.shingle = b.shingle AND a.n <> b.n GROUP BY a.n, b.n),
+l AS (SELECT a, b FROM p JOIN z u ON u.n = a JOIN z v ON v.n = b WHERE 100 * common >= 85 * (u.size + v.size - common)),
+r AS (SELECT n, n AS m FROM z UNION SELECT r.n, l.b FROM r JOIN l ON r.m = l.a),
+c AS (SELECT r.n, min(d.doc_id) AS component_id FROM r JOIN d ON r.m = d.n GROUP BY r.n)
+SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, CASE WHEN size IS NULL THEN doc_id ELSE component_id END AS component_id FROM d LEFT JOIN z USING (n) LEFT JOIN c USING (n)
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
@@ -151,4 +164,4 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES = {"op1_url_filter": OP1_SQL, "op5_line_dedup": OP5_SQL, "op8_source_mix": OP8_SQL, "op9_decontamination": OP9_SQL}
+ORACLES = {"op1_url_filter": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op5_line_dedup": OP5_SQL, "op8_source_mix": OP8_SQL, "op9_decontamination": OP9_SQL}
