@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.llm import decontaminate, line_dedup, mixing, ngram_join, toxicity
-from tickspark.llm.common import scratch, table
+from tickspark.llm.common import WORD, scratch, table
 from tickspark.llm.queries import quality_weights
 
 
@@ -19,7 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which no word is left go, as all they had stays in others; those that had none before stay."""
     out = line_dedup.dedup(docs)
+    out = out.where((F.col("n_deleted") == 0) | F.col("text").rlike(WORD))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
