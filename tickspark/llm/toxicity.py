@@ -13,7 +13,7 @@ its score is the rate of toxic examples among those without terms.
 
 Defined cases: null and empty texts have no terms; an id with several labels is toxic if one of them is; null labels and ids
 teach nothing; without toxic examples every score is 0; of equally near examples those with the lowest hashes vote; rows and
-ids may repeat; other columns are kept, and a column named like an output is replaced.
+ids may repeat, and of an id's texts the one with the smallest digest is the example; other columns are kept, and a column named like an output is replaced.
 """
 
 from __future__ import annotations
@@ -75,7 +75,8 @@ def examples_of(docs: DataFrame, labels: DataFrame, n: int) -> DataFrame:
 
     chosen = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = chosen.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(n)  # the bound of the sample
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic", "h").agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text"))  # one row an id
     return cut(rows.select("doc_id", "toxic", "h", "text").mapInPandas(count, "doc_id long, toxic int, h long, group_id long, words array<string>, counts array<int>"), "examples")
 
 
