@@ -431,6 +431,81 @@ def test_quality_agrees_with_labels_it_never_saw(spark, sf):
     assert r[0] > 0.9 and r[1] > 0.95
 
 
+def test_batches_vote_and_score_as_single_texts_do(spark, sf):
+    import pandas as pd
+
+    texts = [None, b"", b"  \n ", b"one", b"A a A a b! 9 9 9 ... ..", "é ü ñ 日本 ‰ é, é. aaBB12 aaBB12".encode(), b"x " * 5000, b"\x0bodd\x0cwhite\rspace " * 9, *[(r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]]
+    weights = np.random.default_rng(3).normal(size=quality.WIDTH + 1)
+    batch = quality.Batch(pd.Series(texts, dtype=object))
+    assert batch.votes() == ["".join(".jg"[v + 1] for v in quality.votes_of(t)) for t in texts]
+    one = [(i, x) for i, x in map(quality.features, texts)]
+    assert batch.dot(weights) == pytest.approx([float(weights[i] @ x) + weights[-1] for i, x in one], abs=1e-9)
+    assert quality.Batch(pd.Series([], dtype=object)).votes() == [] and len(quality.Batch(pd.Series([], dtype=object)).dot(weights)) == 0
+    assert quality.Batch(pd.Series([None, b""], dtype=object)).dot(weights) == pytest.approx([weights[-1]] * 2)
+
+
+def plain_em(rows, rounds=100):
+    """EM over single documents, without counting patterns."""
+    q = [0.5 / (r.count("j") + 0.5) if "j" in r else 0.95 if "g" in r else 0.5 for r in rows]
+    for _ in range(rounds):
+        prior = (sum(q) + 1) / (len(q) + 2)
+        says = {}
+        for y in (0, 1):
+            for k in range(len(rows[0])):
+                c = {"j": 1 + 2 * (y == 0), "g": 1 + 2 * (y == 1)}
+                for r, p in zip(rows, q, strict=True):
+                    if r[k] != ".":
+                        c[r[k]] += p if y else 1 - p
+                says[y, k] = {v: math.log(n / sum(c.values())) for v, n in c.items()} | {".": 0.0}
+        new = []
+        for r in rows:
+            a, b = (math.log(p) + sum(says[y, k][v] for k, v in enumerate(r)) for y, p in ((0, 1 - prior), (1, prior)))
+            new.append(1 / (1 + math.exp(max(-50, min(50, a - b)))))
+        if max(abs(x - y) for x, y in zip(new, q, strict=True)) < 1e-9:
+            break
+        q = new
+    return dict(zip(rows, q, strict=True))
+
+
+def test_em_on_patterns_equals_em_on_documents():
+    rng = random.Random(4)
+    rows = ["".join(rng.choices("jg.", [0.3, 0.5, 0.2])[0] for _ in range(4)) for _ in range(300)]
+    want = plain_em(rows)
+    assert quality.LabelModel(Counter(rows)).posterior == {k: pytest.approx(v, abs=1e-7) for k, v in want.items()}
+
+
+def test_the_fit_equals_a_plain_one(spark):
+    """The scorer of the fit, from posteriors, one text and one weight at a time."""
+    rng = random.Random(12)
+    good, junk = ["river", "stone", "Meadow", "quietly", "evening,", "walked.", "under", "lights"], ["$$", "##", "!!!", "x"]
+    rows = [(i, " ".join(rng.choices(good if i % 3 else junk, k=rng.randint(8, 30))), "a") for i in range(90)]
+    model, weights = quality.fit(frame(spark, rows + rows[:40]), examples=60)  # repeated rows are one example
+    by_hash = [r.id for r in spark.range(90).orderBy(F.xxhash64("id"), "id").limit(60).collect()]
+    said = ["".join(".jg"[v + 1] for v in quality.votes_of(t.encode())) for _, t, _ in rows]
+    assert model.posterior == {k: pytest.approx(v, abs=1e-7) for k, v in plain_em(said + said[:40]).items()}
+    order = [sorted(by_hash)[k] for k in np.random.default_rng(7).permutation(60)]
+    w, g = Counter(), Counter()
+    for _ in range(8):
+        for i in order:
+            at, x = quality.features(rows[i][1].encode())
+            x = x.astype(np.float32).astype(float)
+            z = sum(w[int(k)] * v for k, v in zip(at, x, strict=True)) + w["bias"]
+            off = model.posterior[said[i]] - 1 / (1 + math.exp(-z))
+            for k, v in [*zip(at.tolist(), x.tolist(), strict=True), ("bias", 1.0)]:
+                g[k] += (off * v) ** 2
+                w[k] += 0.5 * off * v / math.sqrt(1e-6 + g[k])
+    got = {k: weights[quality.WIDTH if k == "bias" else k] for k in w}
+    assert got == {k: pytest.approx(v, abs=1e-6) for k, v in w.items()} and np.count_nonzero(weights) == len(w)
+
+
+def test_an_id_that_repeats_is_one_example(spark):
+    rows = [(1, f"some text number {i % 7} with a few more words in it", "a") for i in range(10_000)] + [(2, "another text with words enough to get a vote", "a")]
+    docs = frame(spark, rows)
+    assert quality.fit(docs, examples=2)[1].any()
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.examples_of(docs, labels, 2).groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
 def test_em_finds_who_is_right():
     rng, patterns = random.Random(2), Counter()
     for _ in range(4000):
