@@ -50,20 +50,21 @@ def plain(v):
     return v if v is None else str(v)
 
 
+def compare(spark, duck, query, sql: str, sf: str) -> int:
+    df = query(spark, sf)
+    names = sorted(df.columns)
+    ours = sorted((tuple(plain(r[c]) for c in names) for r in df.collect()), key=str)
+    cur = duck.execute(sql)
+    have = [c[0] for c in cur.description]
+    assert sorted(have) == names
+    theirs = sorted((tuple(plain(r[have.index(c)]) for c in names) for r in cur.fetchall()), key=str)
+    assert ours == theirs
+    return len(ours)
+
+
 @pytest.fixture(scope="session")
 def same(spark, duck):
-    def check(query, sql: str, sf: str = SF) -> int:
-        df = query(spark, sf)
-        names = sorted(df.columns)
-        ours = sorted((tuple(plain(r[c]) for c in names) for r in df.collect()), key=str)
-        cur = duck.execute(sql)
-        have = [c[0] for c in cur.description]
-        assert sorted(have) == names
-        theirs = sorted((tuple(plain(r[have.index(c)]) for c in names) for r in cur.fetchall()), key=str)
-        assert ours == theirs
-        return len(ours)
-
-    return check
+    return lambda query, sql, sf=SF: compare(spark, duck, query, sql, sf)
 
 
 @pytest.fixture

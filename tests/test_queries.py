@@ -17,6 +17,38 @@ def test_query_without_sql_runs(name, spark, sf):
     assert plans.QUERIES[name](spark, sf).count() > 0
 
 
+CALENDAR = ["sessions", "session_grid", "holiday_flags", "session_state", "tick_coverage", "trade_gaps", "missing_bars", "interior_gaps", "session_qualification", "recovery_coverage"]
+
+
+@pytest.fixture(scope="module", params=[("2024-03-01", 60), ("2024-07-01", 175), ("2024-11-20", 320)], ids=lambda x: x[0])
+def moved(request, tmp_path_factory):
+    """The events moved by some days: over a change of clocks, Independence Day and its early eve, Thanksgiving and the day after."""
+    import duckdb
+
+    from tests.conftest import SF
+
+    folder, con = str(tmp_path_factory.mktemp("moved")), duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    con.execute(f"COPY (SELECT * REPLACE (ts + INTERVAL {request.param[1]} DAY AS ts) FROM read_parquet('{SF}/events.parquet')) TO '{folder}/events.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet')")
+    return folder, con
+
+
+@pytest.mark.parametrize("name", CALENDAR)
+def test_calendar_queries_in_other_months(name, moved, spark):
+    from tests.conftest import compare
+
+    folder, con = moved
+    compare(spark, con, plans.QUERIES[name], plans.ORACLES[name], folder)
+
+
+@pytest.mark.parametrize("name", ["tick_coverage", "trade_gaps", "session_qualification", "recovery_coverage", "interior_gaps"])
+def test_no_calendar_rule_reaches_the_ticks(name, spark, sf):
+    """Each trade's New York date is found once or twice, not once a rule."""
+    plan = plans.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert max(line.count("convert_timezone") for line in plan.splitlines()) <= 2 and "make_date" not in plan
+
+
 def test_every_oracle_has_a_query():
     assert set(plans.ORACLES) <= set(plans.QUERIES)
 

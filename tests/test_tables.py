@@ -104,3 +104,115 @@ def test_universe_is_verified_and_refused_when_changed(spark):
     m = U.artifact_digest(c)
     assert U.verify(c, m).first().intact and not U.verify(c.where("symbol <> 'S1'"), m).first().intact
     assert U.churn(c, c.where("symbol >= 'S2'")).first().accepted is False
+
+
+def test_a_history_adds_rows_is_refused_where_it_differs_and_leaves_the_online_view(spark):
+    w = workspace(spark, "history")
+    days = C.sessions(spark.createDataFrame([(date(2026, 9, 28), date(2026, 9, 29))], "first_day date, last_day date"))
+    rows = [("A", datetime(2026, 9, d, 13, 30) + timedelta(minutes=30 * i), datetime(2026, 9, d, 14) + timedelta(minutes=30 * i), *[float(d + i % 3)] * 4, 5.0) for d in (28, 29) for i in range(13)]
+    b = spark.createDataFrame(rows, "symbol string, window_start timestamp_ntz, window_end timestamp_ntz, open double, high double, low double, close double, total_volume double")
+    release = R.backfill(b, days, ["A"], w)
+    schema = spark.read.parquet(f"{release}/features").withColumn("dataset_version", F.lit("")).schema
+    live_table, history = (VersionedTable(spark, f"{w}/{n}", schema).create_if_missing() for n in ("live", "history"))
+    ledger = Ledger(spark, f"{w}/ledger", R.LEDGER)
+    online = spark.createDataFrame([("A", datetime(2026, 1, 1), 1.0)], "symbol string, event_timestamp timestamp_ntz, close double")
+    with pytest.raises(R.Refused):
+        R.publish(release, live_table, ledger, online)
+    rows_, view = R.publish(release, live_table, ledger, online, history=history)
+    assert rows_.count() == spark.read.parquet(f"{release}/features").count() and view.collect() == online.collect() and live_table.read().isEmpty()
+    version = history.version()
+    R.publish(release, live_table, ledger, online, history=history)
+    assert history.version() == version
+    changed = R.backfill(b.withColumns({c: F.col(c) + 1 for c in ("open", "high", "low", "close")}), days, ["A"], w)
+    with pytest.raises(R.Refused):
+        R.publish(changed, live_table, ledger, online, history=history)
+
+
+def test_retention_by_hours_keeps_recent_versions(spark):
+    t = VersionedTable(spark, workspace(spark, "hours"), BAR).create_if_missing()
+    for close in (1.0, 2.0, 3.0):
+        t.upsert(bars(spark, [1], close))
+    assert t.expire(keep=1, hours=1) == [] and t.read(1).count() == 1
+    assert len(t.expire(keep=1, hours=0)) >= 1 and t.read().first().close == 3.0
+
+
+def test_a_changed_schema_is_a_new_version(spark):
+    from tickspark.sources.tables import SchemaLedger
+
+    a = spark.createDataFrame([(1, "x")], "a int, b string")
+    s = SchemaLedger(spark, f"{workspace(spark, 'schema')}/ledger")
+    assert [s.record("t", a), s.record("t", a), s.record("t", a.withColumn("c", F.lit(1))), s.record("u", a)] == [1, 1, 2, 1]
+
+
+def test_paths_and_replay_bounds(spark):
+    from tickspark.operators.release import canonical_path
+    from tickspark.sources.trades import bounded_replay, kafka_options
+
+    assert canonical_path("s3a://bucket//a/./b/") == "s3://bucket/a/b" and canonical_path("/x//y") == "/x/y"
+    with pytest.raises(ValueError):
+        canonical_path("s3://bucket/../b")
+    b = spark.createDataFrame([(0, 5, 10), (1, 0, 3)], "partition int, start long, end_exclusive long")
+    assert bounded_replay(b, 8) == 8
+    with pytest.raises(ValueError):
+        bounded_replay(b, 7)
+    assert kafka_options("h:1", "t")["maxOffsetsPerTrigger"] == "50000"
+
+
+def test_lag_is_the_sum_over_partitions(spark):
+    source = {"latestOffset": '{"t": {"0": 10, "1": 7}}', "endOffset": {"t": {"0": 4, "1": 9}}}
+    assert live.partition_lag(source) == 6 and live.partition_lag({"latestOffset": None, "endOffset": "12"}) == 0
+    p = {"name": "q", "batchId": 3, "numInputRows": 5, "durationMs": {"triggerExecution": 12}, "sources": [source], "inputRowsPerSecond": 2.5, "processedRowsPerSecond": float("nan")}
+    assert live.progress_metrics(p) == ("q", 3, 5, 12, 6, 2.5, 0.0)
+    heard = []
+
+    class Event:
+        progress = p
+
+    live.ProgressListener(heard.append).onQueryProgress(Event())
+    assert heard == [("q", 3, 5, 12, 6, 2.5, 0.0)]
+
+
+def test_one_dead_query_ends_the_others(spark):
+    w = workspace(spark, "watch")
+    spark.range(3).write.parquet(f"{w}/in")
+    s = spark.readStream.schema("id long").parquet(f"{w}/in")
+
+    def fail(batch, batch_id):
+        raise RuntimeError("no")
+
+    good = live.append(s, f"{w}/out", f"{w}/cp1", {"processingTime": "1 hour"}, "good")
+    bad = live.each_batch(s, fail, f"{w}/cp2", {"processingTime": "1 second"}, "bad")
+    with pytest.raises(Exception, match="no"):
+        live.watch([good, bad])
+    assert not good.isActive
+    again = live.append(s, f"{w}/out2", f"{w}/cp3", {"processingTime": "1 second"}, "again")
+    live.drain(again)
+    assert spark.read.parquet(f"{w}/out2").count() == 3
+
+
+def test_jobs_refuse_what_breaks_their_rules(spark):
+    from tickspark import jobs
+
+    w = workspace(spark, "jobs")
+    rows = spark.createDataFrame([("A", datetime(2024, 1, 1), 1.0, 5)], "symbol string, window_start timestamp_ntz, close double, total_volume long")
+    with pytest.raises(R.Refused):
+        jobs.incremental_load(rows.drop("close"), f"{w}/t")
+    assert jobs.incremental_load(rows, f"{w}/t") == 1 and jobs.offline_table(spark, f"{w}/t", rows).read().count() == 1
+    previous = spark.createDataFrame([(f"S{i}",) for i in range(460)], "symbol string")
+    candidate = previous.select("symbol", F.col("symbol").alias("company_name"), F.lit("x").alias("sector"))
+    r = jobs.universe_refresh(previous, candidate, f"{w}/u", "run1", F.lit("2024-01-01").cast("timestamp")).first()
+    assert (r.members, r.added, r.published) == (460, 0, True)
+    assert U.governed(spark, f"{w}/u", F.lit("2024-01-01 05:00:00").cast("timestamp")).count() == 460
+    with pytest.raises(ValueError, match="stale"):
+        U.governed(spark, f"{w}/u", F.lit("2024-02-01").cast("timestamp"))
+    few = spark.createDataFrame([(s, datetime(2024, 1, 1) + timedelta(minutes=30 * i), float(i)) for s in "AB" for i in range(40 if s == "A" else 5)], "symbol string, event_timestamp timestamp_ntz, close double")
+    with pytest.raises(R.Refused):
+        jobs.training_dataset(few, ["close"], 0.2, 8, 3)
+
+
+def test_features_are_ranked_by_any_measure(spark):
+    from tickspark.operators.drift import top_features
+
+    d = spark.createDataFrame([("A", f, float(x), 1.0 - x) for f, x in (("a", 0.1), ("b", 0.5), ("c", 0.3), ("d", 0.4))], "symbol string, feature string, wasserstein double, psi double")
+    assert [r.feature for r in top_features(d).orderBy("rank").collect()] == ["b", "d", "c"]
+    assert [r.feature for r in top_features(d, "psi", 2).orderBy("rank").collect()] == ["a", "c"]

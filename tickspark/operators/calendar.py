@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -79,6 +79,15 @@ def sessions(days: DataFrame, closures: Sequence[str] = ()) -> DataFrame:
     return each.select(d, utc(d, F.lit(OPEN)).alias("market_open"), utc(d, F.when(early, EARLY_CLOSE).otherwise(CLOSE)).alias("market_close"), early.alias("is_early_close"))
 
 
+def held(sess: DataFrame, most: int = 100_000) -> DataFrame:
+    """The calendar as a local table (a row a session, some 250 a year), so that no plan carries its rules to the rows it is
+    joined with."""
+    rows = sess.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a calendar of more than {most} sessions")
+    return sess.sparkSession.createDataFrame(rows, sess.schema)
+
+
 def session_grid(sess: DataFrame, symbols: Sequence[str] | None = None, minutes: int = BAR_MINUTES) -> DataFrame:
     """The bars of each session by their starts: 13, or 7 on an early close; for each symbol if a list is given."""
     width = F.expr(f"interval {minutes} minutes")
@@ -119,7 +128,17 @@ def freshness(cutoffs: DataFrame, sess: DataFrame, now: Column, delay: str = "60
     return c.withColumn("status", F.when(F.col("required_close").isNull(), "stale").otherwise(status)).drop("_close")
 
 
+def special_days(spark: SparkSession) -> DataFrame:
+    """is_holiday and is_early_close of each day from 1900 to 2199, as the text of a number."""
+    d = F.col("_of")
+    days = spark.range(-25_567, 84_006).select(F.date_from_unix_date(F.col("id").cast("int")).alias("_of"))
+    return days.select(d, is_holiday(d).cast("int").cast("double").cast("string").alias("is_holiday"), (is_early_close(d) & ~is_holiday(d)).cast("int").cast("double").cast("string").alias("is_early_close"))
+
+
 def holiday_flags(df: DataFrame, instant: str) -> DataFrame:
-    """is_holiday and is_early_close of the New York date, as the text of a number."""
-    d = new_york_date(instant)
-    return df.withColumns({"is_holiday": is_holiday(d).cast("int").cast("double").cast("string"), "is_early_close": (is_early_close(d) & ~is_holiday(d)).cast("int").cast("double").cast("string")})
+    """is_holiday and is_early_close of the New York date, as the text of a number; null without an instant.
+
+    The rules run once a day of the calendar and not once a row."""
+    days = F.broadcast(special_days(df.sparkSession))  # 109,573 rows of two short strings
+    kept = df.drop("is_holiday", "is_early_close")
+    return kept.withColumn("_day", new_york_date(instant)).join(days, F.col("_day") == F.col("_of"), "left").select(*[kept[c] for c in kept.columns], days["is_holiday"], days["is_early_close"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,7 +14,11 @@ GAP_SECONDS = 120
 
 
 def in_session(df: DataFrame, sess: DataFrame, time: str) -> DataFrame:
-    """The rows inside a session, with its columns. The calendar is small and broadcast."""
+    """The rows inside a session, with its columns. The calendar is small and broadcast; the scan gets its first opening and
+    last close."""
+    span = sess.agg(F.min("market_open").alias("first"), F.max("market_close").alias("last")).first()  # one row
+    first, last = (F.lit(str(x) if x else None).cast("timestamp_ntz") for x in span)
+    df = df.where((F.col(time) >= first) & (F.col(time) < last))
     d = df.withColumn("session_date", new_york_date(time)).join(F.broadcast(sess), "session_date")
     return d.where((F.col(time) >= F.col("market_open")) & (F.col(time) < F.col("market_close")))
 
@@ -47,13 +51,23 @@ def tick_coverage(trades: DataFrame, sess: DataFrame, limit: float = GAP_SECONDS
 
 
 def trade_gaps(trades: DataFrame, sess: DataFrame, symbols: Sequence[str], limit: float = GAP_SECONDS) -> DataFrame:
-    """Every gap over the limit: start, end, seconds; the opening and the close count as sentinels, also without trades."""
+    """Every gap over the limit: start, end, seconds; the opening and the close count as sentinels, also without trades.
+
+    Gaps within a half hour come from a window of its own, so that a symbol with most trades is spread; gaps between half hours
+    come from one row each."""
     t = in_session(trades, sess, "event_time").select("session_date", "symbol", _millis("event_time").alias("ms"))
     each = sess.select("session_date", F.explode(F.array(_millis("market_open"), _millis("market_close"))).alias("ms"))
     marks = each.select("session_date", F.explode(F.array(*[F.lit(s) for s in symbols])).alias("symbol"), "ms")
-    w = W.partitionBy("session_date", "symbol").orderBy("ms")
-    gaps = t.unionByName(marks).withColumn("start_ms", F.lag("ms").over(w)).where((F.col("ms") - F.col("start_ms")) / 1000 > limit)
-    return gaps.select("session_date", "symbol", "start_ms", F.col("ms").alias("end_ms"), ((F.col("ms") - F.col("start_ms")) / 1000).alias("seconds"))
+    keys = ["session_date", "symbol", "_bucket"]
+    rows = t.unionByName(marks).withColumn("_bucket", F.floor(F.col("ms") / 1_800_000))
+    rows = rows.withColumn("_start", F.lag("ms").over(W.partitionBy(*keys).orderBy("ms")))
+    # a half hour has at most 1800 / limit gaps over the limit
+    inner = F.collect_list(F.when((F.col("ms") - F.col("_start")) / 1000 > limit, F.struct(F.col("_start").alias("start_ms"), F.col("ms").alias("end_ms"))))
+    parts = rows.groupBy(*keys).agg(F.min("ms").alias("_first"), F.max("ms").alias("_last"), inner.alias("_inner"))
+    parts = parts.withColumn("_before", F.lag("_last").over(W.partitionBy("session_date", "symbol").orderBy("_bucket")))
+    parts = parts.select("session_date", "symbol", F.explode(F.concat("_inner", F.array(F.struct(F.col("_before").alias("start_ms"), F.col("_first").alias("end_ms"))))).alias("_g"))
+    gaps = parts.select("session_date", "symbol", "_g.*").withColumn("seconds", (F.col("end_ms") - F.col("start_ms")) / 1000)
+    return gaps.where(F.col("seconds") > limit)
 
 
 def missing_bars(bars: DataFrame, sess: DataFrame, symbols: Sequence[str]) -> DataFrame:
@@ -126,3 +140,25 @@ def request_guards(requests: DataFrame, most_days: int = 730) -> DataFrame:
         F.when(F.col("retrieved_at") < F.col("end_date"), "unfinished_range"),
     )
     return requests.withColumn("refused", F.array_compact(found))
+
+
+def history_checks(bars: DataFrame, sess: DataFrame, symbols: Sequence[str], digest: str | None, retrieved_at: Column, now: Column) -> DataFrame:
+    """(check, violations) of a whole history: content checksum, symbol set, unfinished sessions, retrieval ahead of the clock,
+    missing, off-session and repeated keys, volumes that are no BIGINT."""
+    grid = session_grid(sess, symbols)
+    keys = ["symbol", "window_start"]
+    counted = bars.groupBy(*keys).agg(F.count("*").alias("_n"))
+    key_counts = counted.join(grid.select(*keys, F.lit(1).alias("_in")), keys, "full").agg(
+        F.count_if(F.col("_n").isNull()).alias("missing_keys"), F.count_if(F.col("_in").isNull()).alias("off_session_keys"), F.coalesce(F.sum(F.greatest(F.col("_n") - 1, F.lit(0))), F.lit(0)).alias("repeated_keys")
+    )
+    volume = F.col("total_volume")
+    rows = bars.agg(F.count_if(volume.isNull() | (volume % 1 != 0) | (volume.cast("double") >= float(2**63))).alias("volume_not_bigint"), F.collect_set("symbol").alias("_have"))
+    listed = F.array(*[F.lit(s) for s in symbols])
+    rows = rows.select("volume_not_bigint", (F.size(F.array_except("_have", listed)) + F.size(F.array_except(listed, F.col("_have")))).cast("long").alias("symbol_set"))
+    ends = sess.agg(F.count_if(F.col("market_close") > F.least(retrieved_at, now)).alias("unfinished_sessions"), (F.count("*") == 0).cast("long").alias("no_sessions"))
+    one = key_counts.crossJoin(rows).crossJoin(ends).withColumn("retrieved_ahead", (retrieved_at > now + F.expr("interval 5 minutes")).cast("long"))  # one row each
+    names = ["missing_keys", "off_session_keys", "repeated_keys", "volume_not_bigint", "symbol_set", "unfinished_sessions", "no_sessions", "retrieved_ahead"]
+    if digest is not None:
+        one = one.crossJoin(content_digest(bars).select((F.col("digest") != digest).cast("long").alias("checksum")))
+        names.append("checksum")
+    return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).cast("long").alias("violations")) for n in names])))

@@ -129,3 +129,21 @@ def decide(target: DataFrame, symbols: DataFrame, share: float = 0.2) -> DataFra
     t = target.select(F.col("drift_detected").alias("target_drifted"), (F.col("status") != "ok").alias("target_short"))
     d = s.crossJoin(F.broadcast(t)).withColumn("drifted_share", F.try_divide("drifted", "symbols"))
     return d.select("symbols", "drifted", "drifted_share", "target_drifted", ((F.col("drifted_share") >= share) | F.col("target_drifted")).alias("retrain"), ((F.col("short") > 0) | F.col("target_short")).alias("inconclusive"))
+
+
+def unequal_universes(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """(symbol, only_in) of symbols that one period lacks; a drift decision needs none."""
+    r, c = reference.select("symbol").distinct(), current.select("symbol").distinct()
+    return r.join(c, "symbol", "left_anti").withColumn("only_in", F.lit("reference")).unionByName(c.join(r, "symbol", "left_anti").withColumn("only_in", F.lit("current")))
+
+
+def periods(rows: DataFrame, now: Column, reference_days: int = 180, current_days: int = 30, time: str = "event_timestamp") -> tuple[DataFrame, DataFrame]:
+    """The rows of [now - reference_days, now - current_days) and of those since."""
+    since, turn = now - F.expr(f"interval {reference_days} days"), now - F.expr(f"interval {current_days} days")
+    return rows.where((F.col(time) >= since) & (F.col(time) < turn)), rows.where(F.col(time) >= turn)
+
+
+def top_features(drift: DataFrame, by: str = "wasserstein", n: int = 3) -> DataFrame:
+    """The ``n`` features of each symbol with the largest psi, wasserstein or importance."""
+    w = W.partitionBy("symbol").orderBy(F.desc(by), "feature")
+    return drift.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -166,3 +166,9 @@ def returns_to_prices(rows: DataFrame, kind: str = "log") -> DataFrame:
     """(sample_id, horizon, value, base_price) to the price after each step."""
     step = F.col("value") if kind == "log" else F.log1p("value")
     return rows.withColumn("price", F.col("base_price") * F.exp(F.sum(step).over(W.partitionBy("sample_id").orderBy("horizon"))))
+
+
+def calibration_error(forecasts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per quantile: the mean over the horizons of |share of outcomes at or below the forecast - quantile|."""
+    step = forecasts.groupBy(*by, "horizon", "quantile").agg(F.avg((F.col("y_true") <= F.col("y_pred")).cast("double")).alias("_observed"))
+    return step.groupBy(*by, "quantile").agg(F.avg(F.abs(F.col("_observed") - F.col("quantile"))).alias("calibration_error"))

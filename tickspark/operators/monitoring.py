@@ -55,3 +55,48 @@ def snapshot_freshness(rows: DataFrame, now: Column, time: str = "event_timestam
     """One row: the newest time and its age in seconds."""
     age = (F.unix_millis(now.cast("timestamp")) - F.unix_millis(F.max(time).cast("timestamp"))) / 1000
     return rows.agg(F.max(time).alias("newest"), age.alias("staleness_seconds"))
+
+
+def partition_offsets(records: DataFrame) -> DataFrame:
+    """Per partition: messages and the last offset."""
+    return records.groupBy("partition").agg(F.count("*").alias("messages"), F.max("offset").alias("last_offset"))
+
+
+def symbol_age(trades: DataFrame, now: Column, symbols: list[str], started: Column) -> DataFrame:
+    """Per listed symbol: seconds since its last trade, or since ``started`` without one."""
+    last = trades.groupBy("symbol").agg(F.max("event_time").alias("last_trade"))
+    listed = trades.sparkSession.createDataFrame([(s,) for s in symbols], "symbol string")
+    since = F.coalesce(F.col("last_trade"), started)
+    return listed.join(last, "symbol", "left").withColumn("age_seconds", (F.unix_millis(now.cast("timestamp")) - F.unix_millis(since.cast("timestamp"))) / 1000)
+
+
+def rates(records: DataFrame, width: str = "5 minutes", time: str = "event_time") -> DataFrame:
+    """Per window: messages, messages a second, and the share that has no positive price."""
+    bad = F.col("price").isNull() | (F.col("price") <= 0)
+    w = records.groupBy(F.window(time, width).alias("_w")).agg(F.count("*").alias("messages"), F.count_if(bad).alias("errors"))
+    seconds = F.unix_timestamp(F.col("_w.end").cast("timestamp")) - F.unix_timestamp(F.col("_w.start").cast("timestamp"))
+    return w.select(F.col("_w.start").alias("window_start"), "messages", (F.col("messages") / seconds).alias("rate"), (F.col("errors") / F.col("messages")).alias("error_ratio"))
+
+
+#: Fixed values, as the alerts are defined: metric, limit, and the minutes for which it is over the limit.
+ALERTS = [("kafka_lag", 1000.0, 10), ("dead_letters", 0.0, 0), ("symbol_age_seconds", 120.0, 0), ("interior_gaps", 0.0, 0), ("consumer_error_ratio", 0.05, 5)]
+
+
+def firing_alerts(metrics: DataFrame, step: int = 5) -> DataFrame:
+    """``metrics`` (metric, key, window_start, value; a window every ``step`` minutes) that are over their limits, and have been
+    for as long as the alert asks."""
+    limits = metrics.sparkSession.createDataFrame([(m, x, max(1, -(-n // step))) for m, x, n in ALERTS], "metric string, limit double, windows int")
+    over = metrics.join(F.broadcast(limits), "metric").where(F.col("value") > F.col("limit"))
+    # windows that follow one another have the same difference of time and number
+    w = W.partitionBy("metric", "key").orderBy("window_start")
+    number = F.unix_timestamp(F.col("window_start").cast("timestamp")) / (60 * step) - F.row_number().over(w)
+    run = over.withColumn("_run", number)
+    held = F.row_number().over(W.partitionBy("metric", "key", "_run").orderBy("window_start"))
+    return run.withColumn("_held", held).where(F.col("_held") >= F.col("windows")).select("metric", "key", "window_start", "value", "limit")
+
+
+def operations_readiness(ready: DataFrame, missing: DataFrame, published: DataFrame) -> DataFrame:
+    """``readiness`` with missing_bars of each symbol, and the newest complete publication (one row); all must be in order."""
+    lacking = missing.groupBy("symbol").agg(F.count("*").alias("missing_bars"))
+    out = ready.join(lacking, "symbol", "left").fillna(0, ["missing_bars"]).crossJoin(F.broadcast(published))
+    return out.withColumn("operational", F.col("ready") & (F.col("missing_bars") == 0) & F.col("dataset_id").isNotNull())

@@ -68,3 +68,19 @@ def page(rows: DataFrame, limit: int, key: str = "symbol", time: str = "event_ti
     w = W.partitionBy(key)
     ranked = rows.withColumns({"_r": F.row_number().over(w.orderBy(F.desc(time))), "_n": F.count("*").over(w)})
     return ranked.where(F.col("_r") <= limit).withColumn("truncated", F.col("_n") > limit).drop("_r", "_n")
+
+
+def paired_spine(spark, symbols: Sequence[str], times: Sequence[str]) -> DataFrame:
+    """One row a pair of two lists of equal length."""
+    if len(symbols) != len(times):
+        raise ValueError("symbols and times differ in number")
+    return spark.createDataFrame(list(zip(symbols, times, strict=True)), "symbol string, event_timestamp string").withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+def materialise_since(online: DataFrame, rows: DataFrame, now: Column, columns: Sequence[str], max_backfill_days: int = 30, key: str = "symbol", time: str = "event_timestamp") -> DataFrame:
+    """Incremental: the rows after the newest time that is online, up to ``now``; with nothing online the last
+    ``max_backfill_days``, which also bound how far an old online table reaches back."""
+    oldest = now - F.expr(f"interval {max_backfill_days} days")
+    marks = online.agg(F.greatest(F.coalesce(F.max(time), oldest), oldest).alias("_since"))  # one row
+    new = rows.crossJoin(F.broadcast(marks)).where((F.col(time) > F.col("_since")) & (F.col(time) <= now)).select(key, time, *columns)
+    return latest_per_key(online.select(key, time, *columns).unionByName(new), columns, key, time)

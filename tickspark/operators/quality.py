@@ -163,3 +163,31 @@ def imputation_stats(before: DataFrame, after: DataFrame, cols: Sequence[str]) -
     both = nulls(before, "nulls_before").join(nulls(after, "nulls_after"), "column")
     fixed = F.when(F.col("nulls_before") == 0, 100.0).otherwise(F.round((F.col("nulls_before") - F.col("nulls_after")) * 100.0 / F.col("nulls_before"), 6))
     return both.select("column", "nulls_before", "nulls_after", fixed.alias("fixed_pct"), F.round(F.try_divide(F.col("nulls_after") * 100.0, F.col("nulls_after_rows")), 6).alias("residual_pct"))
+
+
+def missing_symbols(df: DataFrame, symbols: Sequence[str], col: str = "symbol") -> DataFrame:
+    """The listed symbols that ``df`` doesn't cover."""
+    spark = df.sparkSession
+    wanted = spark.createDataFrame([(s.strip().upper(),) for s in symbols], f"{col} string")
+    return wanted.join(df.select(F.upper(F.trim(col)).alias(col)).distinct(), col, "left_anti")
+
+
+def symbol_set(df: DataFrame, symbols: Sequence[str]) -> DataFrame:
+    """(symbol, problem): listed symbols that the frame lacks, and symbols that it has beyond the list; none if the sets agree."""
+    have = df.select("symbol").distinct()
+    lacking = missing_symbols(df, symbols).withColumn("problem", F.lit("missing"))
+    return lacking.unionByName(have.where(F.col("symbol").isNull() | ~F.col("symbol").isin(list(symbols))).withColumn("problem", F.lit("unexpected")))
+
+
+def validate_features(df: DataFrame, required: Sequence[str], fill: str = "rolling_volatility_close") -> tuple[DataFrame, DataFrame]:
+    """``df`` with 0 for a missing volatility, and one row of counts: filled values, rows with a null, rows beyond the first of
+    equal ones; passed if there are none of the last two. A missing column is an error before anything runs."""
+    lacking = [c for c in required if c not in df.columns]
+    if lacking:
+        raise ValueError(f"required columns are missing: {lacking}")
+    filled = df.fillna(0.0, [fill]) if fill in df.columns else df
+    empty = reduce(Column.__or__, [F.col(c).isNull() for c in df.columns])
+    groups = filled.groupBy(*filled.columns).agg(F.count("*").alias("_n"))
+    counts = groups.agg(F.coalesce(F.sum(F.when(empty, F.col("_n")).otherwise(0)), F.lit(0)).alias("rows_with_null"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("repeated_rows"))
+    fills = df.agg((F.count_if(F.col(fill).isNull()) if fill in df.columns else F.lit(0)).alias("filled"))
+    return filled, fills.crossJoin(F.broadcast(counts)).withColumn("passed", (F.col("rows_with_null") == 0) & (F.col("repeated_rows") == 0))  # one row each

@@ -78,3 +78,52 @@ def by_priority(rows: Sequence[DataFrame], keys: Sequence[str] = KEYS) -> DataFr
     tagged = [r.withColumn("_priority", F.lit(i)) for i, r in enumerate(rows)]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     return union.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy("_priority"))).where("_r = 1").drop("_r", "_priority")
+
+
+def month_partitions(span: DataFrame) -> DataFrame:
+    """The months that (first, last) reaches into: partition, since and until (exclusive)."""
+    month = F.sequence(F.trunc("first", "month"), F.trunc("last", "month"), F.expr("interval 1 month"))
+    m = span.select(F.explode(month).alias("since"))
+    return m.select(F.date_format("since", "yyyy-MM").alias("partition"), "since", F.add_months("since", 1).alias("until"))
+
+
+def canonical_path(path: str) -> str:
+    """One scheme and no empty, current or parent steps, so that equal places have equal names."""
+    scheme, _, rest = path.replace("s3a://", "s3://").replace("s3n://", "s3://").rpartition("://")
+    parts = [p for p in rest.split("/") if p not in ("", ".")]
+    if ".." in parts:
+        raise ValueError("a release's path must not climb")
+    return f"{scheme}://{'/'.join(parts)}" if scheme else ("/" if rest.startswith("/") else "") + "/".join(parts)
+
+
+def manifest_problems(manifests: DataFrame) -> DataFrame:
+    """(dataset_id, problem): times out of order, a close before the newest row, no rows, an id listed with different contents."""
+    found = F.array(
+        F.when(F.col("min_event_time") > F.col("max_event_time"), "times_out_of_order"),
+        F.when(F.col("max_event_time") > F.col("market_close"), "rows_after_the_close"),
+        F.when(F.coalesce(F.col("row_count"), F.lit(0)) <= 0, "no_rows"),
+    )
+    single = manifests.select("dataset_id", F.explode(F.array_compact(found)).alias("problem"))
+    twice = manifests.groupBy("dataset_id").agg(F.count_distinct(F.struct("min_event_time", "max_event_time", "market_close", "row_count")).alias("_n")).where("_n > 1")
+    return single.unionByName(twice.select("dataset_id", F.lit("id_reused").alias("problem"))).distinct()
+
+
+def of_session(manifests: DataFrame, day: Column) -> DataFrame:
+    """The manifests whose market close lies on a New York date, with order 1 for the newest completed."""
+    mine = manifests.where(F.to_date(F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), F.col("market_close").cast("timestamp_ntz"))) == day)
+    return mine.withColumn("order", F.row_number().over(W.orderBy(F.desc("completed_at"), "dataset_id")))  # a few a session
+
+
+#: The policies under which a release may be trained on.
+POLICIES = ("nyse-full-session-v1", "nyse-historical-bars-v1")
+
+
+def ledger_rows(live: DataFrame, historical: DataFrame, ledger: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """One row a key from live and historical rows whose release is complete, qualified under a known policy, and unadjusted
+    if it is historical; live rows first. The ledger has a row a release and is broadcast."""
+    m = F.col("manifest")
+    adjustment = F.get_json_object(m, "$.historical_source.adjustment")
+    fit = (F.col("status") == "complete") & F.get_json_object(m, "$.session_qualification.policy").isin(*POLICIES) & (F.get_json_object(m, "$.session_qualification.status") == "passed")
+    fit = fit & (F.get_json_object(m, "$.historical_source").isNull() | (adjustment == "unadjusted"))
+    ids = F.broadcast(ledger.where(fit).select(F.col("dataset_id").alias("dataset_version")).distinct())
+    return by_priority([live.join(ids, "dataset_version", "left_semi"), historical.join(ids, "dataset_version", "left_semi")], keys)

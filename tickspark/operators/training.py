@@ -91,3 +91,8 @@ def sequence_examples(rows: DataFrame, columns: Sequence[str], encoder: int, hor
     value = F.struct("time_idx", *columns)
     ex = rows.select("symbol", "time_idx", F.collect_list(value).over(w.rowsBetween(-encoder, -1)).alias("encoder"), F.collect_list(value).over(w.rowsBetween(0, horizon - 1)).alias("decoder"))
     return ex.where((F.size("encoder") >= encoder // 2) & (F.size("decoder") >= 1) & (F.col("time_idx") % stride == 0))
+
+
+def groups_without_windows(rows: DataFrame, index: DataFrame, group: str = "symbol") -> DataFrame:
+    """Groups of the rows that no decoder window belongs to."""
+    return rows.select(group).distinct().join(index.select(group).distinct(), group, "left_anti")

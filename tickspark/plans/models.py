@@ -228,7 +228,12 @@ def universe_churn(spark, d):
     return U.churn(U.clean(c.where("c_custkey % 10 <> 0")), U.clean(c.where("c_custkey % 13 <> 0")))
 
 
-@register("universe_digest")
+@register(
+    "universe_digest",
+    f"""WITH {COMPANIES}, c AS (SELECT symbol, min(company_name) AS company_name, min(sector) AS sector FROM cl GROUP BY symbol), l AS (SELECT symbol, concat_ws(',', symbol, company_name, sector) AS line FROM c),
+p AS (SELECT left(sha256(coalesce(symbol, '')), 2) AS b, sha256(string_agg(sha256(line), '' ORDER BY sha256(line))) AS h, count(*) AS n, sum(strlen(line)) AS s FROM l GROUP BY 1)
+SELECT sum(n)::BIGINT AS members, sum(s)::BIGINT AS bytes, sha256(string_agg(b || h, '' ORDER BY b || h)) AS digest FROM p""",
+)
 def universe_digest(spark, d):
     return U.artifact_digest(U.clean(companies(spark, d)))
 

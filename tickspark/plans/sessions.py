@@ -11,18 +11,36 @@ from tickspark.plans.market import half_hours
 
 LISTED = ", ".join(f"'{s}'" for s in SYMBOLS)
 
-#: The rules' sessions in the months the events lie in; January 2024 has New Year's Day and the third Monday.
-SESS = """sess AS (SELECT d::DATE AS session_date, d + INTERVAL 870 MINUTE AS market_open, d + INTERVAL 1260 MINUTE AS market_close, FALSE AS is_early_close
-  FROM (SELECT unnest(generate_series(min(ts)::DATE::TIMESTAMP, least(max(ts)::DATE::TIMESTAMP, TIMESTAMP '2024-01-31'), INTERVAL 1 DAY)) AS d FROM events)
-  WHERE isodow(d) <= 5 AND d::DATE NOT IN (DATE '2024-01-01', DATE '2024-01-15'))"""
+#: The exchange's full closures and early closes of 2023 to 2025, as the SQL's own calendar.
+CLOSED = """2023-01-02 2023-01-16 2023-02-20 2023-04-07 2023-05-29 2023-06-19 2023-07-04 2023-09-04 2023-11-23 2023-12-25
+2024-01-01 2024-01-15 2024-02-19 2024-03-29 2024-05-27 2024-06-19 2024-07-04 2024-09-02 2024-11-28 2024-12-25
+2025-01-01 2025-01-20 2025-02-17 2025-04-18 2025-05-26 2025-06-19 2025-07-04 2025-09-01 2025-11-27 2025-12-25""".split()
+EARLY = "2023-07-03 2023-11-24 2024-07-03 2024-11-29 2024-12-24 2025-07-03 2025-11-28 2025-12-24".split()
+
+
+def _dates(days: list[str]) -> str:
+    return ", ".join(f"DATE '{x}'" for x in days)
+
+
+def _utc(minutes: str) -> str:
+    return f"((d + {minutes} * INTERVAL 1 MINUTE) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC'"
+
+
+def _new_york(instant: str) -> str:
+    return f"(({instant} AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')::DATE"
+
+
+SESS = f"""sess AS (SELECT d::DATE AS session_date, {_utc("570")} AS market_open, {_utc(f"(CASE WHEN d::DATE IN ({_dates(EARLY)}) THEN 780 ELSE 960 END)")} AS market_close, d::DATE IN ({_dates(EARLY)}) AS is_early_close
+  FROM (SELECT unnest(generate_series(min(ts)::DATE::TIMESTAMP, max(ts)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM events)
+  WHERE isodow(d) <= 5 AND d::DATE NOT IN ({_dates(CLOSED)}))"""
 GRID = f"""{SESS}, starts AS (SELECT session_date, unnest(generate_series(market_open, market_close - INTERVAL 30 MINUTE, INTERVAL 30 MINUTE)) AS window_start FROM sess),
   grid AS (SELECT session_date, window_start, unnest([{LISTED}]) AS symbol FROM starts)"""
 INSIDE = "inside AS (SELECT s.session_date, market_open, market_close, t.* FROM trades t JOIN sess s ON t.event_time >= market_open AND t.event_time < market_close)"
 
 
 def sess(spark, d):
-    span = trades(spark, d).agg(F.min(F.to_date("event_time")).alias("first_day"), F.least(F.max(F.to_date("event_time")), F.lit("2024-01-31").cast("date")).alias("last_day"))
-    return C.sessions(span)
+    span = trades(spark, d).agg(F.min(F.to_date("event_time")).alias("first_day"), F.max(F.to_date("event_time")).alias("last_day"))
+    return C.held(C.sessions(span))
 
 
 @register("sessions", f"WITH {SESS} SELECT * FROM sess")
@@ -35,12 +53,12 @@ def session_grid(spark, d):
     return C.session_grid(sess(spark, d), SYMBOLS)
 
 
-@register("holiday_flags", f"WITH {TRADES} SELECT event_id, CASE WHEN (event_time - INTERVAL 5 HOUR)::DATE IN (DATE '2024-01-01', DATE '2024-01-15') THEN '1.0' ELSE '0.0' END AS is_holiday, '0.0' AS is_early_close FROM trades")
+@register("holiday_flags", f"WITH {TRADES} SELECT event_id, CASE WHEN {_new_york('event_time')} IN ({_dates(CLOSED)}) THEN '1.0' ELSE '0.0' END AS is_holiday, CASE WHEN {_new_york('event_time')} IN ({_dates(EARLY)}) THEN '1.0' ELSE '0.0' END AS is_early_close FROM trades")
 def holiday_flags(spark, d):
     return C.holiday_flags(trades(spark, d).select("event_id", "event_time"), "event_time").drop("event_time")
 
 
-@register("session_state", f"WITH {TRADES}, {SESS} SELECT event_id, coalesce(event_time >= market_open AND event_time < market_close, FALSE) AS is_open, coalesce(event_time >= market_open - INTERVAL 10 MINUTE AND event_time < market_close, FALSE) AS may_collect FROM trades LEFT JOIN sess ON session_date = (event_time - INTERVAL 5 HOUR)::DATE")
+@register("session_state", f"WITH {TRADES}, {SESS} SELECT event_id, coalesce(event_time >= market_open AND event_time < market_close, FALSE) AS is_open, coalesce(event_time >= market_open - INTERVAL 10 MINUTE AND event_time < market_close, FALSE) AS may_collect FROM trades LEFT JOIN sess ON session_date = {_new_york('event_time')}")
 def session_state(spark, d):
     return C.session_at(trades(spark, d).select("event_id", "event_time"), sess(spark, d), "event_time").select("event_id", "is_open", "may_collect")
 
@@ -141,7 +159,12 @@ def recovery_coverage(spark, d):
     return V.recovery_coverage(trades(spark, d), sess(spark, d), SYMBOLS)
 
 
-@register("content_digest")
+@register(
+    "content_digest",
+    f"""WITH {BARS}, h AS (SELECT symbol, window_start::DATE AS day, sha256('{{"symbol":"' || symbol || '","window_start":"' || strftime(window_start, '%Y-%m-%dT%H:%M:%S.000') || '","window_end":"' || strftime(window_end, '%Y-%m-%dT%H:%M:%S.000')
+  || '","open":' || open || ',"high":' || high || ',"low":' || low || ',"close":' || close || ',"total_volume":' || total_volume || '}}') AS h FROM bars),
+g AS (SELECT symbol || '|' || day || '|' || sha256(string_agg(h, '' ORDER BY h)) AS k FROM h GROUP BY symbol, day) SELECT count(*) AS groups, sha256(string_agg(k, '' ORDER BY k)) AS digest FROM g""",
+)
 def content_digest(spark, d):
     return V.content_digest(half_hours(spark, d))
 
@@ -173,7 +196,7 @@ def allowed_symbols(spark, d):
     f"""WITH {GRID}, {BARS}, h AS (SELECT symbol, window_end AS event_timestamp, close, total_volume FROM bars WHERE window_end <= TIMESTAMP '2024-01-12 18:00:00'), l AS (SELECT symbol, max(event_timestamp) AS last, arg_max(close, event_timestamp) AS close, arg_max(total_volume, event_timestamp) AS total_volume FROM h GROUP BY symbol),
 n AS (SELECT symbol, close, total_volume, window_start + INTERVAL 30 MINUTE AS event_timestamp, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS k FROM l JOIN starts ON window_start + INTERVAL 30 MINUTE > last),
 u AS (SELECT symbol, event_timestamp, close, total_volume FROM h UNION ALL SELECT symbol, event_timestamp, close, total_volume FROM n WHERE k <= 39)
-SELECT symbol, event_timestamp, row_number() OVER w::INTEGER - 1 AS time_idx, CASE WHEN (event_timestamp - INTERVAL 5 HOUR)::DATE IN (DATE '2024-01-01', DATE '2024-01-15') THEN '1.0' ELSE '0.0' END AS is_holiday, hour(event_timestamp)::INTEGER AS hour, round(ln(close), 8) AS log_close,
+SELECT symbol, event_timestamp, row_number() OVER w::INTEGER - 1 AS time_idx, CASE WHEN {_new_york('event_timestamp')} IN ({_dates(CLOSED)}) THEN '1.0' ELSE '0.0' END AS is_holiday, hour(event_timestamp)::INTEGER AS hour, round(ln(close), 8) AS log_close,
   round(coalesce(ln(close) - lag(ln(close)) OVER w, 0), 8) + 0.0 AS target FROM u WINDOW w AS (PARTITION BY symbol ORDER BY event_timestamp)""".replace("row_number() OVER w::INTEGER", "(row_number() OVER w)::INTEGER"),
 )
 def prediction_frame(spark, d):

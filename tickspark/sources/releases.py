@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tickspark.operators.bars import LOOKBACK, bounded_history, ohlcv, rolling
 from tickspark.operators.coverage import content_digest, qualify_sessions, tick_coverage
 from tickspark.operators.pointintime import materialise
 from tickspark.operators.quality import frame_rules, violation_counts
-from tickspark.operators.release import publication_checks, sliding_snapshot
+from tickspark.operators.release import KEYS, insert_if_absent, overlap_conflicts, publication_checks, sliding_snapshot
 from tickspark.sources.tables import Ledger, VersionedTable, exists
 
 
@@ -80,17 +81,26 @@ def write_manifest(spark: SparkSession, folder: str, dataset_id: str, historical
 
 
 def manifests(spark: SparkSession, path: str) -> DataFrame:
+    """All of them; ``release.of_session`` picks and orders those of a session."""
     return spark.read.json(f"{path}/*/manifest")
 
 
 LEDGER = "dataset_id string, manifest string, status string, max_event_time timestamp_ntz, updated_at timestamp_ntz"
 
 
-def publish(release: str, offline: VersionedTable, ledger: Ledger, online: DataFrame, days: int = 180) -> tuple[DataFrame, DataFrame]:
+def history_rows(held: DataFrame, rows: DataFrame, payload: Sequence[str]) -> DataFrame:
+    """The rows whose keys the history lacks; refused if a key that it holds has other values."""
+    if not overlap_conflicts(held, rows, payload).isEmpty():
+        raise Refused("the history differs from what is held; publish a range that does not overlap")
+    return insert_if_absent(held, rows)
+
+
+def publish(release: str, offline: VersionedTable, ledger: Ledger, online: DataFrame, days: int = 180, history: VersionedTable | None = None) -> tuple[DataFrame, DataFrame]:
     """Upserts a release into the offline table and returns the training snapshot and the new online view.
 
     The ledger goes from pending to complete; a release that is complete already is not applied again, and an older release
-    or one beside a pending other is refused."""
+    or one beside a pending other is refused. A historical release only adds rows to ``history``, a table of its own, is
+    refused where it differs from rows there, and leaves the live rows and the online view as they are."""
     spark = offline.spark
     m = spark.read.json(f"{release}/manifest").first()
     newest = F.lit(m.max_event_time).cast("timestamp_ntz")
@@ -99,8 +109,20 @@ def publish(release: str, offline: VersionedTable, ledger: Ledger, online: DataF
     features = spark.read.parquet(f"{release}/features")
     if features.count() != m.row_count:
         raise Refused("the release's rows are not what its manifest says")
+    if m.historical:
+        if history is None:
+            raise Refused("a historical release needs the table of histories")
+        if not checks.already_complete:
+            if checks.others_pending:
+                raise Refused("another publication is pending")
+            names = [f.name for f in history.schema.fields if f.name in features.columns]
+            new = history_rows(history.read(), features.select(*names), [c for c in names if c not in KEYS])
+            history.append(new.withColumn("dataset_version", F.lit(m.dataset_id)))
+            stamp = spark.range(1).select(newest.alias("t")).first().t
+            ledger.record(m.dataset_id, json.dumps({"historical": True}), "complete", stamp, stamp)
+        return history.read(), online
     if not checks.already_complete:
-        if checks.others_pending or (checks.newer_complete and not m.historical):
+        if checks.others_pending or checks.newer_complete:
             raise Refused("another publication is pending, or newer")
         stamp = spark.range(1).select(newest.alias("t")).first().t
         ledger.record(m.dataset_id, json.dumps({"historical": m.historical}), "pending", stamp, stamp)

@@ -20,8 +20,11 @@ POINTER = "version long, partition string, folder string, created_at timestamp"
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder in spark.checkpoint.dir, which all machines share; a temporary one where that is unset, as in tests."""
+    """A new folder in spark.checkpoint.dir, which all machines share; where that is unset, a temporary one on a single machine
+    and an error on a cluster."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"{name}-")
 
 
@@ -30,6 +33,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
@@ -104,11 +112,13 @@ class VersionedTable:
         rows = self.read(now)
         return self._write(rows.repartition(files * max(1, len(self.folders(now))), F.expr(self.part)), now + 1, {})
 
-    def expire(self, keep: int = 2) -> list[str]:
-        """Removes the data folders that only versions before the last ``keep`` use; returns them."""
+    def expire(self, keep: int = 2, hours: float | None = None) -> list[str]:
+        """Removes the data folders that only versions before the last ``keep`` use, and that no version of the last ``hours``
+        uses if these are given; returns them."""
         newest = self.version()
         rows = self._pointers().where("folder is not null")
-        live = rows.where(F.col("version") > newest - keep).select("folder").distinct()
+        recent = F.lit(False) if hours is None else F.col("created_at") >= F.current_timestamp() - F.expr(f"interval {int(hours * 3600)} seconds")
+        live = rows.where((F.col("version") > newest - keep) | recent).select("folder").distinct()
         gone = [r.folder for r in rows.select("folder").distinct().join(live, "folder", "left_anti").collect()]
         for folder in gone:
             p = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -144,3 +154,20 @@ def schema_fingerprint(df: DataFrame) -> str:
 def evolve(target: DataFrame, updates: DataFrame) -> DataFrame:
     """The target with the columns that only the updates have, as nulls of their types."""
     return target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in updates.schema.fields if f.name not in target.columns})
+
+
+class SchemaLedger:
+    """The fingerprints that a table's schema has had; a new one is a new version."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.ledger = Ledger(spark, path, "table string, version int, fingerprint string")
+
+    def record(self, table: str, df: DataFrame) -> int:
+        """The version of the schema of ``df``, recorded if it changed."""
+        last = self.ledger.latest("table").where(F.col("table") == table).first()
+        fingerprint = schema_fingerprint(df)
+        if last is not None and last.fingerprint == fingerprint:
+            return last.version
+        version = 1 if last is None else last.version + 1
+        self.ledger.record(table, version, fingerprint)
+        return version

@@ -102,3 +102,39 @@ def candles(payloads: DataFrame, minutes: int = 30) -> DataFrame:
 
 def csv_bars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BAR).option("header", True).csv(path)
+
+
+def reconcile(records: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Per partition of a replay: what its bounds (partition, start, end_exclusive) promise and what was read: expected, rows,
+    first, last, repeated offsets, and whether the range is complete."""
+    inside = records.join(F.broadcast(bounds), "partition").where((F.col("offset") >= F.col("start")) & (F.col("offset") < F.col("end_exclusive")))
+    # one row an offset first, so that a partition with most records is spread
+    each = inside.groupBy("partition", "offset").agg(F.count("*").alias("_n"))
+    read = each.groupBy("partition").agg(F.count("*").alias("offsets"), F.sum(F.col("_n") - 1).alias("repeated"), F.min("offset").alias("first"), F.max("offset").alias("last"))
+    out = bounds.join(read, "partition", "left").fillna(0, ["offsets", "repeated"]).withColumn("expected", F.col("end_exclusive") - F.col("start"))
+    return out.select("partition", "start", "end_exclusive", "expected", "offsets", "repeated", "first", "last", (F.col("offsets") == F.col("expected")).alias("complete"))
+
+
+def replay(records: DataFrame, symbols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Valid trades with their topic, partition and offset, and the quarantine: where a rejected record was, why, and its bytes."""
+    t = F.from_json(F.col("value").cast("string"), RAW_TRADE)
+    price, volume, stamp = F.col("_t.price"), F.col("_t.volume"), F.col("_t.timestamp")
+    reason = (
+        F.when(F.col("_t").isNull() | F.col("_t.symbol").isNull() & price.isNull() & stamp.isNull(), "unreadable")
+        .when(~F.coalesce(F.col("_t.symbol").isin(list(symbols)), F.lit(False)), "symbol")
+        .when(~F.coalesce((price > 0) & (price < float("inf")), F.lit(False)), "price")
+        .when(~F.coalesce((volume > 0) & (volume < float("inf")), F.lit(False)), "volume")
+        .when(~F.coalesce((stamp >= 10**12) & (stamp < 10**14), F.lit(False)), "timestamp")
+    )
+    r = records.withColumn("_t", t).withColumn("reason", reason)
+    place = ["topic", "partition", "offset"]
+    good = r.where("reason is null").select("_t.*", *place).withColumn("event_time", millis(F.col("timestamp")))
+    return good, r.where("reason is not null").select(*place, "reason", F.base64(F.col("value").cast("binary")).alias("payload_base64"))
+
+
+def bounded_replay(bounds: DataFrame, most: int = 1_000_000) -> int:
+    """How many records the bounds hold; an error beyond ``most``, for a recovery is then to be cut by partition."""
+    n = bounds.agg(F.coalesce(F.sum(F.col("end_exclusive") - F.col("start")), F.lit(0))).first()[0]
+    if n > most:
+        raise ValueError(f"{n} records are more than the {most} of one recovery")
+    return n

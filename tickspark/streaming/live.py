@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -76,6 +78,20 @@ def drain(*queries: StreamingQuery) -> None:
             raise q.exception()
 
 
+def watch(queries: list[StreamingQuery]) -> None:
+    """Waits for all queries to end; if one dies the others are stopped and its error is raised."""
+    left = list(queries)
+    while left:
+        q = left[0]
+        q.awaitTermination(1)
+        dead = [x for x in queries if not x.isActive and x.exception()]
+        if dead:
+            for x in queries:
+                x.stop()
+            raise dead[0].exception()
+        left = [x for x in left if x.isActive]
+
+
 def last_seen(trades: DataFrame) -> DataFrame:
     """Per symbol the last trade, as a running aggregate (complete or update mode)."""
     return trades.groupBy("symbol").agg(F.max("event_time").alias("last_trade"), F.count("*").alias("trades"))
@@ -99,8 +115,39 @@ def progress_row(p) -> tuple:
     return take("name"), take("batchId"), take("numInputRows"), take("batchDuration") if not isinstance(p, dict) else p.get("durationMs", {}).get("triggerExecution", 0), lag
 
 
+PROGRESS = "name string, batch long, input_rows long, batch_ms long, lag long, input_per_second double, processed_per_second double"
+
+
+def partition_lag(source) -> int:
+    """The sum over a source's partitions of what its latest offsets hold beyond the batch's end; 0 for sources without offsets
+    by partition."""
+    offsets = []
+    for name in ("latestOffset", "endOffset"):
+        value = source.get(name) if isinstance(source, dict) else getattr(source, name, None)
+        try:
+            value = json.loads(value) if isinstance(value, str) else value
+        except ValueError:
+            value = None
+        offsets.append(value if isinstance(value, dict) else {})
+    latest, end = offsets
+    total = 0
+    for topic, parts in latest.items():
+        if isinstance(parts, dict):
+            total += sum(max(0, int(n) - int((end.get(topic) or {}).get(p, 0))) for p, n in parts.items())
+    return total
+
+
+def progress_metrics(p) -> tuple:
+    """One row of PROGRESS for a batch."""
+    name, batch, rows, ms, reported = progress_row(p)
+    take = p.get if isinstance(p, dict) else lambda k: getattr(p, k)
+    lag = sum(partition_lag(s) for s in take("sources"))
+    rate = [x if x is not None and math.isfinite(x) else 0.0 for x in (take("inputRowsPerSecond"), take("processedRowsPerSecond"))]
+    return name, batch, rows, ms, max(lag, reported), *map(float, rate)
+
+
 class ProgressListener(StreamingQueryListener):
-    """Hands one row a batch to ``sink``."""
+    """Hands one row of PROGRESS a batch to ``sink``."""
 
     def __init__(self, sink: Callable[[tuple], None]):
         self.sink = sink
@@ -109,7 +156,7 @@ class ProgressListener(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.sink(progress_row(event.progress))
+        self.sink(progress_metrics(event.progress))
 
     def onQueryIdle(self, event) -> None:
         pass
