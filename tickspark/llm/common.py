@@ -30,12 +30,14 @@ def word_count(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests, one machine) a folder of this machine, set once."""
+    """The folder in spark.checkpoint.dir; where that is unset a folder of this machine, set once, or on a cluster an error."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickspark-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
@@ -54,6 +56,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, df: DataFrame) -> str:
+    """The name, or a longer one if ``df`` has such a column."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
