@@ -71,8 +71,9 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, seed: int = 8, weight
         sized = sized.withColumn("_quality", F.lit(1.0))
     key = -F.log(uniform(F.col("doc_id"), seed)) / F.coalesce("_quality", F.lit(1.0))
     sized = cut(sized.select("doc_id", "source", "size", key.alias("_key")), "mix-keys")
-    # 1 - exp(-key) runs through (0, 1) in the order of the keys
-    sized = sized.withColumn("_range", F.least(F.lit(RANGES - 1), F.floor((1 - F.exp(-F.col("_key"))) * RANGES)).cast("int"))
+    # 1 - exp(-key / mean) runs through (0, 1) in the order of the keys, evenly whatever the weights' scale is
+    mean = sized.agg(F.coalesce(F.avg("_key"), F.lit(1.0))).first()[0]
+    sized = sized.withColumn("_range", F.least(F.lit(RANGES - 1), F.floor((1 - F.exp(-F.col("_key") / F.lit(mean))) * RANGES)).cast("int"))
     in_range = sized.groupBy("source", "_range").agg(F.sum("size").alias("_words"))
     source = targets(in_range.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, share, most)
     plan = source.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")).withColumn(
