@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tickspark.llm.common import ascii_lower, scratch
 
-MAX_BYTES = 1 << 30
+MAX_BYTES = 64 << 20
 DEFAULT = "allow"
 MAGIC = 0x5449434B55524C31
 
