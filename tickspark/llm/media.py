@@ -95,6 +95,7 @@ def store(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataF
 
     def to_shards(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = file_system(folder)
+        attempt = TaskContext.get().taskAttemptId()
         number, made, out, at, temp, name, rows = TaskContext.get().partitionId(), 0, None, 0, "", "", []
         seen: set[bytes] = set()
 
@@ -114,7 +115,8 @@ def store(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataF
                 if out is None or at >= shard_bytes:
                     if out is not None:
                         close()
-                    name, temp, at, made = f"{number:06d}-{made:04d}.tar", f"{root}/.{uuid.uuid4().hex}", 0, made + 1
+                    # a repeated task makes shards of its own; the index has the rows of the one that ended well
+                    name, temp, at, made = f"{number:06d}-{made:04d}-{attempt}.tar", f"{root}/.{uuid.uuid4().hex}", 0, made + 1
                     out = system.open_output_stream(temp)
                 out.write(tar_header(f"{digest.hexdigest()}.png", len(image)))
                 out.write(image)
