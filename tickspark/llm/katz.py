@@ -37,6 +37,8 @@ from tickspark.llm.common import bound_batches, cut, file_system, mix64, partiti
 #: Words cached on every executor; all others meet their counts in joins, so a small cache lets every size take both ways.
 VOCABULARY = 1 << 16
 CUT = 5
+#: Training tokens a partition of the pair table, at most about; a task holds one partition.
+PART = 16_000_000
 #: Tokens that are sorted and sent together.
 CHUNK = 2_000_000
 START, END, UNKNOWN, FIRST = 0, 1, 2, 3
@@ -345,7 +347,7 @@ def fit(docs: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Model, DataFrame
     d = discounts(of_counts)
     kept = total - sum((1 - float(d[r])) * r * of_counts.get(r, 0) for r in range(1, CUT + 1))
     words = Words(top.column("hash").to_numpy(), top.column("n").to_numpy(), total, ends, d, kept)
-    parts = partitions(spark)
+    parts = max(partitions(spark), -(-total // PART))
     words.hot = words.n * 4 * parts > max(total, 1)  # fewer than 4 x parts words
     held = spark.sparkContext.broadcast(words)
     folder = count_pairs(training, held, parts)
