@@ -28,7 +28,9 @@ from tickspark.llm.common import bound_batches, cut, word_count
 GROUP = ["source", "lang", "tokenizer"]
 #: How the byte-level vocabulary cuts a text before merging. Fixed value, published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-STATE = "doc_id long, source string, lang string, tokenizer string, n_tokens long, copy long, batch long"
+STATE = "doc_id long, source string, lang string, tokenizer string, n_tokens long, copy long, batch long, bucket int"
+#: The state is dealt to so many folders by document, and a batch reads those it touches.
+BUCKETS = 256
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long, batch long"
 
 
@@ -65,9 +67,10 @@ class TokenRollup:
             return []
         return sorted(r.batch for r in self.spark.read.schema("changes long, batch long").parquet(f"{self.folder}/commits").select("batch").collect())
 
-    def state(self) -> DataFrame:
-        """The latest row of every document and tokenizer; n_tokens is null after a delete."""
+    def state(self, buckets: list[int] | None = None) -> DataFrame:
+        """The latest row of every document and tokenizer (of some buckets); n_tokens is null after a delete."""
         rows = self._read("state", STATE, self.committed())
+        rows = rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
         latest = rows.groupBy("doc_id", F.coalesce("copy", F.lit(0)).alias("copy"), "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens"), "batch").alias("_s"))
         return latest.select("doc_id", "copy", "tokenizer", "_s.*")
 
@@ -90,11 +93,13 @@ class TokenRollup:
         order = F.struct(seq.alias("seq"), "op", n.alias("n"), F.col("source").alias("s"), F.col("lang").alias("l"))
         new = changes.where("op in ('insert', 'revise', 'delete')").groupBy("doc_id", copy, "tokenizer").agg(F.max(order).alias("_n"))
         new = new.select("doc_id", "copy", "tokenizer", F.col("_n.s").alias("source"), F.col("_n.l").alias("lang"), F.col("_n.n").alias("n_tokens"))
-        new.write.mode("overwrite").parquet(f"{self.folder}/state/batch={batch}")
-        new = self.spark.read.schema("doc_id long, copy long, tokenizer string, source string, lang string, n_tokens long").parquet(f"{self.folder}/state/batch={batch}")
+        new = new.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(BUCKETS)).cast("int"))
+        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/state/batch={batch}")
+        new = self.spark.read.schema("doc_id long, copy long, tokenizer string, source string, lang string, n_tokens long, bucket int").parquet(f"{self.folder}/state/batch={batch}")
         signed = [new.where("n_tokens is not null").select(*GROUP, F.lit(1).alias("docs"), F.col("n_tokens").alias("tokens"))]
         if done:
-            old, key = self.state().alias("o"), new.select("doc_id", "copy", "tokenizer").alias("k")
+            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most BUCKETS
+            old, key = self.state(touched).alias("o"), new.select("doc_id", "copy", "tokenizer").alias("k")
             met = old.join(key, F.col("o.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("o.copy") == F.col("k.copy")) & F.col("o.tokenizer").eqNullSafe(F.col("k.tokenizer")), "left_semi")
             signed.append(met.where("n_tokens is not null").select(*GROUP, F.lit(-1).alias("docs"), (-F.col("n_tokens")).alias("tokens")))
         rows = signed[0] if len(signed) == 1 else signed[0].unionByName(signed[1])
