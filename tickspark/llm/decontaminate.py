@@ -22,10 +22,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import cut
+from tickspark.llm.common import cut, free
 
 WINDOW = 10
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 16 << 20
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: A-Z to a-z; 0-9, a-z and everything outside ASCII stay; all else separates words.
 BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -113,7 +114,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     windows = cut(item_windows(benchmark, window), "windows")
     size = windows.agg(F.coalesce(F.sum(F.octet_length("window") + F.octet_length(F.concat_ws(",", "items"))), F.lit(0))).first()[0]
     blocks = -(-size // block_bytes) or 1
-    out = docs.withColumn("_found", F.expr("named_struct('n_words', 0L, 'spans', cast(array() as array<int>), 'items', cast(array() as array<string>))"))
+    nothing = F.expr("named_struct('n_words', 0L, 'spans', cast(array() as array<int>), 'items', cast(array() as array<string>))")
+    found, hits = free("_found", docs), None
     for k in range(blocks):
         part = [(bytes(r.window).split(), list(r.items)) for r in windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).toLocalIterator()]
         counts = word_counts(docs, {w for seq, _ in part for w in seq})
@@ -122,6 +124,31 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
             at = rarest(seq, counts)
             if counts.get(seq[at], 0):
                 index.setdefault(seq[at], []).append((at, seq, items))
-        out = out.withColumn("_found", probe(docs, index, F.col("_found")))
-    n_hit = F.expr("aggregate(_found.spans, 0L, (a, x) -> x - a)")  # ends less starts: the sign turns with each step
-    return out.withColumns({"n_words": F.col("_found.n_words"), "n_hit": n_hit, "spans": F.col("_found.spans"), "items": F.col("_found.items"), "contaminated": n_hit > 0}).drop("_found")
+        if blocks == 1:
+            out = docs.withColumn(found, probe(docs, index, nothing))
+            break
+        # one block's windows are held at a time; what it hits is written, a row for each of the few texts with a hit
+        here = docs.select("doc_id", "text").withColumn("_at", nothing).withColumn("_f", probe(docs, index, F.col("_at")))
+        here = cut(here.where("size(_f.spans) > 0").select(F.md5(F.col("text").cast("binary")).alias("_of"), "_f.spans", "_f.items"), "block-hits")
+        hits = here if hits is None else hits.unionByName(here)
+    if hits is not None:
+        out = with_hits(docs, hits, found)
+    n_hit = F.aggregate(F.col(found)["spans"], F.lit(0).cast("long"), lambda a, x: x - a)  # ends less starts: the sign turns with each step
+    return out.withColumns({"n_words": F.col(found)["n_words"], "n_hit": n_hit, "spans": F.col(found)["spans"], "items": F.col(found)["items"], "contaminated": n_hit > 0}).drop(found)
+
+
+def with_hits(docs: DataFrame, hits: DataFrame, found: str) -> DataFrame:
+    """``docs`` with the hits of all blocks merged; texts are known by their MD5, and equal texts have equal hits."""
+
+    @F.pandas_udf("array<int>")
+    def joined(spans: pd.Series) -> pd.Series:
+        return pd.Series([merged([int(i) for x in each for i in x]) for each in spans])
+
+    once = hits.groupBy("_of", "spans", "items").agg(F.lit(1).alias("_1"))  # copies of a text first become one row
+    each = once.groupBy("_of").agg(F.collect_list("spans").alias("_s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_i"))
+    each = each.select("_of", joined("_s").alias("_spans"), "_i")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.md5(F.col("text").cast("binary")).alias("of"))
+    none = F.array().cast("array<int>"), F.array().cast("array<string>")
+    n_words = F.regexp_count(F.coalesce("row.text", F.lit("")), F.lit(WORD)).cast("long")
+    f = F.struct(n_words.alias("n_words"), F.coalesce("_spans", none[0]).alias("spans"), F.coalesce("_i", none[1]).alias("items"))
+    return rows.join(each, F.col("of") == F.col("_of"), "left").select("row.*", f.alias(found))
