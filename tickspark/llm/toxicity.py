@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import bound_batches, cut
+from tickspark.llm.common import bound_batches, cut, free
 from tickspark.llm.decontaminate import BYTES
 
 EXAMPLES = 8000
@@ -247,7 +247,6 @@ def score(docs: DataFrame, model: Neighbours, threshold: float = THRESHOLD) -> D
         for texts in parts:
             yield pd.DataFrame([m.score(m.vocabulary.counts(words(t))) for t in texts], columns=["score", "neighbours", "cosines"])
 
-    out = docs.withColumn("_near", look("text"))
-    return out.withColumns(
-        {"held_out": held_out(F.col("doc_id")), "score": F.col("_near.score"), "predicted": (F.col("_near.score") >= threshold).cast("int"), "neighbours": F.col("_near.neighbours"), "cosines": F.col("_near.cosines")}
-    ).drop("_near")
+    near = free("_near", docs)
+    out, found = docs.withColumn(near, look("text")), F.col(near)
+    return out.withColumns({"held_out": held_out(F.col("doc_id")), "score": found["score"], "predicted": (found["score"] >= threshold).cast("int"), "neighbours": found["neighbours"], "cosines": found["cosines"]}).drop(near)
