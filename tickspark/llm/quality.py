@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import bound_batches, cut
+from tickspark.llm.common import bound_batches, cut, free
 
 EXAMPLES = 8000
 WIDTH = 1 << 18
@@ -268,6 +268,7 @@ def score(docs: DataFrame, model: LabelModel, weights: np.ndarray, keep: float =
         score = 1 / (1 + np.exp(-np.clip(batch.dot(w), -50, 50)))
         return pd.DataFrame({"votes": votes, "posterior": [posterior.get(v) for v in votes], "score": score})
 
-    out = docs.withColumn("_q", look(F.col("text").cast("binary")))
-    names: dict[str, Column] = {c: F.col("_q")[c] for c in ("votes", "posterior", "score")}
-    return out.withColumns(names | {"keep": F.col("_q.score") >= keep}).drop("_q")
+    q = free("_q", docs)
+    out = docs.withColumn(q, look(F.col("text").cast("binary")))
+    names: dict[str, Column] = {c: F.col(q)[c] for c in ("votes", "posterior", "score")}
+    return out.withColumns(names | {"keep": F.col(q)["score"] >= keep}).drop(q)
