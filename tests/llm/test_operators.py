@@ -83,6 +83,26 @@ def test_media_round_trip(spark):
     assert media.media_columns(empty(spark)).isEmpty()
 
 
+def test_features_and_sizes_are_those_of_the_stored_images(spark):
+    texts = ["", "short", "x" * 192, "abc " * 1000, "é" * 500]
+    for r in media.media_columns(frame(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect():
+        data = media.payload(texts[r.doc_id].encode())
+        x = list(data)
+        mean = sum(x) / len(x)
+        spread = math.sqrt(sum((v - mean) ** 2 for v in x) / len(x))
+        steps = sum(a != b for a, b in zip(x, x[1:], strict=False)) / (len(x) - 1)
+        height, cells = len(x) // 192, []
+        for k in range(8):
+            a, b = min(k * height // 8, height - 1), (k + 1) * height // 8
+            for c in range(0, 192, 24):
+                block = [x[y * 192 + z] for y in range(a, max(b, a + 1)) for z in range(c, c + 24)]
+                cells.append(sum(block) / len(block))
+        bits = "".join(str(int(v > sum(cells) / 64)) for v in cells)
+        assert r.feature == f"{mean:.4f}:{spread:.4f}:{steps:.4f}:{int(bits, 2):016x}"
+        image = media.encode(data)
+        assert (r.length, r.media_sha256, r.n_bytes) == (len(image), hashlib.sha256(image).hexdigest(), len(texts[r.doc_id].encode()))
+
+
 def test_shards_are_tar_files_with_every_payload_once_a_task(spark):
     import tarfile
 
@@ -421,6 +441,42 @@ def test_token_counts_of_odd_rows(spark):
     assert token_rollup.count_tokens(empty(spark), VOCABULARY, "v").isEmpty()
 
 
+def test_the_three_batches_equal_a_recount_of_the_whole_tables(spark, sf):
+    """Words and pieces of every document counted apart from the rollup, with what the labels say done to the sums."""
+    import base64
+
+    import tiktoken
+
+    from tickspark.llm import queries
+
+    with open(VOCABULARY, "rb") as f:
+        code = tiktoken.Encoding("recount", pat_str=token_rollup.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
+    marks = {}
+    for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
+        q, t = marks.get(r.doc_id, (1, 0))
+        marks[r.doc_id] = (min(q, r.quality), max(t, r.toxic))
+    want = Counter()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        q, t = marks.get(r.doc_id, (1, 0))
+        if q == 0 and r.doc_id in marks:
+            continue
+        source = "quarantine" if t == 1 else r.source
+        for tokenizer, n in (("words-1", len(words(r.text))), ("byte-bpe-50k-1", len(code.encode_ordinary(r.text or "")))):
+            want[source, r.lang, tokenizer, "docs"] += 1
+            want[source, r.lang, tokenizer, "tokens"] += n
+    got = {(r.source, r.lang, r.tokenizer, k): r[k] for r in queries.op6_token_counts(spark, sf).collect() for k in ("docs", "tokens")}
+    assert got == dict(want)
+
+
+def test_a_small_batch_reads_only_the_buckets_it_touches(spark):
+    t = token_rollup.TokenRollup(spark, scratch(spark, "rollup"))
+    t.commit(1, changes(spark, *[("insert", i, "a", "en", "t", 1, 0) for i in range(500)]))
+    one = t.state([3])
+    assert 0 < one.count() < 50 and "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
+    t.commit(2, changes(spark, ("delete", 7, None, None, "t", None, 0)))
+    assert totals(t) == {("a", "en"): (499, 499)}
+
+
 # 7: quality
 
 
@@ -667,6 +723,87 @@ def test_held_out_toxic_documents_are_found(spark):
     assert all(len(r.neighbours) and max(r.cosines) > 0 for r in got if r.predicted)
 
 
+def isotonic(pairs):
+    """The monotone fit by its min-max formula: at the i-th point, the largest over starts of the least mean up to any end."""
+    pairs = sorted(pairs)
+    y = [b for _, b in pairs]
+    return [max(min(sum(y[a : b + 1]) / (b + 1 - a) for b in range(i, len(y))) for a in range(i + 1)) for i in range(len(y))], [a for a, _ in pairs]
+
+
+def test_scores_equal_brute_force(spark):
+    """Terms by their definition, dense vectors, all cosines, votes and the monotone fit, one after the other."""
+    rng = random.Random(3)
+    bad = ["scumword", "vileword", "rotword", "foulword"]
+    texts, toxic = {}, {}
+    for i in range(400):
+        w = [f"w{rng.randint(0, 60)}x" for _ in range(rng.randint(4, 12))]
+        toxic[i] = int(rng.random() < 0.3)
+        for _ in range(rng.randint(1, 2) if toxic[i] or rng.random() < 0.04 else 0):
+            w[rng.randrange(len(w))] = rng.choice(bad)
+        texts[i] = " ".join(w)
+    docs = frame(spark, [(i, t, "a") for i, t in texts.items()])
+    model = toxicity.fit(docs, spark.createDataFrame([(i, 1, y) for i, y in toxic.items()], "doc_id long, quality int, toxic int"), k=5)
+
+    train = [i for i in texts if zlib.crc32(str(i).encode()) % 3 != 1]
+    terms = {i: Counter(t for w in words(texts[i]) for t in [w, *(w[:n] + "*" for n in range(4, min(len(w), 7) + 1))]) for i in texts}
+    groups = {i: toxicity.group_of(toxicity.words(texts[i])) for i in train}
+    by_group = {}
+    for i in train:
+        by_group[groups[i]] = max(by_group.get(groups[i], 0), toxic[i])
+    rate = sum(by_group.values()) / len(by_group)
+    chosen = []
+    for t in {t for i in train for t in terms[i]}:
+        seen = {}
+        for i in train:
+            if t in terms[i]:
+                seen.setdefault(groups[i], []).append(toxic[i])
+        a, c = sum(max(x) for x in seen.values()), sum(1 - min(x) for x in seen.values())
+        tail = sum(math.comb(a + c, k) * rate**k * (1 - rate) ** (a + c - k) for k in range(a, a + c + 1))
+        if a >= toxicity.MIN_GROUPS and a >= toxicity.PURITY * (a + c) and tail < toxicity.P_VALUE:
+            chosen.append(t)
+    assert sorted(chosen) == sorted(model.number)
+    df = {t: sum(t in terms[i] for i in texts) for t in chosen}
+
+    def vector(i):
+        x = np.array([(1 + math.log(terms[i][t])) * (math.log((len(texts) + 1) / (df[t] + 1)) + 1) if terms[i][t] else 0.0 for t in chosen])
+        return x / np.sqrt((x * x).sum()) if x.any() else x
+
+    vectors = {i: vector(i) for i in texts}
+    order = {r.id: n for n, r in enumerate(spark.range(400).orderBy(F.xxhash64("id"), "id").collect())}
+
+    def vote(i, but=None):
+        near = [(float(vectors[j] @ vectors[i]), j) for j in train if groups[j] != but and vectors[j] @ vectors[i] > 1e-12]
+        if not near:
+            return None
+        near = sorted(near, key=lambda x: -round(x[0], 9))
+        kth = round(near[min(5, len(near)) - 1][0], 9)
+        sure, tied = [x for x in near if round(x[0], 9) > kth], [x for x in near if round(x[0], 9) == kth]
+        return sure, tied, 5 - len(sure)
+
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    place = {int(i): n for n, i in enumerate(model.ids)}
+    votes = []
+    for i in train:
+        if (v := vote(i, groups[i])) is not None:
+            sure, tied, left = v
+            used = sure + sorted(tied, key=lambda x: place[x[1]])[:left]
+            votes.append((sum(c * c * toxic[j] for c, j in used) / sum(c * c for c, _ in used), toxic[i]))
+    levels, steps = isotonic([*votes, (0.0, 1), (1.0, 0)])
+    without = [i for i in train if not vectors[i].any()]
+    for i, r in got.items():
+        v = vote(i)
+        if v is None:
+            assert r.score == pytest.approx(sum(toxic[j] for j in without) / (len(without) + 1)) and not r.neighbours
+            continue
+        sure, tied, left = v
+        used = sure + sorted(tied, key=lambda x: place[x[1]])[:left]
+        assert sorted(r.neighbours) == sorted(j for _, j in used) and sorted(r.cosines) == pytest.approx(sorted(c for c, _ in used), abs=1e-9)
+        share = sum(c * c * toxic[j] for c, j in used) / sum(c * c for c, _ in used)
+        at = max([k for k, s in enumerate(steps) if s <= share + 1e-12], default=0)
+        assert r.score == pytest.approx(levels[at], abs=1e-9) and r.predicted == int(levels[at] >= 0.7)
+    assert order and sum(r.predicted for r in got.values()) > 50
+
+
 def test_toxicity_on_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1, 1), (1, 0, 0), (None, 1, 1), (4, 1, None), (7, 1, 0)], "doc_id long, quality int, toxic int")
     got = toxicity.score(odd(spark), toxicity.fit(odd(spark), labels))
