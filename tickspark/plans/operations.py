@@ -152,12 +152,12 @@ def cache_hit_ratio(spark, d):
 
 
 @register(
-    "operations_readiness",
+    "readiness_with_publication",
     f"""WITH {GRID}, {BARS}, l AS (SELECT symbol, max(window_end) AS cutoff, arg_max(close, window_end) AS offline_close FROM bars GROUP BY symbol),
 m AS (SELECT symbol, count(*) AS missing_bars FROM grid ANTI JOIN bars USING (symbol, window_start) GROUP BY symbol)
 SELECT l.symbol, cutoff >= TIMESTAMP '2024-01-30 21:00:00' AS ready, coalesce(missing_bars, 0) AS missing_bars, 'r1' AS dataset_id, cutoff >= TIMESTAMP '2024-01-30 21:00:00' AND coalesce(missing_bars, 0) = 0 AS operational FROM l LEFT JOIN m ON l.symbol = m.symbol""",
 )
-def operations_readiness(spark, d):
+def readiness_with_publication(spark, d):
     b = labelled(spark, d)
     ready = M.readiness(P.latest_per_key(b, ["close"]), b, ntz("2024-01-30 21:00:00"))
     missing = V.missing_bars(half_hours(spark, d), sess(spark, d), SYMBOLS)
