@@ -197,6 +197,71 @@ def test_katz_models_words_outside_the_cache(spark, cached):
         assert (r.base_score, r.score) == pytest.approx(want[r.doc_id][3:], abs=1e-8)
 
 
+def brute_orders(docs, order):
+    """Katz by its recursive definition over tuples of words; checks that each history's probabilities add up to 1."""
+    texts = {i: [*words(t), "\n"] for i, t in docs}
+    train = [i for i in texts if zlib.crc32(str(i).encode()) % 5 != 1]
+    grams = {m: Counter() for m in range(1, order + 1)}
+    for i in train:
+        padded = ["<s>"] * (order - 1) + texts[i]
+        for k in range(order - 1, len(padded)):
+            for m in grams:
+                grams[m][tuple(padded[k - m + 1 : k + 1])] += 1
+    d = {m: katz.discounts(Counter(c.values())) for m, c in grams.items()}
+
+    def kept(m, n):
+        return n * (d[m][n] if n <= 5 else 1)
+
+    total = sum(grams[1].values())
+    single = sum(kept(1, n) for n in grams[1].values())
+    whole = {1: {(): total if single < total - 1e-9 else total + 0.5}}
+    after = {m: {} for m in grams}
+    for m in range(2, order + 1):
+        for g in grams[m]:
+            after[m].setdefault(g[:-1], []).append(g[-1])
+        whole[m] = {}
+        for h, ws in after[m].items():
+            n, k = sum(grams[m][(*h, w)] for w in ws), sum(kept(m, grams[m][(*h, w)]) for w in ws)
+            whole[m][h] = n if k < n - 1e-9 else n + 0.5
+
+    def prob(h, w):
+        m = len(h) + 1
+        if grams[m][(*h, w)]:
+            return kept(m, grams[m][(*h, w)]) / whole[m][h]
+        if m == 1:
+            return 1 - single / whole[1][()]
+        if h not in after[m]:
+            return prob(h[1:], w)
+        rest = 1 - sum(prob(h, x) for x in after[m][h])
+        return rest / (1 - sum(prob(h[1:], x) for x in after[m][h])) * prob(h[1:], w)
+
+    for m in range(2, order + 1):
+        for h in list(after[m])[:8]:
+            assert sum(prob(h, w) for (w,) in grams[1]) + prob(h, "never seen") == pytest.approx(1, abs=1e-9)
+    out = {}
+    for i, t in texts.items():
+        padded = ["<s>"] * (order - 1) + t
+        out[i] = sum(math.log10(prob(tuple(padded[k - order + 1 : k]), padded[k])) for k in range(order - 1, len(padded)))
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_katz_of_any_order_equals_brute_force(spark, order):
+    from tickspark.llm import katz_orders
+
+    rows = corpus(80, seed=order, vocabulary=25)
+    rows += [(80 + i, f"w0 rare{i} w1 rare{i // 2} w2", "a") for i in range(20)] + [(200, rows[3][1], "a")]
+    want, base = brute_orders([(i, t) for i, t, _ in rows], order), brute_katz([(i, t) for i, t, _ in rows])
+    for r in katz_orders.score(frame(spark, rows), order).collect():
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-8)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == base[r.doc_id][:3] and r.base_score == pytest.approx(base[r.doc_id][3], abs=1e-8)
+
+
+def test_katz_orders_on_odd_rows(spark):
+    got = katz.score(odd(spark), order=3).collect()
+    assert len(got) == 12 and all(math.isfinite(r.score) and r.score <= 0 for r in got) and katz.score(empty(spark), order=3).isEmpty()
+
+
 def test_katz_on_odd_rows(spark):
     got = katz.score(odd(spark)).collect()
     assert len(got) == 12 and all(math.isfinite(r.score) and r.score <= 0 for r in got)

@@ -537,8 +537,14 @@ class Pairs:
             return np.where(n > 0, np.log10(np.maximum(n, 1) * self.d[np.minimum(n, CUT + 1)] / whole), back), (n == 0) & ~cached
 
 
-def score(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
+def score(docs: DataFrame, vocabulary: int = VOCABULARY, order: int = 2) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
+
+    Pairs (order 2) travel packed, as this module says; other orders are joined, by ``katz_orders``."""
+    if order != 2:
+        from tickspark.llm import katz_orders
+
+        return katz_orders.score(docs, order)
     spark = docs.sparkSession
     model, counts = fit(docs, vocabulary)
     types = counts.count()
