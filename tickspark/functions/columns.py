@@ -7,13 +7,6 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NEW_YORK = "America/New_York"
-
-
-def new_york_date(instant: Column) -> Column:
-    return F.to_date(F.from_utc_timestamp(instant.cast("timestamp"), NEW_YORK))
-
-
 def cyclical(value: Column, period: int) -> tuple[Column, Column]:
     angle = value * F.lit(2 * math.pi / period)
     return F.sin(angle), F.cos(angle)
