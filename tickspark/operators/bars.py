@@ -29,6 +29,7 @@ def resample(bars: DataFrame, width: str) -> DataFrame:
     return out.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "symbol", "open", "high", "low", "close", "total_volume")
 
 
+#: The names of the features.
 FEATURES = ("avg_close", "volatility_close", "returns", "log_returns")
 
 
@@ -73,9 +74,11 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], *ties: Column) -> DataFram
 
 
 def log_return_target(df: DataFrame, order: str = "window_start", training: bool = True) -> DataFrame:
-    """target: one-step log return. Training drops each symbol's first row; serving puts 0."""
-    if training and df.where(F.col("close") <= 0).limit(1).count():
-        raise ValueError("closes must be positive")
-    step = F.log("close") - F.lag(F.log("close")).over(W.partitionBy("symbol").orderBy(order))
+    """target: one-step log return. Training drops each symbol's first row, and fails on a close that isn't positive; serving
+    puts 0."""
+    close = F.col("close")
+    if training:
+        close = F.when(close <= 0, F.raise_error(F.lit("closes must be positive"))).otherwise(close)
+    step = F.log(close) - F.lag(F.log(close)).over(W.partitionBy("symbol").orderBy(order))
     out = df.withColumn("target", step)
     return out.where("target is not null") if training else out.fillna(0.0, ["target"])

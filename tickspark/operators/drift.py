@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -44,14 +45,28 @@ def psi(samples: DataFrame, by: Sequence[str] = ("feature",), bins: int = BINS,
     return parts.select(*by, value.alias("psi"), "n_reference", "n_current")
 
 
-def distribution_distance(samples: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
-    """wasserstein, ks and its asymptotic p-value of each group, from both cumulative distributions over the distinct values."""
+def distribution_distance(samples: DataFrame, by: Sequence[str] = ("feature",), buckets: int = 256) -> DataFrame:
+    """wasserstein, ks and its asymptotic p-value of each group, from both cumulative distributions over the distinct values.
+
+    A group's values lie in ``buckets`` of equal width, each with a window of its own; what lies before a bucket, and the value
+    that follows it, come from one row a bucket, so that few groups with many values are spread."""
     n = samples.groupBy(*by, "value").agg(F.count_if(F.col("_side") == 0).alias("_a"), F.count_if(F.col("_side") == 1).alias("_b"))
-    w = W.partitionBy(*by).orderBy("value")
-    every = W.partitionBy(*by)
-    n = n.withColumns({"_n0": F.sum("_a").over(every), "_n1": F.sum("_b").over(every)})
-    gap = F.abs(F.sum("_a").over(w) / F.col("_n0") - F.sum("_b").over(w) / F.col("_n1"))
-    n = n.where((F.col("_n0") > 0) & (F.col("_n1") > 0)).select(*by, "_n0", "_n1", gap.alias("_gap"), (F.lead("value").over(w) - F.col("value")).alias("_step"))
+    whole = n.groupBy(*by).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.sum("_a").alias("_n0"), F.sum("_b").alias("_n1")).where((F.col("_n0") > 0) & (F.col("_n1") > 0))
+
+    def met(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+        same = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys], F.lit(True))
+        return left.alias("l").join(right.alias("r"), same).select("l.*", *[f"r.{c}" for c in right.columns if c not in keys])
+
+    place = F.floor((F.col("value") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * buckets)
+    n = met(n, whole, by).withColumn("_k", F.least(F.coalesce(place, F.lit(0)), F.lit(buckets - 1)).cast("int")).drop("_lo", "_hi")
+    edges = n.groupBy(*by, "_k").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"), F.min("value").alias("_first"))
+    w = W.partitionBy(*by).orderBy("_k")
+    before = w.rowsBetween(W.unboundedPreceding, -1)
+    edges = edges.select(*by, "_k", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before{c}") for c in ("_a", "_b")], F.lead("_first").over(w).alias("_next"))
+    n = met(n, edges, [*by, "_k"])
+    w = W.partitionBy(*by, "_k").orderBy("value")
+    gap = F.abs((F.col("_before_a") + F.sum("_a").over(w)) / F.col("_n0") - (F.col("_before_b") + F.sum("_b").over(w)) / F.col("_n1"))
+    n = n.select(*by, "_n0", "_n1", gap.alias("_gap"), (F.coalesce(F.lead("value").over(w), F.col("_next")) - F.col("value")).alias("_step"))
     out = n.groupBy(*by).agg(F.coalesce(F.sum(F.col("_gap") * F.col("_step")), F.lit(0.0)).alias("wasserstein"), F.max("_gap").alias("ks"), F.first("_n0").alias("_n0"), F.first("_n1").alias("_n1"))
     return out.withColumn("p_value", kolmogorov(F.sqrt(F.col("_n0") * F.col("_n1") / (F.col("_n0") + F.col("_n1"))) * F.col("ks"))).drop("_n0", "_n1")
 

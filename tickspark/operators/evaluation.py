@@ -78,6 +78,7 @@ def stability(windows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return windows.groupBy(*by).agg(F.avg("mae").alias("mae"), F.avg("hit_rate").alias("hit_rate"), F.avg("composite_score").alias("composite_score"), F.stddev_pop("composite_score").alias("stability"), F.count("*").alias("windows"))
 
 
+#: The limits of the promotion policy; the reasons below are fixed as well.
 POLICY = {"samples": 100, "gain": 0.02, "calibration": 0.10, "windows": 3, "wins": 0.66, "stability": 0.10, "improvement": 0.02, "degradation": 0.10}
 
 

@@ -15,6 +15,7 @@ LATE = "5 minutes"
 def trade_rules(as_of: Column | None = None, late: str | None = LATE, strategy: str = "dead_letter", finite: bool = False) -> dict[str, Column]:
     """Reason to condition. Volume 0 is valid here. ``finite`` adds a rule for NaN and infinities."""
     c = F.col
+    # fixed values: the reasons and their order
     rules = {
         "missing_symbol": c("symbol").isNull() | (F.trim("symbol") == ""),
         "invalid_price": c("price").isNull() | (c("price") <= 0),

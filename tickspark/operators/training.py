@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -35,13 +34,16 @@ def prediction_frame(history: DataFrame, future: DataFrame, time: str = "event_t
 
 
 def cutoff(rows: DataFrame, ratio: float = 0.2, time: str = "event_timestamp") -> DataFrame:
-    """One row: the distinct time with number floor(n (1 - ratio)), n of which there are; the bars' times are few."""
-    times = rows.select(time).distinct()
-    n = times.count()
-    k = math.floor(n * (1 - ratio))
-    if not 0 < ratio < 1 or not 0 < k < n:
+    """One row: the distinct time with number floor(n (1 - ratio)), n of which there are; the bars' times are few.
+
+    A ratio that leaves no training or no holdout times is an error where the cutoff is used."""
+    if not 0 < ratio < 1:
         raise ValueError("the ratio leaves no training or no holdout times")
-    return times.orderBy(time).limit(k).agg(F.max(time).alias("cutoff"))
+    times = rows.agg(F.array_sort(F.collect_set(time)).alias("_t"))
+    n = F.size("_t")
+    k = F.floor(n * F.lit(1 - ratio)).cast("int")
+    fits = (k > 0) & (k < n)
+    return times.select(F.when(fits, F.get("_t", F.greatest(k, F.lit(1)) - 1)).otherwise(F.raise_error(F.lit("the ratio leaves no training or no holdout times"))).alias("cutoff"))
 
 
 def temporal_split(rows: DataFrame, ratio: float = 0.2, encoder: int = 780, horizon: int = 39, time: str = "event_timestamp") -> tuple[DataFrame, DataFrame, DataFrame]:
