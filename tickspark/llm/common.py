@@ -18,7 +18,14 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Dealt to all cores where the input has splits for less than half of them, such as one file with one row group."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def ascii_lower(col: Column) -> Column:
