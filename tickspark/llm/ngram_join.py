@@ -227,8 +227,10 @@ def spanning_links(cs: np.ndarray, sets: list[np.ndarray], num: int, den: int) -
 
 def in_blocks(group: DataFrame) -> DataFrame:
     """(g, c) to (task, g, c): a class is in a task for each pair of blocks that its own block is in."""
-    counted = group.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
-    of = group.join(counted, "g").withColumn("_block", F.pmod(F.xxhash64("c"), F.col("_blocks").cast("long")).cast("int"))
+    # only groups larger than a block are looked up, so that the rows of a hot group don't meet for it
+    large = group.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks")).where("_blocks > 1")
+    of = group.join(large, "g", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    of = of.withColumn("_block", F.pmod(F.xxhash64("c"), F.col("_blocks").cast("long")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: F.struct(F.least("_block", k).alias("x"), F.greatest("_block", k).alias("y")))
     return of.select("g", "c", F.explode(pairs).alias("_xy")).select(F.xxhash64("g", "_xy.x", "_xy.y").alias("task"), "g", "c")
 
