@@ -30,7 +30,7 @@ GROUP = ["source", "lang", "tokenizer"]
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STATE = "doc_id long, source string, lang string, tokenizer string, n_tokens long, copy long, batch long, bucket int"
 #: The state is dealt to so many folders by document, and a batch reads those it touches.
-BUCKETS = 256
+BUCKETS = 64
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long, batch long"
 
 
