@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 from pyarrow import fs as pafs
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +89,16 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def ship(spark: SparkSession, path: str) -> str:
+    """Sends a file to every worker; ``shipped`` finds it there by the name returned."""
+    spark.sparkContext.addFile(path)
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def shipped(name: str) -> str:
+    return SparkFiles.get(name)
+
+
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """The finaliser of splitmix64 on unsigned 64-bit numbers."""
     with np.errstate(over="ignore"):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import decontaminate, katz, line_dedup, media, mixing, ngram_join, quality, token_rollup, toxicity, url_filter
+from tickspark.llm import byte_bpe, clustering, decontaminate, katz, line_dedup, media, mixing, ngram_join, quality, spelling, token_rollup, toxicity, url_filter
 from tickspark.llm.common import cut, scratch, table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -152,6 +152,57 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted", "neighbours", "cosines")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+g AS (SELECT coalesce(doc_id::VARCHAR, 'null') || ':' || run AS key, run, count(*) AS k FROM r WHERE length(run) >= 6 GROUP BY ALL),
+b AS (SELECT run, k, list_transform(range(octet_length(encode(key))), lambda i: ('0x' || substr(hex(encode(key)), 2 * i + 1, 2))::BIGINT) AS bytes FROM g),
+h AS (SELECT run, k, xor(4294967295, list_reduce(bytes, lambda c, x: list_reduce(range(8), lambda d, i: CASE WHEN d % 2 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END, xor(c, x)), 4294967295::BIGINT)) AS h FROM b),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, k FROM h),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+e AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v),
+s AS (SELECT word, length(word) AS l, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS key FROM e),
+d AS (SELECT DISTINCT e.word, v.word AS shorter FROM e JOIN v ON v.word = substr(e.word, 1, i - 1) || substr(e.word, i + 1)),
+p AS (SELECT a.word AS a, b.word AS b FROM s a JOIN s b ON a.l = b.l AND a.i = b.i AND a.key = b.key AND a.word <> b.word UNION SELECT word, shorter FROM d UNION SELECT shorter, word FROM d),
+q AS (SELECT a AS word, b, v.n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY v.n DESC, b) AS place FROM p JOIN v ON v.word = b),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN q.n >= 5 * v.n THEN b END AS form, CASE WHEN q.n >= 5 * v.n THEN q.n END AS form_n FROM v LEFT JOIN q ON v.word = q.word AND place = 1),
+c AS (SELECT word, word AS root, form AS following FROM f UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON f.word = c.following)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN c ON c.word = f.word AND c.following IS NULL
+"""
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded, and decoded from the ids."""
+    found = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
+    found = byte_bpe.decode(found, VOCABULARY)
+    return found.select("doc_id", byte_bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.report(*clustering.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5))
+
+
+def op13_sql(k: int = 40, rounds: int = 5) -> str:
+    """Every distance to every centroid, round by round."""
+    steps = [
+        r"""v AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64)""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, 'null')), v) - 1 AS c, v AS m FROM v ORDER BY c LIMIT {k})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT n, vec_id, v, d.c, d.distance FROM (SELECT n, vec_id, v, min({{'distance': list_sum(list_transform(range(1, 65), lambda j: (v[j] - m[j]) * (v[j] - m[j])))::BIGINT, 'c': c}}) AS d FROM v, c{i} GROUP BY n, vec_id, v))""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT c, j, sum(v[j]) AS s, count(*) AS k FROM a{i}, range(1, 65) t(j) GROUP BY c, j),
+m{i} AS (SELECT c, list((s - ((s % k) + k) % k) // k ORDER BY j) AS m FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.m, c{i}.m)::BIGINT[] AS m FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, a.c::INT AS cluster, distance, sum(distance) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.c = a.c"""
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_media_columns": op2_media_columns,
@@ -163,5 +214,8 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_centroids": op13_centroids,
 }
-ORACLES = {"op1_url_filter": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op5_line_dedup": OP5_SQL, "op8_source_mix": OP8_SQL, "op9_decontamination": OP9_SQL}
+ORACLES = {"op1_url_filter": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op5_line_dedup": OP5_SQL, "op8_source_mix": OP8_SQL, "op9_decontamination": OP9_SQL, "op11_spelling_variants": OP11_SQL, "op13_centroids": op13_sql()}
