@@ -25,15 +25,65 @@ def slo_rollup(requests: DataFrame, width: str = "5 minutes") -> DataFrame:
     return w.select(F.col("_w.start").alias("window_start"), "requests", (F.col("failed") / F.col("requests")).alias("error_ratio"), "p95_latency", (F.col("hits") / F.col("requests")).alias("hit_ratio"))
 
 
-def burn(rollup: DataFrame, fast: float = 0.05, slow: float = 0.01, latency: float = 1.0, slow_windows: int = 12) -> DataFrame:
-    """Conditions of each window: errors over the fast limit now and over the slow one in the last hour, and slow answers.
+def with_halo(rows: DataFrame, seconds: int, time: str = "window_start") -> DataFrame:
+    """``rows`` dealt to slices of a day (``_day``), each with the rows of the ``seconds`` before it; ``own`` rows are the slice's."""
+    if not 0 < seconds < 86_400:
+        raise ValueError("a halo is shorter than a slice")
+    days = F.array_distinct(F.array(F.to_date(time), F.to_date(F.col(time) + F.expr(f"interval {seconds} seconds"))))
+    return rows.withColumn("_day", F.explode(days))
 
-    The hour is a sum over windows of one day, so no task holds the whole history."""
-    day = F.to_date("window_start")
-    hour = W.partitionBy(day).orderBy(F.unix_timestamp(F.col("window_start").cast("timestamp"))).rangeBetween(-300 * (slow_windows - 1), 0)
+
+def own(rows: DataFrame, time: str = "window_start") -> DataFrame:
+    """Each row once, from its own slice."""
+    return rows.where(F.col("_day") == F.to_date(time)).drop("_day")
+
+
+#: Fixed values, as the alerts are defined: minutes for which error burn and slow answers hold before they fire.
+BURN_FOR, SLOW_FOR = 5, 10
+
+
+def burn(rollup: DataFrame, fast: float = 0.05, slow: float = 0.01, latency: float = 1.0, slow_windows: int = 12, step: int = 5) -> DataFrame:
+    """Conditions of each window: errors over the fast limit now and over the slow one in the last hour, and slow answers;
+    whether each has held long enough to fire: in this window and in all that start up to that many minutes before.
+
+    Slices of a day carry what their first windows look back to, so the hour knows no midnight and no task holds the whole
+    history. Windows without requests hold nothing."""
+    second = F.unix_timestamp(F.col("window_start").cast("timestamp"))
+
+    def back(seconds: int):
+        return W.partitionBy("_day").orderBy(second).rangeBetween(-seconds, 0)
+
+    hour = back(60 * step * (slow_windows - 1))
     failed = F.sum(F.col("error_ratio") * F.col("requests")).over(hour) / F.sum("requests").over(hour)
-    out = rollup.withColumn("hour_error_ratio", failed)
-    return out.withColumns({"availability_burn": (F.col("error_ratio") > fast) & (F.col("hour_error_ratio") > slow), "slow": F.col("p95_latency") > latency})
+    out = with_halo(rollup, 60 * (step * (slow_windows - 1) + max(BURN_FOR, SLOW_FOR))).withColumn("hour_error_ratio", failed)
+    out = out.withColumns({"availability_burn": (F.col("error_ratio") > fast) & (F.col("hour_error_ratio") > slow), "slow": F.col("p95_latency") > latency})
+
+    def firing(condition: str, minutes: int) -> Column:
+        return F.count_if(condition).over(back(60 * minutes)) == minutes // step + 1
+
+    return own(out.withColumns({"burn_firing": firing("availability_burn", BURN_FOR), "slow_firing": firing("slow", SLOW_FOR)}))
+
+
+#: Values that a latency sketch keeps at a level: up to so many it is exact, beyond them its rank error is below 0.1 %.
+SKETCH = 4096
+
+
+def slo_slices(requests: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """Mergeable rows of a window: counts, and a KLL sketch of the latency. A slice has the same size however many requests it saw."""
+    w = requests.groupBy(F.window("ts", width).alias("_w")).agg(
+        F.count("*").alias("requests"), F.count_if(F.col("status") >= 500).alias("failed"), F.count_if("cached").alias("hits"), F.kll_sketch_agg_double(F.col("latency").cast("double"), F.lit(SKETCH)).alias("latency")
+    )
+    return w.select(F.col("_w.start").alias("window_start"), "requests", "failed", "hits", "latency")
+
+
+def sliding_slo(slices: DataFrame, windows: int = 12, step: int = 5) -> DataFrame:
+    """Per window the roll-up of it and of those before it, ``windows`` in all, from slices alone: a slice goes to the windows
+    that it is part of, and counts and sketches are merged there."""
+    ends = F.sequence(F.col("window_start"), F.col("window_start") + F.expr(f"interval {step * (windows - 1)} minutes"), F.expr(f"interval {step} minutes"))
+    each = slices.select(F.explode(ends).alias("_end"), "*")
+    merged = each.groupBy("_end").agg(F.sum("requests").alias("requests"), F.sum("failed").alias("failed"), F.sum("hits").alias("hits"), F.kll_merge_agg_double("latency", F.lit(SKETCH)).alias("_l"), F.max("window_start").alias("_last"))
+    merged = merged.where(F.col("_last") == F.col("_end"))  # a window that had no requests has no row
+    return merged.select(F.col("_end").alias("window_start"), "requests", (F.col("failed") / F.col("requests")).alias("error_ratio"), F.kll_sketch_get_quantile_double("_l", F.lit(0.95)).alias("p95_latency"), (F.col("hits") / F.col("requests")).alias("hit_ratio"))
 
 
 def held_for(metrics: DataFrame, condition: Column, windows: int, keys: list[str], order: str) -> DataFrame:

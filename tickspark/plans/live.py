@@ -10,7 +10,7 @@ from tickspark.schemas import BAR
 from tickspark.sources import releases
 from tickspark.sources.tables import VersionedTable, workspace
 from tickspark.sources.trades import event_trades
-from tickspark.streaming import live
+from tickspark.streaming import live, liveness
 
 ONCE = {"availableNow": True}
 
@@ -64,6 +64,20 @@ def stream_liveness(spark, d):
     return live.stale(seen.crossJoin(F.broadcast(newest)), F.col("_now")).drop("_now")
 
 
+@register(
+    "stream_liveness_events",
+    f"""WITH {TRADES}, t AS (SELECT symbol, epoch_ms(event_time) AS t, lead(epoch_ms(event_time)) OVER (PARTITION BY symbol ORDER BY event_time) AS n FROM trades), w AS (SELECT max(t) - 10000 AS w FROM t),
+e AS (SELECT symbol, 'stale' AS status, t + 120000 AS m FROM t WHERE n IS NULL OR n - t > 120000 UNION ALL SELECT symbol, 'alive', n FROM t WHERE n - t > 120000)
+SELECT symbol, status, make_timestamp(m * 1000) AS "at" FROM e, w WHERE m <= w""",
+)
+def stream_liveness_events(spark, d):
+    """From the stream's own state and timers; nothing is computed after it."""
+    w = workspace(spark, "stream-liveness-events")
+    with liveness.rocksdb(spark):
+        live.append(liveness.transitions(stream_of(spark, d)), f"{w}/events", f"{w}/checkpoint", ONCE, "liveness").awaitTermination()
+    return spark.read.schema(liveness.EVENTS).parquet(f"{w}/events").select("symbol", "status", F.col("at").cast("timestamp_ntz").alias("at"))
+
+
 @register("stream_progress_metrics", "SELECT 'seen' AS name, count(*) AS input_rows, 0::BIGINT AS lag FROM events")
 def stream_progress_metrics(spark, d):
     w = workspace(spark, "stream-progress")

@@ -253,11 +253,22 @@ def slo_rollup(spark, d):
 
 @register(
     "alert_conditions",
-    f"""WITH {REQUESTS}, h AS (SELECT *, sum(error_ratio * requests) OVER w / sum(requests) OVER w AS hour_error_ratio FROM ro WINDOW w AS (PARTITION BY window_start::DATE ORDER BY epoch(window_start)::BIGINT RANGE BETWEEN 3300 PRECEDING AND CURRENT ROW))
-SELECT window_start, round(hour_error_ratio, 8) AS hour_error_ratio, error_ratio > 0.05 AND hour_error_ratio > 0.01 AS availability_burn, p95_latency > 1.0 AS slow FROM h""",
+    f"""WITH {REQUESTS}, h AS (SELECT *, epoch(window_start)::BIGINT AS t, sum(error_ratio * requests) OVER w / sum(requests) OVER w AS hour_error_ratio FROM ro WINDOW w AS (ORDER BY epoch(window_start)::BIGINT RANGE BETWEEN 3300 PRECEDING AND CURRENT ROW)),
+c AS (SELECT window_start, t, round(hour_error_ratio, 8) AS hour_error_ratio, error_ratio > 0.05 AND hour_error_ratio > 0.01 AS availability_burn, p95_latency > 1.0 AS slow FROM h)
+SELECT window_start, hour_error_ratio, availability_burn, slow, count(*) FILTER (availability_burn) OVER (ORDER BY t RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) = 2 AS burn_firing, count(*) FILTER (slow) OVER (ORDER BY t RANGE BETWEEN 600 PRECEDING AND CURRENT ROW) = 3 AS slow_firing FROM c""",
 )
 def alert_conditions(spark, d):
-    return rounded(M.burn(M.slo_rollup(requests(spark, d))), "hour_error_ratio").select("window_start", "hour_error_ratio", "availability_burn", "slow")
+    return rounded(M.burn(M.slo_rollup(requests(spark, d))), "hour_error_ratio").select("window_start", "hour_error_ratio", "availability_burn", "slow", "burn_firing", "slow_firing")
+
+
+@register(
+    "slo_sliding_hour",
+    """WITH rq AS (SELECT ts, event_type = 'error' AS bad, value / 100 AS latency, event_id % 3 = 0 AS cached, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start FROM events),
+w AS (SELECT DISTINCT window_start FROM rq), j AS (SELECT w.window_start, bad, latency, cached FROM w JOIN rq ON rq.window_start BETWEEN w.window_start - INTERVAL 55 MINUTE AND w.window_start)
+SELECT window_start, count(*) AS requests, (count(*) FILTER (bad))::DOUBLE / count(*) AS error_ratio, round(quantile_disc(latency, 0.95), 8) AS p95_latency, (count(*) FILTER (cached))::DOUBLE / count(*) AS hit_ratio FROM j GROUP BY 1""",
+)
+def slo_sliding_hour(spark, d):
+    return rounded(M.sliding_slo(M.slo_slices(requests(spark, d))), "p95_latency")
 
 
 @register("alerts_firing", f"WITH {BARS}, f AS (SELECT symbol, window_start, min((high - low > 20)::INT) OVER w = 1 AND count(*) OVER w = 3 AS firing FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) SELECT * FROM f")
