@@ -8,7 +8,7 @@ def words(text):
 
 
 #: Columns with the names that the operators use inside or return.
-CLASHING = ["size", "h", "key", "score", "n_words", "target", "taken", "spans", "c", "sig", "host", "rule", "_votes", "keep", "n_lines", "contaminated", "predicted", "_near", "_q", "_found", "_text", "_runs", "_d", "_t", "_kept", "row", "key", "cut", "kept", "n", "id", "of", "_id", "_of", "_key", "_range"]
+CLASHING = ["size", "h", "key", "score", "n_words", "target", "taken", "spans", "c", "sig", "host", "rule", "_votes", "keep", "n_lines", "contaminated", "predicted", "_near", "_q", "_found", "_text", "_runs", "_d", "_t", "_kept", "row", "key", "cut", "kept", "n", "id", "of", "_id", "_of", "_key", "_range", "_hit", "_both", "ids", "word", "form", "v"]
 
 
 def frame(spark, rows):

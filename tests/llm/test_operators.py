@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import LOWER, empty, frame, odd, words
-from tickspark.llm import decontaminate, katz, line_dedup, media, mixing, ngram_join, quality, token_rollup, toxicity, url_filter
+from tickspark.llm import byte_bpe, decontaminate, katz, line_dedup, media, mixing, ngram_join, quality, token_rollup, toxicity, url_filter
 from tickspark.llm.common import scratch
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -515,7 +515,7 @@ def test_the_three_batches_equal_a_recount_of_the_whole_tables(spark, sf):
     from tickspark.llm import queries
 
     with open(VOCABULARY, "rb") as f:
-        code = tiktoken.Encoding("recount", pat_str=token_rollup.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
+        code = tiktoken.Encoding("recount", pat_str=byte_bpe.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
     marks = {}
     for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
         q, t = marks.get(r.doc_id, (1, 0))

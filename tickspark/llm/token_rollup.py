@@ -16,18 +16,13 @@ document unless their copies differ.
 
 from __future__ import annotations
 
-import base64
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import bound_batches, cut, word_count
+from tickspark.llm import byte_bpe
+from tickspark.llm.common import cut, word_count
 
 GROUP = ["source", "lang", "tokenizer"]
-#: How the byte-level vocabulary cuts a text before merging. Fixed value, published with the vocabulary.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STATE = "doc_id long, source string, lang string, tokenizer string, n_tokens long, copy long, batch long, bucket int"
 #: The state is dealt to so many folders by document, and a batch reads those it touches.
 BUCKETS = 64
@@ -35,20 +30,11 @@ DELTA = "source string, lang string, tokenizer string, docs long, tokens long, b
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, version: str) -> DataFrame:
-    """doc_id, source, lang, tokenizer, n_tokens: of every document, its words and its tokens by the ranks in the file."""
-    bound_batches(docs.sparkSession)
-
-    @F.pandas_udf("long")
-    def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import tiktoken
-
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        code = tiktoken.Encoding(version, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        for texts in parts:
-            yield pd.Series([len(code.encode_ordinary(t)) if t else 0 for t in texts], dtype="int64")
+    """doc_id, source, lang, tokenizer, n_tokens: of every document, its words and its tokens by the ranks in the file.
 
-    counted = docs.select("doc_id", "source", "lang", word_count(F.col("text")).alias("words"), tokens("text").alias("pieces"))
+    Texts of any length are counted, whatever runs of blanks, letters or marks they hold (see ``byte_bpe``)."""
+    coded = byte_bpe.encode(docs.select("doc_id", "source", "lang", "text"), vocabulary)
+    counted = coded.select("doc_id", "source", "lang", word_count(F.col("text")).alias("words"), byte_bpe.n_tokens(F.col("ids")).alias("pieces"))
     both = F.array(F.struct(F.lit("words-1").alias("tokenizer"), F.col("words").alias("n_tokens")), F.struct(F.lit(version).alias("tokenizer"), F.col("pieces").alias("n_tokens")))
     return counted.select("doc_id", "source", "lang", F.inline(both))
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickspark.llm.common import ascii_lower, scratch
+from tickspark.llm.common import ascii_lower, free, scratch
 
 MAX_BYTES = 64 << 20
 DEFAULT = "allow"
@@ -146,9 +146,10 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = DE
                 rule[of[i]], block[of[i]] = asked[i], bool(opened.block[found[i]])
             yield pd.DataFrame({"rule": pd.Series(rule, dtype=object), "block": pd.Series(block, dtype=object)})
 
-    out = split_url(urls, url).withColumn("_hit", look_up("host", "path"))
-    verdict = F.when(F.col("_hit.block"), "block").when(~F.col("_hit.block"), "allow").otherwise(default)
-    return out.withColumns({"rule": F.col("_hit.rule"), "verdict": verdict}).drop("_hit")
+    hit = free("_hit", urls)
+    out = split_url(urls, url).withColumn(hit, look_up("host", "path"))
+    verdict = F.when(F.col(f"{hit}.block"), "block").when(~F.col(f"{hit}.block"), "allow").otherwise(default)
+    return out.withColumns({"rule": F.col(f"{hit}.rule"), "verdict": verdict}).drop(hit)
 
 
 def judge_by_join(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT) -> DataFrame:
@@ -156,11 +157,11 @@ def judge_by_join(urls: DataFrame, rules: DataFrame, url: str = "url", default:
     rules = clean_rules(rules)
     cut_at = F.instr("rule", "/")
     lengths = sorted(r[0] for r in rules.select(F.when(cut_at > 0, F.length("rule") - cut_at + 1).otherwise(0)).distinct().collect())  # at most the longest path
-    out = split_url(urls, url)
+    out, hit = split_url(urls, url), free("_hit", urls)
     pairs = out.select("host", "path").distinct()
     hosts = F.expr("filter(transform(sequence(1, size(split(host, '[.]'))), i -> array_join(slice(split(host, '[.]'), i, 1000000), '.')), h -> h != '')")
     asked = pairs.select("host", "path", F.explode(hosts).alias("_h")).select("host", "path", "_h", F.explode(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")).alias("_n"))
     asked = asked.where("_n <= length(path)").withColumn("rule", F.expr("concat(_h, substring(path, 1, _n))"))
-    best = asked.join(rules, "rule").groupBy("host", "path").agg(F.max(F.struct(F.length("rule"), F.length("_h"), "rule", "action")).alias("_hit"))
+    best = asked.join(rules, "rule").groupBy("host", "path").agg(F.max(F.struct(F.length("rule"), F.length("_h"), "rule", "action")).alias(hit))
     joined = out.drop("rule", "verdict").join(best, ["host", "path"], "left")
-    return joined.withColumns({"rule": F.col("_hit.rule"), "verdict": F.coalesce("_hit.action", F.lit(default))}).drop("_hit")
+    return joined.withColumns({"rule": F.col(f"{hit}.rule"), "verdict": F.coalesce(f"{hit}.action", F.lit(default))}).drop(hit)
