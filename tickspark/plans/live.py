@@ -66,7 +66,7 @@ def stream_liveness(spark, d):
 
 @register(
     "stream_liveness_events",
-    f"""WITH {TRADES}, t AS (SELECT symbol, epoch_ms(event_time) AS t, lead(epoch_ms(event_time)) OVER (PARTITION BY symbol ORDER BY event_time) AS n FROM trades), w AS (SELECT max(t) - 10000 AS w FROM t),
+    f"""WITH {TRADES}, t AS (SELECT symbol, epoch_us(event_time) // 1000 AS t, lead(epoch_us(event_time) // 1000) OVER (PARTITION BY symbol ORDER BY event_time) AS n FROM trades), w AS (SELECT max(t) - 10000 AS w FROM t),
 e AS (SELECT symbol, 'stale' AS status, t + 120000 AS m FROM t WHERE n IS NULL OR n - t > 120000 UNION ALL SELECT symbol, 'alive', n FROM t WHERE n - t > 120000)
 SELECT symbol, status, make_timestamp(m * 1000) AS "at" FROM e, w WHERE m <= w""",
 )
