@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickspark.operators import coverage, quality, training, universe
+from tickspark.operators import coverage, drift, quality, training, universe
 from tickspark.operators.release import newer_rows
 from tickspark.schemas import BAR
 from tickspark.sources import tables, trades
@@ -81,6 +81,18 @@ def offline_table(spark: SparkSession, path: str, like: DataFrame) -> tables.Ver
     return tables.VersionedTable(spark, path, like.schema).create_if_missing()
 
 
+def sketch_days(rows: DataFrame, path: str, columns: Sequence[str], time: str = "event_timestamp") -> None:
+    """Adds the sketches of the days of ``rows`` to the table in ``path``; a day that is there already is replaced."""
+    sketches = drift.period_sketches(rows, columns, time)
+    sketches.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+def drift_report(spark: SparkSession, path: str, now: Column, reference_days: int = 180, current_days: int = 30) -> DataFrame:
+    """The drift decision of two periods, read from the table of sketches; no row of the history is read. Unequal symbols are refused."""
+    sketches = spark.read.schema(drift.SKETCHED).parquet(path)
+    return drift.sketch_decision(sketches, now, reference_days, current_days)
+
+
 REQUIRED = {"symbol": "string", "window_start": "datetime", "close": "float", "total_volume": "int"}
 
 

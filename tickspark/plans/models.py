@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickspark import jobs
 from tickspark.operators import drift as D
 from tickspark.operators import evaluation as E
 from tickspark.operators import monitoring as M
@@ -12,6 +13,7 @@ from tickspark.operators.pointintime import latest_per_key
 from tickspark.plans.common import BARS, TRADES, read, register, trades
 from tickspark.plans.features import at, labelled
 from tickspark.plans.market import ROLLING, half_hours, rolling_features, rounded
+from tickspark.sources.tables import workspace
 
 #: Paths of 13 steps from the events; the second model is worse.
 SAMPLES = """smp AS (SELECT event_id // 13 AS sample_id, (event_id % 13 + 1)::INTEGER AS horizon, (value - 50) / 10000 AS y_true, (value - 50) / 20000 + (event_id % 7 - 3) / 1000.0::DOUBLE AS m, (value - 50) / 40000 + (event_id % 5 - 2) / 500.0::DOUBLE AS m2 FROM events),
@@ -193,8 +195,25 @@ def top_drift_features(spark, d):
 
 @register("drift_decision", f"WITH {SYMBOL}, g AS (SELECT symbol, bool_or(drifted) AS dr FROM sd GROUP BY symbol) SELECT count(*) AS symbols, count(*) FILTER (dr) AS drifted, (count(*) FILTER (dr))::DOUBLE / count(*) AS drifted_share, (WITH {TARGET} SELECT drift_detected FROM td) AS target_drifted, (count(*) FILTER (dr))::DOUBLE / count(*) >= 0.2 OR (WITH {TARGET} SELECT drift_detected FROM td) AS retrain, FALSE AS inconclusive FROM g")
 def drift_decision(spark, d):
-    ref, cur = periods(spark, d)
-    return D.decide(D.target_drift(ref, cur), D.symbol_drift(ref, cur, COLUMNS))
+    return D.decision(*periods(spark, d), COLUMNS)
+
+
+#: Whole days before and since 2024-01-20; the first of January is day 19 before it.
+DAYS = f"""{BARS}, r AS (SELECT symbol, window_end, close, high, low, total_volume::DOUBLE AS total_volume, ln(close) - ln(lag(close) OVER (PARTITION BY symbol ORDER BY window_end)) AS log_return, (window_end >= TIMESTAMP '2024-01-20 00:00:00')::INT AS side FROM bars),
+  lr AS (SELECT 'log_return' AS feature, round(log_return, 6) AS value, side FROM r WHERE log_return IS NOT NULL), tp AS (WITH s AS (FROM lr), {PSI.format(by='feature')} SELECT psi FROM psi), tw AS (WITH s AS (FROM lr), {DIST.format(by='feature')} SELECT wasserstein FROM di)"""
+
+
+@register(
+    "drift_from_sketches",
+    f"""WITH {MELTED}, {PSI.format(by='symbol, feature')}, g AS (SELECT symbol, bool_or(psi > 0.2) AS dr FROM psi GROUP BY symbol),
+t AS (WITH {DAYS} SELECT tp.psi > 0.2 OR tw.wasserstein > 0.1 AS td FROM tp, tw)
+SELECT count(*) AS symbols, count(*) FILTER (dr) AS drifted, (count(*) FILTER (dr))::DOUBLE / count(*) AS drifted_share, (SELECT td FROM t) AS target_drifted, (count(*) FILTER (dr))::DOUBLE / count(*) >= 0.2 OR (SELECT td FROM t) AS retrain, FALSE AS inconclusive FROM g""",
+)
+def drift_from_sketches(spark, d):
+    """Days are sketched once; the report reads the sketches."""
+    w = workspace(spark, "sketches")
+    jobs.sketch_days(labelled(spark, d), w, COLUMNS)
+    return jobs.drift_report(spark, w, F.lit("2024-02-19 00:00:00").cast("timestamp_ntz"), 180, 30)
 
 
 @register("symbol_drift_auc")
