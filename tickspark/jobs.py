@@ -13,7 +13,7 @@ from tickspark.operators import coverage, drift, quality, training, universe
 from tickspark.operators.release import newer_rows
 from tickspark.schemas import BAR
 from tickspark.sources import tables, trades
-from tickspark.sources.releases import Refused, history_features
+from tickspark.sources.releases import Refused, complete_session, history_features
 from tickspark.streaming import live
 
 
@@ -25,27 +25,42 @@ class LiveSession:
     bronze: str
     dead: str
     gold: tables.VersionedTable
+    metrics: live.MetricsTable
+    listener: live.MetricsListener
 
+    def close(self) -> None:
+        """Detaches the listener, once it has heard of every batch."""
+        spark = self.gold.spark
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(self.listener)
 
-def live_session(source: DataFrame, folder: str, as_of: Column | None = None, trigger: dict | None = None, compact_every: int = 50) -> LiveSession:
-    """Three queries with checkpoints of their own: valid trades, rejected trades, and bars of the stored valid trades.
 
-    ``as_of`` may be a column with each row's arrival, so that both sides judge lateness alike. With an availableNow trigger
-    the trades are finished before the bars start."""
+def live_session(source: DataFrame, folder: str, as_of: Column | None = None, trigger: dict | None = None, compact_every: int = 50, hours: float = live.RETENTION_HOURS) -> LiveSession:
+    """Two queries with checkpoints of their own: trades, which one tagged batch deals to the valid and the rejected table, and
+    bars of the stored valid trades. A batch's lateness is judged once, by the time that its offsets were logged with, or by
+    ``as_of``, which may be a column with each row's arrival. A listener keeps a row of metrics a batch, rejections by reason
+    among them. With an availableNow trigger the trades are finished before the bars start."""
     spark, trigger = source.sparkSession, trigger or {"processingTime": "30 seconds"}
-    tagged = quality.tag(source, quality.trade_rules(as_of))
-    valid = tagged.where("dq_reason is null").drop("dq_reason")
-    rejected = tagged.where("dq_reason is not null").withColumn("ingested_at", F.current_timestamp() if as_of is None else as_of)
+    rules = quality.trade_rules(as_of)
+    tagged = quality.observed(quality.tag(source, rules), list(rules))
     gold = tables.VersionedTable(spark, f"{folder}/gold", BAR).create_if_missing()
-    bronze, dead = f"{folder}/bronze", f"{folder}/dead"
-    queries = [live.append(rows, path, f"{folder}/checkpoints/{name}", trigger, name) for rows, path, name in ((valid, bronze, "bronze"), (rejected, dead, "dead"))]
-    if "availableNow" in trigger:
-        for q in queries:
-            q.awaitTermination()
+    bronze, dead, metrics = f"{folder}/bronze", f"{folder}/dead", live.MetricsTable(spark, f"{folder}/metrics")
     tables.make_folder(spark, bronze)
-    bars = live.bars_of(tables.stream(spark, bronze, valid.schema))
-    queries.append(live.each_batch(bars, live.upsert_writer(gold, compact_every), f"{folder}/checkpoints/gold", trigger, "gold", "update"))
-    return LiveSession(queries, bronze, dead, gold)
+    listener = live.MetricsListener(metrics, {"trades", "gold"})
+    spark.streams.addListener(listener)
+    queries = [live.each_batch(tagged, live.split_writer(bronze, dead, as_of), f"{folder}/checkpoints/trades", trigger, "trades")]
+    if "availableNow" in trigger:
+        queries[0].awaitTermination()
+    bars = live.bars_of(tables.stream(spark, bronze, source.schema, nested=True))
+    queries.append(live.each_batch(bars, live.upsert_writer(gold, compact_every, "gold", hours), f"{folder}/checkpoints/gold", trigger, "gold", "update"))
+    return LiveSession(queries, bronze, dead, gold, metrics, listener)
+
+
+def finish_session(job: LiveSession, past: DataFrame, session: DataFrame, symbols: Sequence[str], path: str, dataset_id: str) -> str:
+    """Drains the queries, then completes the session's release from the stored trades; a query that died prevents it."""
+    live.drain(*job.queries)
+    job.close()
+    return complete_session(tables.scan(job.gold.spark, job.bronze), past, session, list(symbols), path, dataset_id)
 
 
 def recovery_report(records: DataFrame, bounds: DataFrame, symbols: Sequence[str], most: int = 100_000_000) -> DataFrame:

@@ -40,6 +40,12 @@ def tag(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df.withColumn("dq_reason", F.nullif(reasons, F.lit("")))
 
 
+def observed(tagged: DataFrame, rules: Sequence[str], name: str = "quality") -> DataFrame:
+    """``tagged`` as it is, with counts that are taken while it runs: its rows, the rejected ones, and those of each reason."""
+    has = [F.count_if(F.array_contains(F.split("dq_reason", ";"), r)).alias(r) for r in rules]
+    return tagged.observe(name, F.count(F.lit(1)).alias("rows"), F.count("dq_reason").alias("rejected"), *has)
+
+
 def split(df: DataFrame, as_of: Column | None = None, late: str | None = LATE, strategy: str = "dead_letter") -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejected rows with dq_reason and ingested_at; both read the same tags, so no row is in both or neither."""
     tagged = tag(df, trade_rules(as_of, late, strategy))

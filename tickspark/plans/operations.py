@@ -422,11 +422,28 @@ def live_session(spark, d):
     """The live job over the events until they are used up: what each of its three queries has written."""
     job = jobs.live_session(faulty_stream(spark, d), workspace(spark, "live"), ntz("2023-01-01").cast("timestamp"), {"availableNow": True})
     live.watch(job.queries)
+    job.close()
     parts = [spark.read.parquet(job.bronze), spark.read.parquet(job.dead), job.gold.read()]
     rows = [p.agg(F.count("*").alias("n")).withColumn("output", F.lit(name)) for p, name in zip(parts, ("bronze", "dead", "gold"), strict=True)]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+@register(
+    "live_metrics",
+    f"""WITH {TRADES}, t AS (SELECT event_id % 83 = 0 AS s, event_id % 97 = 0 OR price IS NULL OR price <= 0 AS p, volume IS NULL OR volume < 0 AS v, event_time < TIMESTAMP '2024-01-03 23:55:00' AS l FROM trades)
+SELECT 'trades' AS name, m.metric, m.n FROM (SELECT unnest([{{'metric': 'rows', 'n': count(*)}}, {{'metric': 'rejected', 'n': count(*) FILTER (s OR p OR v OR l)}}, {{'metric': 'missing_symbol', 'n': count(*) FILTER (s)}}, {{'metric': 'invalid_price', 'n': count(*) FILTER (p)}}, {{'metric': 'invalid_volume', 'n': count(*) FILTER (v)}}, {{'metric': 'late_event', 'n': count(*) FILTER (l)}}]) AS m FROM t) WHERE m.n > 0
+UNION ALL SELECT 'trades', 'input_rows', count(*) FROM events""",
+)
+def live_metrics(spark, d):
+    """What the live job's listener has kept: rows, and rejections by reason, summed over its batches."""
+    job = jobs.live_session(faulty_stream(spark, d), workspace(spark, "live-metrics"), ntz("2024-01-04").cast("timestamp"), {"availableNow": True})
+    live.watch(job.queries)
+    job.close()
+    rows = job.metrics.read().where("name = 'trades'")
+    each = rows.select("name", F.explode(F.map_concat("observed", F.create_map(F.lit("input_rows"), "input_rows"))).alias("metric", "n"))
+    return each.groupBy("name", "metric").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 @register("stream_partition_lag", "SELECT 'seen' AS name, count(*) AS input_rows, 0::BIGINT AS lag, TRUE AS timed FROM events")
 def stream_partition_lag(spark, d):
     """Progress with rates, and the lag as the sum over partitions of what the source holds beyond the batch's end."""

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from tickspark.operators.release import KEYS, upsert
 
-POINTER = "version long, partition string, folder string, created_at timestamp"
+POINTER = "version long, partition string, folder string, source string, batch long, created_at timestamp"
 
 
 def workspace(spark: SparkSession, name: str) -> str:
@@ -33,6 +33,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def listed(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
+    """Names in a folder (metadata only), none if it is missing."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(n for x in fs.listStatus(p) if (n := x.getPath().getName()).endswith(suffix)) if fs.exists(p) else []
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
@@ -43,8 +50,9 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -
     return df.select(*columns) if columns else df
 
 
-def stream(spark: SparkSession, path: str, schema: StructType, files: int = 32) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def stream(spark: SparkSession, path: str, schema: StructType, files: int = 32, nested: bool = False) -> DataFrame:
+    """``nested``: files lie in folders whose names are no columns, such as those of batches."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", nested).parquet(path)
 
 
 def write_features(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False, partition_by: Sequence[str] = ()) -> None:
@@ -53,7 +61,10 @@ def write_features(df: DataFrame, path: str, mode: str = "errorifexists", single
 
 
 class VersionedTable:
-    """``part``: an expression for a row's partition, such as the month of a bar's start."""
+    """``part``: an expression for a row's partition, such as the month of a bar's start.
+
+    A change may name its ``source`` (a stream) and its batch: both are part of the pointer, so a batch that is delivered again
+    is known before anything is written, and its data folder is its own, so one that died halfway is overwritten."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, part: str = "date_format(window_start, 'yyyy-MM')", keys: Sequence[str] = KEYS):
         self.spark, self.path, self.schema, self.part, self.keys = spark, path, schema, part, tuple(keys)
@@ -63,65 +74,98 @@ class VersionedTable:
             self._point(0, [])
         return self
 
-    def _point(self, version: int, folders: list[tuple[str, str]]) -> None:
-        rows = self.spark.createDataFrame([(version, p, f) for p, f in folders] or [(version, None, None)], "version long, partition string, folder string")
-        rows.withColumn("created_at", F.current_timestamp()).coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/pointers/v={version}")
+    def _point(self, version: int, folders: list[tuple[str, str]], source: str | None = None, batch: int | None = None) -> None:
+        rows = [(version, p, f, source, batch) for p, f in folders] or [(version, None, None, source, batch)]
+        rows = self.spark.createDataFrame(rows, "version long, partition string, folder string, source string, batch long")
+        path = f"{self.path}/pointers/v={version}"
+        broken = exists(self.spark, path) and not exists(self.spark, f"{path}/_SUCCESS")  # a writer died in it
+        rows.withColumn("created_at", F.current_timestamp()).coalesce(1).write.mode("overwrite" if broken else "errorifexists").parquet(path)
 
-    def _pointers(self) -> DataFrame:
-        return self.spark.read.schema(POINTER).parquet(f"{self.path}/pointers/*")
+    def _pointers(self, versions: Sequence[int] | None = None) -> DataFrame:
+        paths = [f"{self.path}/pointers/v={v}" for v in (self.versions() if versions is None else versions)]
+        return self.spark.read.schema(POINTER).parquet(*paths)
+
+    def versions(self) -> list[int]:
+        """Those whose pointer was written to its end, which only the newest can lack."""
+        found = sorted(int(n[2:]) for n in listed(self.spark, f"{self.path}/pointers") if n.startswith("v="))
+        return found if not found or exists(self.spark, f"{self.path}/pointers/v={found[-1]}/_SUCCESS") else found[:-1]
 
     def version(self) -> int:
-        return self._pointers().agg(F.max("version")).first()[0]
+        return self.versions()[-1]
 
     def folders(self, version: int | None = None) -> dict[str, str]:
         """One row a partition of the version: metadata."""
-        rows = self._pointers().where((F.col("version") == (self.version() if version is None else version)) & F.col("folder").isNotNull())
+        rows = self._pointers([self.version() if version is None else version]).where("folder is not null")
         return {r.partition: r.folder for r in rows.collect()}
 
+    def applied(self, source: str, batch: int) -> int | None:
+        """The version that this batch or a later one of the source made."""
+        rows = self._pointers().where((F.col("source") == source) & (F.col("batch") >= batch))
+        return rows.agg(F.min("version")).first()[0]
+
     def read(self, version: int | None = None) -> DataFrame:
         """The newest version, or an older one by its number."""
         folders = sorted(self.folders(version).values())
         return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
-    def _write(self, rows: DataFrame, version: int, kept: dict[str, str]) -> int:
-        folder = f"{self.path}/data/v={version}-{uuid.uuid4().hex}"
+    def _write(self, rows: DataFrame, version: int, kept: dict[str, str], source: str | None = None, batch: int | None = None, own: bool = True) -> int:
+        """Data first, the pointer last; the partitions are those that the written folder holds."""
+        own = own and source is not None
+        folder = f"{self.path}/data/" + (f"{source}-{batch}" if own else f"v={version}-{uuid.uuid4().hex}")
         marked = rows.select(*[f.name for f in self.schema.fields], F.expr(self.part).alias("_part"))
-        marked.write.mode("errorifexists").partitionBy("_part").parquet(folder)
-        parts = [r[0] for r in marked.select("_part").distinct().collect()]
-        self._point(version, sorted((kept | {p: f"{folder}/_part={p}" for p in parts}).items()))
+        marked.write.mode("overwrite" if own else "errorifexists").partitionBy("_part").parquet(folder)
+        parts = [n.removeprefix("_part=") for n in listed(self.spark, folder) if n.startswith("_part=")]
+        self._point(version, sorted((kept | {p: f"{folder}/_part={p}" for p in parts}).items()), source, batch)
         return version
 
-    def append(self, rows: DataFrame) -> int:
-        return self._write_touched(rows, lambda old, new: old.unionByName(new))
+    def append(self, rows: DataFrame, source: str | None = None, batch: int | None = None) -> int:
+        return self._write_touched(rows, lambda old, new: old.unionByName(new), source, batch)
 
-    def upsert(self, rows: DataFrame) -> int:
+    def upsert(self, rows: DataFrame, source: str | None = None, batch: int | None = None) -> int:
         """Updates rows with the same keys and inserts the others."""
-        return self._write_touched(rows, lambda old, new: upsert(old, new, self.keys))
+        return self._write_touched(rows, lambda old, new: upsert(old, new, self.keys), source, batch)
 
-    def _write_touched(self, rows: DataFrame, combine) -> int:
+    def _write_touched(self, rows: DataFrame, combine, source: str | None, batch: int | None) -> int:
+        if source is not None and (done := self.applied(source, batch)) is not None:
+            return done
         now = self.version()
         old = self.folders(now)
-        touched = [r[0] for r in rows.select(F.expr(self.part)).distinct().collect()]
-        affected = [old[p] for p in touched if p in old]
-        current = self.spark.read.schema(self.schema).parquet(*affected) if affected else self.spark.createDataFrame([], self.schema)
-        return self._write(combine(current, rows), now + 1, {p: f for p, f in old.items() if p not in touched})
-
-    def compact(self, files: int = 1) -> int:
-        """The same rows in ``files`` files a partition."""
+        rows = rows.persist()  # read for its partitions and again to be written
+        try:
+            touched = [r[0] for r in rows.select(F.expr(self.part)).distinct().collect()]
+            affected = [old[p] for p in touched if p in old]
+            current = self.spark.read.schema(self.schema).parquet(*affected) if affected else self.spark.createDataFrame([], self.schema)
+            return self._write(combine(current, rows), now + 1, {p: f for p, f in old.items() if p not in touched}, source, batch)
+        finally:
+            rows.unpersist()
+
+    def compact(self, files: int = 1, above: int | None = None) -> int:
+        """The same rows in ``files`` files a partition, of the partitions with more than ``above`` files (``files`` if not given); the
+        others stay where they are, and without any the version stays too."""
         now = self.version()
-        rows = self.read(now)
-        return self._write(rows.repartition(files * max(1, len(self.folders(now))), F.expr(self.part)), now + 1, {})
+        old = self.folders(now)
+        many = [p for p, f in old.items() if len(listed(self.spark, f, ".parquet")) > (files if above is None else above)]
+        if not many:
+            return now
+        rows = self.spark.read.schema(self.schema).parquet(*[old[p] for p in many])
+        dealt = rows.repartition(files * len(many), F.expr(self.part), *([F.pmod(F.xxhash64(*self.keys), F.lit(files))] if files > 1 else []))
+        mark = self._pointers([now]).select("source", "batch").first()  # the last batch stays known
+        return self._write(dealt, now + 1, {p: f for p, f in old.items() if p not in many}, mark.source, mark.batch, own=False)
 
     def expire(self, keep: int = 2, hours: float | None = None) -> list[str]:
-        """Removes the data folders that only versions before the last ``keep`` use, and that no version of the last ``hours``
-        uses if these are given; returns them."""
+        """Removes the data folders that only versions before the last ``keep`` use, and that no version that was the newest within
+        the last ``hours`` uses if these are given; returns them. The pointers of versions that lost data go too."""
         newest = self.version()
-        rows = self._pointers().where("folder is not null")
-        recent = F.lit(False) if hours is None else F.col("created_at") >= F.current_timestamp() - F.expr(f"interval {int(hours * 3600)} seconds")
-        live = rows.where((F.col("version") > newest - keep) | recent).select("folder").distinct()
-        gone = [r.folder for r in rows.select("folder").distinct().join(live, "folder", "left_anti").collect()]
-        for folder in gone:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        rows = self._pointers()
+        made = {r.version: r.created_at for r in rows.groupBy("version").agg(F.min("created_at").alias("created_at")).collect()}
+        ends = dict(zip(sorted(made), [made[v] for v in sorted(made)[1:]] + [None], strict=True))  # when the next one came
+        since = None if hours is None else rows.select((F.current_timestamp() - F.expr(f"interval {int(hours * 3600)} seconds")).alias("t")).first().t
+        live = {v for v in made if v > newest - keep or (since is not None and (ends[v] is None or ends[v] >= since))}
+        used = rows.where("folder is not null").groupBy("folder").agg(F.max(F.col("version").isin(sorted(live))).alias("live"))
+        gone = sorted(r.folder for r in used.where("not live").collect())
+        names = {r.version for r in rows.where(F.col("folder").isin(gone)).select("version").distinct().collect()} if gone else set()
+        for path in [f"{self.path}/pointers/v={v}" for v in sorted(names)] + gone:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
         return gone
 

@@ -6,14 +6,14 @@ import json
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tickspark.operators.bars import BAR_WIDTH, ohlcv
 from tickspark.operators.quality import tag, trade_rules
-from tickspark.sources.tables import VersionedTable
+from tickspark.sources.tables import VersionedTable, exists
 
 WATERMARK = "2 minutes"
 
@@ -30,16 +30,20 @@ def append(df: DataFrame, path: str, checkpoint: str, trigger: dict, name: str)
 def split_writer(bronze: str, dead: str, as_of: Column | None = None, handlers: list[Callable[[DataFrame, int], None]] | None = None) -> Callable[[DataFrame, int], None]:
     """A batch function: both tables from one tagged batch, so that they agree on each row.
 
-    A batch has folders of its own, which a repeated batch overwrites. Further ``handlers`` get the valid rows; one that
-    fails fails the batch, and its offsets aren't committed."""
+    A stream that was tagged before it came here has the time of its batch, which a repeated batch keeps, so lateness is judged
+    once for good. A batch has folders of its own; a folder that was written to its end is left as it is when the batch
+    comes again, so a reader of the table sees its files once. Further ``handlers`` get the valid rows; one that fails fails
+    the batch, and its offsets aren't committed."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = tag(batch, trade_rules(as_of)).persist()
+        tagged = (batch if "dq_reason" in batch.columns else tag(batch, trade_rules(as_of))).persist()
+        spark = batch.sparkSession
         try:
             valid = tagged.where("dq_reason is null").drop("dq_reason")
-            valid.write.mode("overwrite").parquet(f"{bronze}/batch={batch_id}")
+            if not exists(spark, f"{bronze}/batch={batch_id}/_SUCCESS"):
+                valid.write.mode("overwrite").parquet(f"{bronze}/batch={batch_id}")
             rejected = tagged.where("dq_reason is not null").withColumn("ingested_at", F.current_timestamp() if as_of is None else as_of)
-            if not rejected.isEmpty():
+            if not exists(spark, f"{dead}/batch={batch_id}/_SUCCESS") and not rejected.isEmpty():
                 rejected.write.mode("overwrite").parquet(f"{dead}/batch={batch_id}")
             for handle in handlers or []:
                 handle(valid, batch_id)
@@ -49,17 +53,28 @@ def split_writer(bronze: str, dead: str, as_of: Column | None = None, handlers:
     return write
 
 
-def upsert_writer(table: VersionedTable, compact_every: int = 0) -> Callable[[DataFrame, int], None]:
-    """A batch function that merges bars into the table; keyed rows make a repeated batch harmless."""
+#: Hours for which versions of a live table stay readable, and files a partition beyond which it is compacted.
+RETENTION_HOURS, MOST_FILES = 168.0, 8
+
+
+def upsert_writer(table: VersionedTable, compact_every: int = 0, source: str | None = None, hours: float = RETENTION_HOURS, most_files: int = MOST_FILES) -> Callable[[DataFrame, int], None]:
+    """A batch function that merges bars into the table.
+
+    With ``source``, the stream's name, the version's pointer holds the batch, and a batch that is delivered again changes
+    nothing; without, keyed rows make it harmless. Every ``compact_every`` batches partitions of many files are compacted
+    and versions that ended more than ``hours`` ago are expired."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        names = [f.name for f in table.schema.fields]
-        table.upsert(batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name in names]))
+        rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]).persist()
+        try:
+            if rows.isEmpty():
+                return
+            table.upsert(rows, source, batch_id if source else None)
+        finally:
+            rows.unpersist()
         if compact_every and batch_id and batch_id % compact_every == 0:
-            table.compact()
-            table.expire()
+            table.compact(above=most_files)
+            table.expire(hours=hours)
 
     return write
 
@@ -163,3 +178,46 @@ class ProgressListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         pass
+
+
+METRICS = "name string, batch long, input_rows long, batch_ms long, lag long, input_per_second double, processed_per_second double, observed map<string, long>"
+
+
+class MetricsTable:
+    """A row of METRICS a batch, in a file of its own, so that a batch that reports again replaces its row; no job is run for it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def add(self, p) -> None:
+        row = dict(zip(("name", "batch", "input_rows", "batch_ms", "lag", "input_per_second", "processed_per_second"), progress_metrics(p), strict=True))
+        seen = (p.get("observedMetrics") if isinstance(p, dict) else p.observedMetrics) or {}
+        row["observed"] = {k: v for r in seen.values() for k, v in (r if isinstance(r, dict) else r.asDict()).items() if v is not None}
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{row['name']}-{row['batch']}.json")
+        out = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(where, True)
+        out.write(bytearray((json.dumps(row) + "\n").encode()))
+        out.close()
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(METRICS).json(self.path)
+
+
+class MetricsListener(StreamingQueryListener):
+    """Adds a row to the table for each batch of the named queries."""
+
+    def __init__(self, table: MetricsTable, names: set[str]):
+        self.table, self.names = table, names
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name in self.names:
+            self.table.add(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
