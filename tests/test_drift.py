@@ -107,3 +107,32 @@ def test_unequal_universes_have_no_decision(spark):
     jobs.sketch_days(rows.where("symbol = 'A' or event_timestamp < timestamp'2024-01-20'"), w, ["close", "x"])
     with pytest.raises(Exception, match="different symbols"):
         jobs.drift_report(spark, w, now).collect()
+
+
+def two_periods(spark, symbols, shifted):
+    """(x, y) of each symbol in both periods; x moves for some symbols."""
+    s = F.col("id") % symbols
+    rows = spark.range(symbols * 60).select(F.concat(F.lit("S"), s.cast("string")).alias("symbol"), s.alias("k"), F.randn(1).alias("x"), F.randn(2).alias("y"), F.randn(3).alias("z"))
+    other = spark.range(symbols * 60).select(F.concat(F.lit("S"), s.cast("string")).alias("symbol"), s.alias("k"), (F.randn(4) + F.when(s < shifted, 4.0).otherwise(0.0)).alias("x"), F.randn(5).alias("y"), F.randn(6).alias("z"))
+    return rows.drop("k"), other.drop("k")
+
+
+def test_five_hundred_symbols_in_one_job(spark):
+    ref, cur = two_periods(spark, 500, 100)
+    started = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    got = {r.symbol: r for r in D.adversarial_auc(ref, cur, ["x", "y", "z"], trees=5, folds=2).collect()}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - started <= 6  # whatever the number of symbols
+    moved = {f"S{i}" for i in range(100)}
+    assert len(got) == 500 and all(got[s].separable and got[s].auc > 0.9 and got[s].top_features[0] == "x" for s in moved)
+    assert sum(r.separable for s, r in got.items() if s not in moved) <= 20
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+
+def test_samples_of_long_histories_are_bounded(spark):
+    ref, cur = two_periods(spark, 1, 1)
+    many = ref.crossJoin(spark.range(200)).select("symbol", (F.col("x") + F.col("id") / 1e6).alias("x"), "y", "z")
+    r = D.adversarial_auc(many, cur, ["x", "y", "z"], trees=5, most=500).first()
+    assert r.separable and r.auc > 0.9
+    equal = D.adversarial_auc(ref, ref, ["x", "y", "z"], trees=5).first()
+    assert not equal.separable
+    assert D.adversarial_auc(ref, cur.limit(0), ["x", "y", "z"]).isEmpty()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -168,26 +170,43 @@ def decision(reference: DataFrame, current: DataFrame, columns: Sequence[str], t
     return decide(one, symbol_verdicts(measured.where("symbol is not null")), share)
 
 
-def adversarial_auc(reference: DataFrame, current: DataFrame, columns: Sequence[str], trees: int = 50, depth: int = 3, folds: int = 3, threshold: float = 0.7) -> DataFrame:
+#: Rows of a symbol and period that a forest is fitted to, about; the others are left out by their hash.
+FOREST_ROWS = 4000
+
+
+def adversarial_auc(reference: DataFrame, current: DataFrame, columns: Sequence[str], trees: int = 50, depth: int = 3, folds: int = 3, threshold: float = 0.7, most: int = FOREST_ROWS) -> DataFrame:
     """Per symbol: how well a forest tells the periods apart, averaged over folds by row hash, and its three main features.
 
-    One model a symbol and fold: meant for tens of symbols; each fit is distributed."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.feature import VectorAssembler
-
-    rows = reference.withColumn("label", F.lit(0.0)).unionByName(current.withColumn("label", F.lit(1.0))).dropna(subset=list(columns))
-    rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(rows).select("symbol", "label", "features", F.pmod(F.xxhash64(*columns), F.lit(folds)).alias("fold")).cache()
-    forest, judge = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=42), BinaryClassificationEvaluator()
-    found = []
-    for (symbol,) in sorted(rows.select("symbol").distinct().collect()):
-        mine = rows.where(F.col("symbol") == symbol)
-        scores = [judge.evaluate(forest.fit(mine.where(F.col("fold") != k)).transform(mine.where(F.col("fold") == k))) for k in range(folds)]
-        weights = forest.fit(mine).featureImportances.toArray()
-        top = sorted(zip(columns, weights.tolist(), strict=True), key=lambda x: -x[1])[:3]
-        auc = sum(scores) / len(scores)
-        found.append((symbol, round(auc, 3), auc > threshold, [c for c, _ in top]))
-    return reference.sparkSession.createDataFrame(found, "symbol string, auc double, separable boolean, top_features array<string>")
+    One job for all symbols: a group is a symbol and a fold, or a symbol's whole sample for the features. A symbol's sample is
+    bounded by ``most`` rows a period, drawn by the hash of their values, so a group fits a task however much history there is.
+    Rows with a null or NaN are left out; a symbol that only one period has gets no score."""
+    names = list(columns)
+    rows = reference.select("symbol", *names, F.lit(0).alias("label")).unionByName(current.select("symbol", *names, F.lit(1).alias("label")))
+    rows = rows.dropna(subset=names).select("symbol", "label", *[F.col(c).cast("double").alias(c) for c in names], F.pmod(F.xxhash64(*names), F.lit(1 << 40)).alias("_h"))
+    sizes = rows.groupBy("symbol", "label").agg(F.count("*").alias("_n"))
+    kept = rows.join(sizes, ["symbol", "label"]).where(F.col("_h") < F.lit(float(most << 40)) / F.col("_n"))
+    dealt = kept.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds)))).withColumn("test", F.pmod("_h", F.lit(folds)) == F.col("fold"))
+
+    def fit(group: pa.Table) -> pa.Table:
+        from tickspark.functions import forest
+
+        symbol, fold = group["symbol"][0].as_py(), group["fold"][0].as_py()
+        x = np.stack([group[c].to_numpy() for c in names], axis=1)
+        y, test = group["label"].to_numpy().astype(float), group["test"].to_numpy()
+        order = np.lexsort((y, *x.T))  # whatever order the rows came in
+        x, y, test = forest.binned(x)[order], y[order], test[order]
+        train = ~test
+        model = forest.Forest(trees, depth, seed=fold).fit(x[train], y[train]) if train.any() else None
+        found = forest.auc(model.score(x[test]), y[test]) if fold < folds and model else float("nan")
+        weights = model.importance.tolist() if fold == folds and model else None
+        return pa.table({"symbol": pa.array([symbol], pa.string()), "fold": pa.array([fold], pa.int32()), "auc": pa.array([None if found != found else found], pa.float64()), "weights": pa.array([weights], pa.list_(pa.float64()))})
+
+    fitted = dealt.select("symbol", "fold", "label", "test", *names).groupBy("symbol", "fold").applyInArrow(fit, "symbol string, fold int, auc double, weights array<double>")
+    by = fitted.groupBy("symbol").agg(F.avg("auc").alias("_auc"), F.max("weights").alias("_w")).where("_auc is not null")
+    ranked = F.array_sort(F.arrays_zip(F.transform("_w", lambda x: -x).alias("w"), F.sequence(F.lit(0), F.lit(len(names) - 1)).alias("i")))
+    listed = F.array(*[F.lit(c) for c in names])
+    top = F.transform(F.slice(ranked, 1, 3), lambda r: F.get(listed, r["i"]))
+    return by.select("symbol", F.round("_auc", 3).alias("auc"), (F.col("_auc") > threshold).alias("separable"), top.alias("top_features"))
 
 
 def decide(target: DataFrame, symbols: DataFrame, share: float = 0.2) -> DataFrame:
