@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickspark.operators.calendar import new_york_date, session_grid
+from tickspark.sources.tables import workspace
 
 GAP_SECONDS = 120
 
@@ -119,15 +121,64 @@ def recovery_coverage(trades: DataFrame, sess: DataFrame, symbols: Sequence[str]
     return grid.groupBy("session_date", "symbol").agg(F.count("*").alias("expected"), F.count("n").alias("observed"), F.array_join(lacking, ",").alias("missing"), F.coalesce(F.sum("n"), F.lit(0)).alias("trades"), F.min("a").alias("first"), F.max("b").alias("last"))
 
 
-def content_digest(bars: DataFrame, by: Sequence[str] = ("symbol",)) -> DataFrame:
-    """A digest of the rows that doesn't depend on their order: rows, then groups, then all.
+#: Hex digits of a key's digest that name its node, level by level; a node has up to 256 children.
+LEVELS = (6, 4, 2, 0)
+LEAF = 64
+
 
-    A row's volume goes in as a whole number, so large volumes don't lose digits."""
+def digest_tree(bars: DataFrame, by: Sequence[str] = ("symbol",)) -> DataFrame:
+    """A hash tree of the rows: level, path, digest, children, and the key (``by``, day) of a leaf.
+
+    A leaf is a key's day of rows (bars: 48 at most); its place in the tree is the digest of its key, so it doesn't move when
+    others come or go, and a node's digest is that of its children in order. No array is longer than a node's fan-out, but
+    where more than 256 * 16^6 keys are held. A row's volume goes in as a whole number, so large volumes don't lose digits."""
     row = F.sha2(F.to_json(F.struct("symbol", "window_start", "window_end", *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")], F.col("total_volume").cast("decimal(20,0)").alias("total_volume"))), 256)
-    day = bars.select(*by, F.to_date("window_start").alias("_day"), row.alias("_h"))
-    groups = day.groupBy(*by, "_day").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_h")), ""), 256).alias("_h"))
-    keyed = groups.select(F.concat_ws("|", *by, "_day", "_h").alias("_k"))
-    return keyed.agg(F.count("*").alias("groups"), F.sha2(F.array_join(F.array_sort(F.collect_list("_k")), ""), 256).alias("digest"))
+    day = bars.select(*by, F.to_date("window_start").alias("day"), row.alias("_h"))
+
+    def joined(lines: str) -> Column:
+        return F.sha2(F.array_join(F.array_sort(F.collect_list(lines)), ""), 256)
+
+    leaves = day.groupBy(*by, "day").agg(joined("_h").alias("digest"), F.count("*").alias("children"))
+    leaves = leaves.select(F.lit(LEAF).alias("level"), F.sha2(F.concat_ws("|", *by, "day"), 256).alias("path"), "digest", "children", *by, "day")
+    levels, below = [leaves], leaves
+    for n in LEVELS:
+        lines = below.select(F.col("path").substr(1, n).alias("_p"), F.concat_ws(":", "path", "digest").alias("_l"))
+        below = lines.groupBy("_p").agg(joined("_l").alias("digest"), F.count("*").alias("children")).select(F.lit(n).alias("level"), F.col("_p").alias("path"), "digest", "children")
+        levels.append(below)
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), levels)
+
+
+def content_digest(bars: DataFrame, by: Sequence[str] = ("symbol",)) -> DataFrame:
+    """One row: how many (key, day) groups there are, and the root of their hash tree, which doesn't depend on the rows' order."""
+    tree = digest_tree(bars, by)
+    root = tree.where("level = 0").agg(F.coalesce(F.max("digest"), F.sha2(F.lit("").cast("binary"), 256)).alias("digest"))
+    return tree.where(F.col("level") == LEAF).agg(F.count("*").alias("groups")).crossJoin(root)  # one row each
+
+
+def differences(left: DataFrame, right: DataFrame, by: Sequence[str] = ("symbol",)) -> DataFrame:
+    """(key, day, side) in which two trees of ``digest_tree`` differ: ``changed``, ``left`` or ``right`` if only one has it.
+
+    Both trees are stored by level, as each is asked for level by level; from the root down, only the children of nodes that
+    differ are compared."""
+    spark = left.sparkSession
+    trees = []
+    for tree in (left, right):
+        path = workspace(spark, "tree")
+        tree.write.partitionBy("level").parquet(path)
+        trees.append(spark.read.schema(tree.schema).parquet(path))
+    paths, both = None, None
+    for n in (*reversed(LEVELS), LEAF):
+        l, r = (t.where(F.col("level") == n).select("path", F.col("digest").alias(f"_{s}"), *([F.struct(*by, "day").alias(f"_k{s}")] if n == LEAF else [])) for t, s in zip(trees, "lr", strict=True))
+        if paths is not None:
+            width = LEVELS[LEVELS.index(n) + 1] if n in LEVELS else LEVELS[0]
+            l, r = (t.join(paths, F.col("path").substr(1, width) == F.col("_up"), "left_semi") for t in (l, r))
+        both = l.join(r, "path", "full").where(~F.col("_l").eqNullSafe(F.col("_r")))
+        if n != LEAF:
+            path = workspace(spark, "paths")
+            both.select(F.col("path").alias("_up")).write.parquet(path)
+            paths = spark.read.schema("_up string").parquet(path)
+    side = F.when(F.col("_r").isNull(), "left").when(F.col("_l").isNull(), "right").otherwise("changed")
+    return both.select(F.coalesce("_kl", "_kr").alias("_k"), side.alias("side")).select("_k.*", "side")
 
 
 def request_guards(requests: DataFrame, most_days: int = 730) -> DataFrame:

@@ -142,22 +142,37 @@ def drop_non_finite(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(reduce(Column.__and__, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) < float("inf")) for c in cols]))
 
 
-def impute(df: DataFrame, cols: Sequence[str], group: str = "symbol", order: str = "event_time", backfill: str = "symbol") -> DataFrame:
+def impute(df: DataFrame, cols: Sequence[str], group: str = "symbol", order: str = "event_time", backfill: str = "symbol", slice_by: str = "month") -> DataFrame:
     """Forward fill in each group, then backward.
 
-    ``backfill``: "symbol" stays in the group; "global" lets a leading gap take the next value of the frame sorted by group
-    and order, which may be the next group's (found from one row a group, not by a window over all rows)."""
-    past, ahead = W.partitionBy(group).orderBy(order), W.partitionBy(group).orderBy(order).rowsBetween(0, W.unboundedFollowing)
-    out = df
+    A group is filled in slices of time (``slice_by``: a unit that ``date_trunc`` knows), and one row a slice carries the last
+    value that lies before it and the first one after it, so no task sorts a group's whole history. ``backfill``: "symbol"
+    stays in the group; "global" lets a leading gap take the next value of the frame sorted by group and order, which may be
+    the next group's (found from one row a group)."""
+    names = {c: f"_f{i}" for i, c in enumerate(cols)}
+    sliced = df.withColumn("_slice", F.date_trunc(slice_by, F.col(order).cast("timestamp")))
+    at = F.struct(order)
+
+    def end(c: str, pick) -> Column:
+        """The first or last value of a slice that isn't null."""
+        return pick(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), at))
+
+    ends = sliced.groupBy(group, "_slice").agg(*[end(c, F.max_by).alias(f"{n}l") for c, n in names.items()], *[end(c, F.min_by).alias(f"{n}r") for c, n in names.items()])
+    w = W.partitionBy(group).orderBy("_slice")  # a row a slice
+    before, after = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(1, W.unboundedFollowing)
+    carried = ends.select(F.col(group).alias("_g"), F.col("_slice").alias("_s"), *[F.last(f"{n}l", ignorenulls=True).over(before).alias(f"{n}p") for n in names.values()], *[F.first(f"{n}r", ignorenulls=True).over(after).alias(f"{n}n") for n in names.values()])
+    out = sliced.join(carried, F.col(group).eqNullSafe(F.col("_g")) & F.col("_slice").eqNullSafe(F.col("_s")), "left").drop("_g", "_s")
     if backfill == "global":
-        firsts = df.groupBy(group).agg(*[F.min_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_f_{c}") for c in cols])
-        after = W.orderBy(group).rowsBetween(1, W.unboundedFollowing)
-        nexts = firsts.select(F.col(group).alias("_g"), *[F.first(f"_f_{c}", ignorenulls=True).over(after).alias(f"_n_{c}") for c in cols])
+        firsts = ends.groupBy(group).agg(*[F.min_by(f"{n}r", F.when(F.col(f"{n}r").isNotNull(), F.struct("_slice"))).alias(n) for n in names.values()])
+        later = W.orderBy(group).rowsBetween(1, W.unboundedFollowing)  # a row a group
+        nexts = firsts.select(F.col(group).alias("_g"), *[F.first(n, ignorenulls=True).over(later).alias(f"{n}g") for n in names.values()])
         out = out.join(nexts, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
+    own = W.partitionBy(group, "_slice").orderBy(order)
+    past, ahead = own, own.rowsBetween(0, W.unboundedFollowing)
     filled = {}
-    for c in cols:
-        ways = [F.last(c, ignorenulls=True).over(past), F.first(c, ignorenulls=True).over(ahead)] + ([F.col(f"_n_{c}")] if backfill == "global" else [])
-        filled[c] = F.coalesce(*ways)
+    for c, n in names.items():
+        ways = [F.last(c, ignorenulls=True).over(past), F.col(f"{n}p"), F.first(c, ignorenulls=True).over(ahead), F.col(f"{n}n")]
+        filled[c] = F.coalesce(*ways, *([F.col(f"{n}g")] if backfill == "global" else []))
     return out.withColumns(filled).select(df.columns)
 
 

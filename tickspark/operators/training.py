@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -95,6 +97,54 @@ def sequence_examples(rows: DataFrame, columns: Sequence[str], encoder: int, hor
     return ex.where((F.size("encoder") >= encoder // 2) & (F.size("decoder") >= 1) & (F.col("time_idx") % stride == 0))
 
 
+#: Bytes of the arrays that one task makes at a time, about.
+PACKED = 64 << 20
+
+
+def packed_examples(rows: DataFrame, columns: Sequence[str], encoder: int, horizon: int, index: DataFrame | None = None, block: int | None = None) -> DataFrame:
+    """symbol, time_idx, and for each column the arrays ``<column>_encoder`` and ``<column>_decoder``: the examples of
+    ``sequence_examples`` as packed numbers.
+
+    Rows go to blocks of ``block`` successive places of a symbol, and to the next ones whose encoders, and the last one whose
+    decoders, reach into them; the arrays are cut inside the task. So what is shuffled is about 1 + (encoder + horizon) /
+    block rows a row, and not encoder rows a row. ``time_idx`` counts a symbol's rows without gaps, as ``time_index`` does.
+    With ``index`` (symbol, time_idx_first_prediction) only its origins are made. Nulls become NaN."""
+    names = list(columns)
+    size = block or max(encoder + horizon, PACKED // (8 * len(names) * (encoder + horizon)))
+    marked = rows.select("symbol", "time_idx", *[F.col(c).cast("double").alias(c) for c in names])
+    if index is None:
+        marked = marked.withColumn("_origin", F.lit(True))
+    else:
+        wanted = index.select("symbol", F.col("time_idx_first_prediction").alias("time_idx")).distinct().withColumn("_o", F.lit(True))
+        marked = marked.join(wanted, ["symbol", "time_idx"], "left").withColumn("_origin", F.col("_o").isNotNull()).drop("_o")
+    first, last = F.floor(F.greatest(F.col("time_idx") - (horizon - 1), F.lit(0)) / size), F.floor((F.col("time_idx") + encoder) / size)
+    dealt = marked.withColumn("_block", F.explode(F.sequence(first, last)))
+
+    def cut(group: pa.Table) -> pa.Table:
+        group = group.sort_by("time_idx")
+        at, origin = group["time_idx"].to_numpy(), group["_origin"].to_numpy(zero_copy_only=False)
+        number = group["_block"][0].as_py()
+        here = np.flatnonzero((at // size == number) & origin)
+        lo, hi = np.maximum(here - encoder, 0), np.minimum(here + horizon, len(at))
+        fits = here - lo >= encoder // 2
+        here, lo, hi = here[fits], lo[fits], hi[fits]
+
+        def slices(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.ListArray:
+            lengths = stop - start
+            offsets = np.concatenate([[0], np.cumsum(lengths)])
+            places = np.repeat(start - offsets[:-1], lengths) + np.arange(offsets[-1])
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[places]))
+
+        out = {"symbol": group["symbol"].combine_chunks().take(pa.array(here)), "time_idx": pa.array(at[here], pa.int64())}
+        for c in names:
+            values = group[c].to_numpy().astype(float)
+            out |= {f"{c}_encoder": slices(values, lo, here), f"{c}_decoder": slices(values, here, hi)}
+        return pa.table(out)
+
+    schema = "symbol string, time_idx long, " + ", ".join(f"`{c}_encoder` array<double>, `{c}_decoder` array<double>" for c in names)
+    return dealt.groupBy("symbol", "_block").applyInArrow(cut, schema)
+
+
 def groups_without_windows(rows: DataFrame, index: DataFrame, group: str = "symbol") -> DataFrame:
     """Groups of the rows that no decoder window belongs to."""
     return rows.select(group).distinct().join(index.select(group).distinct(), group, "left_anti")

@@ -243,28 +243,41 @@ def purged_windows(spark, d):
     return TR.purged_windows(index(spark, d).where("in_holdout").drop("in_holdout"), 3, HORIZON)
 
 
-def examples(spark, d, stride):
-    rows = TR.time_index(labelled(spark, d).select("symbol", "event_timestamp", "close"), "event_timestamp")
-    ex = TR.sequence_examples(rows, ["close"], ENCODER, HORIZON, stride)
-    total = F.aggregate("encoder", F.lit(0.0), lambda a, x: a + x["close"])
-    return ex.select("symbol", "time_idx", F.size("encoder").alias("encoder_length"), F.size("decoder").alias("decoder_length"), F.element_at("encoder", 1)["close"].alias("encoder_first"), F.element_at("decoder", -1)["close"].alias("decoder_last"), F.round(total, 6).alias("encoder_sum"))
+def indexed(spark, d):
+    return TR.time_index(labelled(spark, d).select("symbol", "event_timestamp", "close"), "event_timestamp")
 
 
-@register(
-    "sequence_examples",
-    f"""WITH {SPLITS}, e AS (SELECT symbol, time_idx, count(*) OVER a AS encoder_length, count(*) OVER b AS decoder_length, first_value(close) OVER a AS encoder_first, last_value(close) OVER b AS decoder_last, round(sum(close) OVER a, 6) AS encoder_sum FROM rows
-  WINDOW a AS (PARTITION BY symbol ORDER BY time_idx ROWS BETWEEN 96 PRECEDING AND 1 PRECEDING), b AS (PARTITION BY symbol ORDER BY time_idx ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING))
-SELECT symbol, time_idx, encoder_length::INTEGER AS encoder_length, decoder_length::INTEGER AS decoder_length, encoder_first, decoder_last, encoder_sum FROM e WHERE encoder_length >= 48 AND time_idx % 4 = 0""",
-)
+def summary(encoder, decoder, value):
+    """What the queries return of an example's arrays."""
+    total = F.aggregate(encoder, F.lit(0.0), lambda a, x: a + value(x))
+    return [F.size(encoder).alias("encoder_length"), F.size(decoder).alias("decoder_length"), value(F.element_at(encoder, 1)).alias("encoder_first"), value(F.element_at(decoder, -1)).alias("decoder_last"), F.round(total, 6).alias("encoder_sum")]
+
+
+def examples_sql(encoder, horizon):
+    return f"""WITH {SPLITS}, e AS (SELECT symbol, time_idx, count(*) OVER a AS encoder_length, count(*) OVER b AS decoder_length, first_value(close) OVER a AS encoder_first, last_value(close) OVER b AS decoder_last, round(sum(close) OVER a, 6) AS encoder_sum FROM rows
+  WINDOW a AS (PARTITION BY symbol ORDER BY time_idx ROWS BETWEEN {encoder} PRECEDING AND 1 PRECEDING), b AS (PARTITION BY symbol ORDER BY time_idx ROWS BETWEEN CURRENT ROW AND {horizon - 1} FOLLOWING))
+SELECT symbol, time_idx, encoder_length::INTEGER AS encoder_length, decoder_length::INTEGER AS decoder_length, encoder_first, decoder_last, encoder_sum FROM e WHERE encoder_length >= {encoder // 2}"""
+
+
+def packed(spark, d, encoder, horizon):
+    ex = TR.packed_examples(indexed(spark, d), ["close"], encoder, horizon)
+    return ex.select("symbol", "time_idx", *summary("close_encoder", "close_decoder", lambda x: x))
+
+
+@register("sequence_examples", examples_sql(ENCODER, HORIZON))
 def sequence_examples(spark, d):
-    return examples(spark, d, 4)
+    """Every origin, cut from blocks."""
+    return packed(spark, d, ENCODER, HORIZON)
 
 
-@register(
-    "sequence_examples_all",
-    f"""WITH {SPLITS}, e AS (SELECT symbol, time_idx, count(*) OVER a AS encoder_length, count(*) OVER b AS decoder_length, first_value(close) OVER a AS encoder_first, last_value(close) OVER b AS decoder_last, round(sum(close) OVER a, 6) AS encoder_sum FROM rows
-  WINDOW a AS (PARTITION BY symbol ORDER BY time_idx ROWS BETWEEN 96 PRECEDING AND 1 PRECEDING), b AS (PARTITION BY symbol ORDER BY time_idx ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING))
-SELECT symbol, time_idx, encoder_length::INTEGER AS encoder_length, decoder_length::INTEGER AS decoder_length, encoder_first, decoder_last, encoder_sum FROM e WHERE encoder_length >= 48""",
-)
+@register("sequence_examples_long", examples_sql(780, 39))
+def sequence_examples_long(spark, d):
+    """The production lengths: 780 steps back and 39 ahead."""
+    return packed(spark, d, 780, 39)
+
+
+@register("sequence_examples_all", examples_sql(ENCODER, HORIZON))
 def sequence_examples_all(spark, d):
-    return examples(spark, d, 1)
+    """Every origin, as frames of a window."""
+    ex = TR.sequence_examples(indexed(spark, d), ["close"], ENCODER, HORIZON)
+    return ex.select("symbol", "time_idx", *summary("encoder", "decoder", lambda x: x["close"]))

@@ -159,16 +159,37 @@ def recovery_coverage(spark, d):
     return V.recovery_coverage(trades(spark, d), sess(spark, d), SYMBOLS)
 
 
+ROW_HASH = """sha256('{"symbol":"' || symbol || '","window_start":"' || strftime(window_start, '%Y-%m-%dT%H:%M:%S.000') || '","window_end":"' || strftime(window_end, '%Y-%m-%dT%H:%M:%S.000')
+  || '","open":' || open || ',"high":' || high || ',"low":' || low || ',"close":' || close || ',"total_volume":' || total_volume || '}')"""
+
+
 @register(
     "content_digest",
-    f"""WITH {BARS}, h AS (SELECT symbol, window_start::DATE AS day, sha256('{{"symbol":"' || symbol || '","window_start":"' || strftime(window_start, '%Y-%m-%dT%H:%M:%S.000') || '","window_end":"' || strftime(window_end, '%Y-%m-%dT%H:%M:%S.000')
-  || '","open":' || open || ',"high":' || high || ',"low":' || low || ',"close":' || close || ',"total_volume":' || total_volume || '}}') AS h FROM bars),
-g AS (SELECT symbol || '|' || day || '|' || sha256(string_agg(h, '' ORDER BY h)) AS k FROM h GROUP BY symbol, day) SELECT count(*) AS groups, sha256(string_agg(k, '' ORDER BY k)) AS digest FROM g""",
+    f"""WITH {BARS}, h AS (SELECT symbol, window_start::DATE AS day, {ROW_HASH} AS h FROM bars),
+g AS (SELECT sha256(symbol || '|' || day) AS p, sha256(string_agg(h, '' ORDER BY h)) AS d FROM h GROUP BY symbol, day),
+l6 AS (SELECT left(p, 6) AS p, sha256(string_agg(p || ':' || d, '' ORDER BY p || ':' || d)) AS d FROM g GROUP BY 1), l4 AS (SELECT left(p, 4) AS p, sha256(string_agg(p || ':' || d, '' ORDER BY p || ':' || d)) AS d FROM l6 GROUP BY 1),
+l2 AS (SELECT left(p, 2) AS p, sha256(string_agg(p || ':' || d, '' ORDER BY p || ':' || d)) AS d FROM l4 GROUP BY 1)
+SELECT (SELECT count(*) FROM g) AS groups, sha256(string_agg(p || ':' || d, '' ORDER BY p || ':' || d)) AS digest FROM l2""",
 )
 def content_digest(spark, d):
     return V.content_digest(half_hours(spark, d))
 
 
+@register(
+    "release_differences",
+    f"""WITH {BARS}, other AS (SELECT * REPLACE (CASE WHEN symbol = 'view' AND day(window_start) % 5 = 0 AND hour(window_start) = 7 THEN close + 1 ELSE close END AS close) FROM bars WHERE NOT (symbol = 'click' AND day(window_start) % 9 = 0) AND NOT (symbol = 'error' AND day(window_start) % 7 = 0 AND hour(window_start) = 20)),
+a AS (SELECT symbol, window_start::DATE AS day, list(close ORDER BY window_start) AS v FROM bars GROUP BY ALL), b AS (SELECT symbol, window_start::DATE AS day, list(close ORDER BY window_start) AS v FROM other GROUP BY ALL)
+SELECT symbol, day, CASE WHEN b.v IS NULL THEN 'left' WHEN a.v IS NULL THEN 'right' ELSE 'changed' END AS side FROM a FULL JOIN b USING (symbol, day) WHERE a.v IS DISTINCT FROM b.v""",
+)
+def release_differences(spark, d):
+    """A release against one with some prices changed, a symbol's days and some bars missing: found down two hash trees."""
+    b, day, hour = half_hours(spark, d), F.dayofmonth("window_start"), F.hour("window_start")
+    gone = (F.col("symbol") == "click") & (day % 9 == 0) | (F.col("symbol") == "error") & (day % 7 == 0) & (hour == 20)
+    moved = (F.col("symbol") == "view") & (day % 5 == 0) & (hour == 7)
+    other = b.where(~gone).withColumn("close", F.when(moved, F.col("close") + 1).otherwise(F.col("close")))
+    return V.differences(V.digest_tree(b), V.digest_tree(other))
+
+
 @register("request_guards", """WITH q AS (SELECT o_orderkey, o_orderdate::DATE AS start_date, (o_orderdate::DATE + (o_orderkey % 900)::INTEGER) - 100 AS end_date FROM orders)
 SELECT o_orderkey, array_to_string(list_filter([CASE WHEN end_date < start_date THEN 'dates_out_of_order' END, CASE WHEN end_date - start_date > 730 THEN 'range_too_long' END, CASE WHEN DATE '1998-01-01' < end_date THEN 'unfinished_range' END], lambda x: x IS NOT NULL), ',') AS refused FROM q""")
 def request_guards(spark, d):
