@@ -24,6 +24,7 @@ of the input replaces it.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,7 +42,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: What an id outside the vocabulary decodes to: U+FFFD in UTF-8.
 UNKNOWN = "\N{REPLACEMENT CHARACTER}".encode()
-KEPT = 1 << 17
+KEPT = 1 << 18
 SHORT = 64
 LONG = 1 << 15
 
@@ -57,6 +58,7 @@ class ByteBpe:
     """One vocabulary in a worker."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has its core; more threads would only wait
         import regex
         from tokenizers import Tokenizer, models
 
@@ -107,20 +109,26 @@ class ByteBpe:
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         cut = self.pieces.findall(text) if text else []
-        new = [p for p in dict.fromkeys(cut) if p not in self.kept]
-        short = [p for p in new if len(p) <= LONG // 4]
-        here = dict(zip(short, (np.array(i, dtype="<u4").tobytes() for i in self.ids([self.mapped(p.encode()) for p in short])), strict=True))
-        here |= {p: self.long_piece(p.encode()).tobytes() for p in new if len(p) > LONG // 4}
-        out = b"".join([self.kept[p] if p in self.kept else here[p] for p in cut])
-        if len(self.kept) + len(here) > KEPT:
+        kept = self.kept
+        if new := set(cut).difference(kept):
+            if len(kept) + len(new) > KEPT:
+                kept = self.kept = {}
+                new = set(cut)
+            short = [p for p in new if len(p) <= LONG // 4]
+            kept.update(zip(short, (np.array(i, dtype="<u4").tobytes() for i in self.ids([self.mapped(p.encode()) for p in short])), strict=True))
+            kept.update((p, self.long_piece(p.encode()).tobytes()) for p in new if len(p) > LONG // 4)
+        out = b"".join(map(kept.__getitem__, cut))
+        if len(kept) > KEPT:
             self.kept = {}
-        if len(here) <= KEPT:
-            self.kept.update((p, i) for p, i in here.items() if len(p) <= SHORT)
+        elif new:
+            for p in [p for p in new if len(p) > SHORT]:
+                del kept[p]
         return out
 
     def decode(self, ids: bytes) -> bytes:
-        table, n = self.bytes_of, len(self.bytes_of)
-        return b"".join([table[i] if i < n else UNKNOWN for i in np.frombuffer(ids, "<u4").tolist()])
+        many, n = np.frombuffer(ids, "<u4"), len(self.bytes_of)
+        known = self.bytes_of if not len(many) or many.max() < n else [*self.bytes_of, UNKNOWN]
+        return b"".join(map(known.__getitem__, np.minimum(many, n).tolist()))
 
     def offsets(self, text: str, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
         """First and one past the last character of each token."""
