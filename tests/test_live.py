@@ -30,7 +30,7 @@ def source(spark, w, files=None):
 
 def state(table):
     """Versions, rows and data folders; folder names without their random part."""
-    folders = {v: sorted(f.rsplit("/data/", 1)[1] for f in table.folders(v).values()) for v in table.versions()}
+    folders = {v: sorted(f.rsplit("/data/", 1)[1] for many in table.folders(v).values() for f in many) for v in table.versions()}
     return folders, sorted(map(tuple, table.read().collect()), key=str), listed(table.spark, f"{table.path}/data")
 
 
@@ -106,6 +106,48 @@ def test_compaction_leaves_partitions_of_few_files(spark):
     assert t.compact(above=2) == version
 
 
+def bar_rows(spark, times, price=1.0):
+    return B.ohlcv(trades(spark, times, price=price)).select([F.col(f.name).cast(f.dataType) for f in BAR.fields])
+
+
+def test_appended_rows_are_streamed_once(spark):
+    w = workspace(spark, "versions")
+    t = VersionedTable(spark, f"{w}/t", BAR).create_if_missing()
+    day = datetime(2024, 1, 2)
+
+    def read():
+        live.append(t.stream(2), f"{w}/out", f"{w}/cp", ONCE, "versions").awaitTermination()  # a restart each time
+        return sorted(r.window_start for r in spark.read.schema(BAR).parquet(f"{w}/out").collect())
+
+    times = [day + timedelta(hours=h) for h in range(12)]
+    t.append(bar_rows(spark, times[:4]).repartition(3))
+    assert read() == times[:4]
+    t.append(bar_rows(spark, times[4:6]), "s", 0)
+    t.compact(files=1, above=0)
+    t.upsert(bar_rows(spark, times[:2], price=9.0))
+    t.append(bar_rows(spark, times[4:6]), "s", 0)  # comes again
+    t.append(bar_rows(spark, times[6:]).repartition(5))
+    assert read() == times and read() == times
+    assert t.read().count() == 12 and {r.close for r in t.read().where(F.col("window_start").isin(times[:2])).collect()} == {9.0, 10.0}
+
+
+def test_an_append_that_dies_before_its_pointer_is_taken_up(spark):
+    w = workspace(spark, "died")
+    t = VersionedTable(spark, f"{w}/t", BAR).create_if_missing()
+    rows, point = bar_rows(spark, [datetime(2024, 1, 2)]), t._point
+
+    def die(*args):
+        raise RuntimeError("died")
+
+    t._point = die
+    with pytest.raises(RuntimeError):
+        t.append(rows, "s", 0)
+    t._point = point
+    assert t.read().isEmpty() and t.append(rows, "s", 0) == 1 and t.read().count() == 1
+    live.append(t.stream(), f"{w}/out", f"{w}/cp", ONCE, "died").awaitTermination()
+    assert spark.read.schema(BAR).parquet(f"{w}/out").count() == 1
+
+
 def test_every_trade_is_on_one_side_whenever_the_queries_look(spark):
     """Rows around the limit of lateness, and a batch that dies between its two tables and comes again later."""
     w = workspace(spark, "late")

@@ -18,6 +18,9 @@ from tickspark.operators.release import KEYS, upsert
 
 POINTER = "version long, partition string, folder string, source string, batch long, created_at timestamp"
 
+#: How the folders of appended rows begin.
+ADDED = "added-"
+
 
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder in spark.checkpoint.dir, which all machines share; where that is unset, a temporary one on a single machine
@@ -93,10 +96,13 @@ class VersionedTable:
     def version(self) -> int:
         return self.versions()[-1]
 
-    def folders(self, version: int | None = None) -> dict[str, str]:
-        """One row a partition of the version: metadata."""
+    def folders(self, version: int | None = None) -> dict[str, list[str]]:
+        """The folders of each partition of the version: one, and those that were appended since it was rewritten (metadata)."""
         rows = self._pointers([self.version() if version is None else version]).where("folder is not null")
-        return {r.partition: r.folder for r in rows.collect()}
+        found: dict[str, list[str]] = {}
+        for r in rows.collect():
+            found.setdefault(r.partition, []).append(r.folder)
+        return {p: sorted(f) for p, f in found.items()}
 
     def applied(self, source: str, batch: int) -> int | None:
         """The version that this batch or a later one of the source made."""
@@ -105,21 +111,38 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The newest version, or an older one by its number."""
-        folders = sorted(self.folders(version).values())
-        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
+        return self._rows([f for many in self.folders(version).values() for f in many])
+
+    def _rows(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*sorted(folders)) if folders else self.spark.createDataFrame([], self.schema)
+
+    def stream(self, files: int = 32) -> DataFrame:
+        """The appended rows as a stream, each once, at most ``files`` files a trigger.
+
+        Appends have folders of their own kind, which are all that the stream looks at, so it passes over what upserts and
+        compactions rewrite. A stream that lags behind the retention of ``expire`` misses rows, as with any log."""
+        return self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", True).parquet(f"{self.path}/data/{ADDED}*")
 
-    def _write(self, rows: DataFrame, version: int, kept: dict[str, str], source: str | None = None, batch: int | None = None, own: bool = True) -> int:
+    def _write(self, rows: DataFrame, version: int, kept: dict[str, list[str]], source: str | None = None, batch: int | None = None, own: bool = True, kind: str = "") -> int:
         """Data first, the pointer last; the partitions are those that the written folder holds."""
-        own = own and source is not None
-        folder = f"{self.path}/data/" + (f"{source}-{batch}" if own else f"v={version}-{uuid.uuid4().hex}")
-        marked = rows.select(*[f.name for f in self.schema.fields], F.expr(self.part).alias("_part"))
-        marked.write.mode("overwrite" if own else "errorifexists").partitionBy("_part").parquet(folder)
-        parts = [n.removeprefix("_part=") for n in listed(self.spark, folder) if n.startswith("_part=")]
-        self._point(version, sorted((kept | {p: f"{folder}/_part={p}" for p in parts}).items()), source, batch)
+        name = kind + (f"{source}-{batch}" if own and source is not None else f"v={version}-{uuid.uuid4().hex}")
+        folder, hidden = f"{self.path}/data/{name}", f"{self.path}/data/.{name}"
+        if not exists(self.spark, folder):  # else a change that died before its pointer has written it to the end
+            marked = rows.select(*[f.name for f in self.schema.fields], F.expr(self.part).alias("_part"))
+            marked.write.mode("overwrite").partitionBy("_part").parquet(hidden)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path
+            path(hidden).getFileSystem(self.spark._jsc.hadoopConfiguration()).rename(path(hidden), path(folder))
+        new = {n.removeprefix("_part="): f"{folder}/{n}" for n in listed(self.spark, folder) if n.startswith("_part=")}
+        pairs = [(p, f) for p, many in kept.items() for f in many] + list(new.items())
+        self._point(version, sorted(pairs), source, batch)
         return version
 
     def append(self, rows: DataFrame, source: str | None = None, batch: int | None = None) -> int:
-        return self._write_touched(rows, lambda old, new: old.unionByName(new), source, batch)
+        """Adds the rows in folders of their own; nothing that is there is read or written."""
+        if source is not None and (done := self.applied(source, batch)) is not None:
+            return done
+        now = self.version()
+        return self._write(rows, now + 1, self.folders(now), source, batch, kind=ADDED)
 
     def upsert(self, rows: DataFrame, source: str | None = None, batch: int | None = None) -> int:
         """Updates rows with the same keys and inserts the others."""
@@ -133,8 +156,7 @@ class VersionedTable:
         rows = rows.persist()  # read for its partitions and again to be written
         try:
             touched = [r[0] for r in rows.select(F.expr(self.part)).distinct().collect()]
-            affected = [old[p] for p in touched if p in old]
-            current = self.spark.read.schema(self.schema).parquet(*affected) if affected else self.spark.createDataFrame([], self.schema)
+            current = self._rows([f for p in touched for f in old.get(p, [])])
             return self._write(combine(current, rows), now + 1, {p: f for p, f in old.items() if p not in touched}, source, batch)
         finally:
             rows.unpersist()
@@ -144,10 +166,10 @@ class VersionedTable:
         others stay where they are, and without any the version stays too."""
         now = self.version()
         old = self.folders(now)
-        many = [p for p, f in old.items() if len(listed(self.spark, f, ".parquet")) > (files if above is None else above)]
+        many = [p for p, folders in old.items() if sum(len(listed(self.spark, f, ".parquet")) for f in folders) > (files if above is None else above)]
         if not many:
             return now
-        rows = self.spark.read.schema(self.schema).parquet(*[old[p] for p in many])
+        rows = self._rows([f for p in many for f in old[p]])
         dealt = rows.repartition(files * len(many), F.expr(self.part), *([F.pmod(F.xxhash64(*self.keys), F.lit(files))] if files > 1 else []))
         mark = self._pointers([now]).select("source", "batch").first()  # the last batch stays known
         return self._write(dealt, now + 1, {p: f for p, f in old.items() if p not in many}, mark.source, mark.batch, own=False)
