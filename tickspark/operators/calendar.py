@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 NEW_YORK = "America/New_York"
 OPEN, CLOSE, EARLY_CLOSE = "09:30:00", "16:00:00", "13:00:00"
 BAR_MINUTES = 30
+#: Weekdays on which the exchange stayed closed though no rule says so.
+CLOSURES = ("1994-04-27", "2001-09-11", "2001-09-12", "2001-09-13", "2001-09-14", "2004-06-11", "2007-01-02", "2012-10-29", "2012-10-30", "2018-12-05", "2025-01-09")
 
 
 def _observed(d: Column, month: int, day: int, saturday: bool = True) -> Column:
@@ -35,7 +37,7 @@ def good_friday(d: Column) -> Column:
     return d == F.date_add(F.make_date(y, F.lit(3), F.lit(28)), (sunday - 2).cast("int"))
 
 
-def is_holiday(d: Column, closures: Sequence[str] = ()) -> Column:
+def is_holiday(d: Column, closures: Sequence[str] = CLOSURES) -> Column:
     """Full closures on weekdays; ``closures``: dates of exceptional ones."""
     y = F.year(d)
     rules = [
@@ -71,7 +73,7 @@ def new_york_date(instant: str) -> Column:
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(NEW_YORK), F.col(instant).cast("timestamp_ntz")))
 
 
-def sessions(days: DataFrame, closures: Sequence[str] = ()) -> DataFrame:
+def sessions(days: DataFrame, closures: Sequence[str] = CLOSURES) -> DataFrame:
     """(first_day, last_day) to one row a session: session_date, market_open, market_close (UTC), is_early_close."""
     d = F.col("session_date")
     each = days.select(F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day"))).alias("session_date")).where((F.weekday(d) < 5) & ~is_holiday(d, closures))
@@ -98,14 +100,27 @@ def session_grid(sess: DataFrame, symbols: Sequence[str] | None = None, minutes:
 def future_bars(latest: DataFrame, sess: DataFrame, periods: int, minutes: int = BAR_MINUTES) -> DataFrame:
     """The next ``periods`` bar ends after each symbol's last one, closures skipped: symbol, step, event_timestamp.
 
-    Ends are numbered once; a symbol's are those that follow the number of its own, so nothing is crossed."""
+    Ends are numbered once; how many of them lie at or before a symbol's last time follows from that time's day (a row a day says
+    how many came before) and its distance from the day's opening, so symbols meet days and numbers by equality only."""
     width = F.expr(f"interval {minutes} minutes")
+
+    def second(c: Column) -> Column:
+        return F.unix_timestamp(c.cast("timestamp"))
+
     ends = sess.select(F.explode(F.sequence(F.col("market_open") + width, "market_close", width)).alias("event_timestamp"))
     numbered = ends.withColumn("_n", F.row_number().over(W.orderBy("event_timestamp")))  # a few thousand rows a year
-    last = F.broadcast(latest.select("symbol", F.col("event_timestamp").alias("_last")))
-    first = numbered.join(last, F.col("event_timestamp") > F.col("_last")).groupBy("symbol").agg(F.min("_n").alias("_first"))
-    steps = first.select("symbol", F.posexplode(F.sequence(F.col("_first"), F.col("_first") + periods - 1)).alias("step", "_n"))
-    return steps.join(numbered, "_n").select("symbol", (F.col("step") + 1).alias("step"), "event_timestamp")
+    length = F.floor((second(F.col("market_close")) - second(F.col("market_open"))) / (60 * minutes))
+    span = sess.agg(F.min("session_date").alias("_a"), F.max("session_date").alias("_b")).where("_a is not null")
+    days = span.select(F.explode(F.sequence("_a", "_b", F.expr("interval 1 day"))).alias("_day"))
+    bars = sess.select(F.col("session_date").alias("_day"), F.col("market_open").alias("_open"), length.alias("_bars"))
+    before = F.sum(F.coalesce("_bars", F.lit(0))).over(W.orderBy("_day").rowsBetween(W.unboundedPreceding, -1))  # a row a day
+    days = days.join(bars, "_day", "left").withColumn("_before", F.coalesce(before, F.lit(0)))
+    last = latest.select("symbol", F.col("event_timestamp").alias("_last"), F.greatest(new_york_date("event_timestamp"), F.lit("0001-01-01").cast("date")).alias("_day"))
+    inside = F.greatest(F.lit(0), F.least("_bars", F.floor((second(F.col("_last")) - second(F.col("_open"))) / (60 * minutes))))
+    first = last.crossJoin(F.broadcast(span)).where("_day <= _b").withColumn("_day", F.greatest("_day", "_a"))  # one row
+    first = first.join(F.broadcast(days), "_day").select("symbol", (F.col("_before") + F.coalesce(inside, F.lit(0))).alias("_done"))
+    steps = first.select("symbol", F.posexplode(F.sequence(F.col("_done") + 1, F.col("_done") + periods)).alias("step", "_n"))
+    return steps.join(F.broadcast(numbered), "_n").select("symbol", (F.col("step") + 1).alias("step"), "event_timestamp")
 
 
 def session_at(instants: DataFrame, sess: DataFrame, instant: str = "instant", lead: str = "10 minutes") -> DataFrame:

@@ -11,6 +11,8 @@ from tickspark.operators.bars import last_rows
 from tickspark.plans.common import BARS, SYMBOLS, TRADES, read, register, trades
 from tickspark.plans.market import ROLLING, half_hours, rolling_features, rounded
 from tickspark.plans.sessions import LISTED
+from tickspark.sources import bucketed
+from tickspark.sources.tables import workspace
 
 SPLIT = "2024-01-20 00:00:00"
 
@@ -112,16 +114,32 @@ def entity_spine(spark, d):
     return spine(spark, d)
 
 
-@register(
-    "asof_features",
-    f"""{ROLLING}, {SPINE} SELECT s.symbol, s.event_timestamp, CASE WHEN ok THEN close END AS close, CASE WHEN ok THEN rolling_avg_close END AS rolling_avg_close, CASE WHEN ok THEN window_end END AS feature_timestamp
-FROM (SELECT s.symbol, s.event_timestamp, f.close, f.rolling_avg_close, f.window_end, f.window_end >= s.event_timestamp - INTERVAL 2 HOUR AS ok FROM spine s ASOF LEFT JOIN f ON s.symbol = f.symbol AND s.event_timestamp >= f.window_end) s""",
-)
+ASOF = f"""{ROLLING}, {SPINE} SELECT s.symbol, s.event_timestamp, CASE WHEN ok THEN close END AS close, CASE WHEN ok THEN rolling_avg_close END AS rolling_avg_close, CASE WHEN ok THEN window_end END AS feature_timestamp
+FROM (SELECT s.symbol, s.event_timestamp, f.close, f.rolling_avg_close, f.window_end, f.window_end >= s.event_timestamp - INTERVAL 2 HOUR AS ok FROM spine s ASOF LEFT JOIN f ON s.symbol = f.symbol AND s.event_timestamp >= f.window_end) s"""
+
+
+@register("asof_features", ASOF)
 def asof_features(spark, d):
     f = rolling_features(spark, d).withColumn("event_timestamp", F.col("window_end"))
     return P.asof(spine(spark, d), f, ["close", "rolling_avg_close"], "2 hours")
 
 
+def table_in(spark, name):
+    """A name and a folder for a bucketed table."""
+    path = workspace(spark, name)
+    return path.rsplit("/", 1)[1].replace("-", "_"), path
+
+
+@register("asof_features_bucketed", ASOF)
+def asof_features_bucketed(spark, d):
+    """The same from a history in buckets."""
+    f = rolling_features(spark, d).withColumn("event_timestamp", F.col("window_end"))
+    name, path = table_in(spark, "history")
+    columns = ["close", "rolling_avg_close"]
+    bucketed.write_history(f, name, columns, "2 hours", path)
+    return bucketed.asof_history(spine(spark, d), name, columns, "2 hours")
+
+
 ONLINE = f"{BARS}, online AS (SELECT symbol, max(window_end) AS event_timestamp, arg_max(close, window_end) AS close, arg_max(total_volume, window_end) AS total_volume FROM bars GROUP BY symbol)"
 
 
@@ -142,6 +160,13 @@ def online_lookup(spark, d):
     return P.look_up(request, P.latest_per_key(labelled(spark, d), ["close"])).select("symbol", "event_timestamp", "close", "missing")
 
 
+@register("online_lookup_bucketed", f"WITH {ONLINE} SELECT r.symbol, event_timestamp, close, o.symbol IS NULL AS missing FROM (SELECT unnest(['click', 'view', 'nobody']) AS symbol) r LEFT JOIN online o ON r.symbol = o.symbol")
+def online_lookup_bucketed(spark, d):
+    name, path = table_in(spark, "online")
+    bucketed.write_online(P.latest_per_key(labelled(spark, d), ["close"]), name, path)
+    return bucketed.look_up(spark, name, ["click", "view", "nobody"]).select("symbol", "event_timestamp", "close", "missing")
+
+
 @register("online_parity", f"WITH {ONLINE} SELECT symbol, close AS offline, (close::FLOAT)::DOUBLE AS online, TRUE AS agrees FROM online")
 def online_parity(spark, d):
     latest = P.latest_per_key(labelled(spark, d), ["close"])
