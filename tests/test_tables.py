@@ -128,6 +128,59 @@ def test_a_history_adds_rows_is_refused_where_it_differs_and_leaves_the_online_v
         R.publish(changed, live_table, ledger, online, history=history)
 
 
+def test_each_refusal_of_a_publication(spark):
+    w = workspace(spark, "refusals")
+    rows = [("A", datetime(2024, 1, d), datetime(2024, 1, d, 0, 30), float(d)) for d in range(2, 12)]
+    f = spark.createDataFrame(rows, "symbol string, window_start timestamp_ntz, event_timestamp timestamp_ntz, close double")
+
+    def made(name, dataset_id, part, historical=False):
+        part.write.parquet(f"{w}/{name}/features")
+        R.write_manifest(spark, f"{w}/{name}", dataset_id, historical=historical)
+        return f"{w}/{name}"
+
+    def upto(day):
+        return f.where(F.dayofmonth("event_timestamp") <= day)
+
+    schema = f.withColumns({"dataset_version": F.lit(""), "created_at": F.current_timestamp()}).schema
+    offline, history = (VersionedTable(spark, f"{w}/{n}", schema).create_if_missing() for n in ("offline", "history"))
+    ledger = Ledger(spark, f"{w}/ledger", R.LEDGER)
+    online = spark.createDataFrame([], "symbol string, event_timestamp timestamp_ntz, close double")
+    past = made("past", "h1", f, historical=True)
+    R.publish(past, offline, ledger, online, history=history)  # reaches past the live release below and doesn't hinder it
+
+    def broken(view):
+        raise RuntimeError("no view")
+
+    first = made("first", "r1", upto(5))
+    with pytest.raises(RuntimeError):
+        R.publish(first, offline, ledger, online, write_online=broken)
+    assert ledger.latest("dataset_id").where("dataset_id = 'r1'").first().status == "pending"  # not complete without its view
+    with pytest.raises(R.Refused, match="pending"):
+        R.publish(made("beside", "r2", upto(8)), offline, ledger, online)
+    seen = []
+    R.publish(first, offline, ledger, online, write_online=lambda v: seen.append(v.count()))
+    assert seen == [1] and ledger.latest("dataset_id").where("dataset_id = 'r1'").first().status == "complete"
+    with pytest.raises(R.Refused, match="another manifest"):
+        R.publish(made("reused", "r1", upto(7)), offline, ledger, online)
+    with pytest.raises(R.Refused, match="newer release"):
+        R.publish(made("older", "r0", upto(3)), offline, ledger, online)
+    offline.upsert(f.where("symbol = 'A'").withColumns({"dataset_version": F.lit("elsewhere"), "created_at": F.current_timestamp()}))
+    with pytest.raises(R.Refused, match="offline rows are newer"):
+        R.publish(made("behind", "r3", upto(6)), offline, ledger, online)
+    assert offline.read().where("created_at is null").isEmpty()
+
+
+def test_a_saved_release_is_checked_again(spark):
+    w = workspace(spark, "recheck")
+    day = C.sessions(spark.createDataFrame([(date(2026, 9, 28), date(2026, 9, 28))], "first_day date, last_day date"))
+    rows = [(s, datetime(2026, 9, 28, 13, 30) + timedelta(minutes=i), 100.0 + i // 30, 1) for s in "AB" for i in range(390)]
+    trades = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz, price double, volume long")
+    release = R.complete_session(trades, B.ohlcv(trades).limit(0), day, ["A", "B"], w, "r1")
+    assert R.recheck(release, day, ["A", "B"]).first().qualified and not R.recheck(release, day, ["A", "B", "C"]).first().bars_complete
+    spark.read.parquet(f"{release}/features").limit(1).write.mode("append").parquet(f"{release}/features")
+    assert not R.recheck(release, day, ["A", "B"]).first().manifest_agrees
+
+
 def test_retention_by_hours_keeps_recent_versions(spark):
     t = VersionedTable(spark, workspace(spark, "hours"), BAR).create_if_missing()
     for close in (1.0, 2.0, 3.0):

@@ -44,9 +44,14 @@ def legacy_snapshot(snapshot: DataFrame, rows: DataFrame, now: Column, days: int
     return kept.unionByName(insert_if_absent(kept, fresh, keys), allowMissingColumns=True)
 
 
+def is_historical(manifest: str = "manifest") -> Column:
+    """Whether a manifest says that its release fills the past."""
+    return F.coalesce(F.get_json_object(manifest, "$.historical").cast("boolean"), F.lit(False)) | F.get_json_object(manifest, "$.historical_source").isNotNull()
+
+
 def latest_publication(ledger: DataFrame) -> DataFrame:
     """The newest complete release that isn't historical, by time and then by update."""
-    live = ledger.where("status = 'complete'").where(~F.coalesce(F.get_json_object("manifest", "$.historical").cast("boolean"), F.lit(False)))
+    live = ledger.where("status = 'complete'").where(~is_historical())
     return live.agg(F.max_by("dataset_id", F.struct("max_event_time", "updated_at")).alias("dataset_id"), F.max("max_event_time").alias("max_event_time"))
 
 
@@ -65,11 +70,12 @@ def deadline(latest: DataFrame, sess: DataFrame, now: Column, delay: str = "60 m
 
 
 def publication_checks(ledger: DataFrame, dataset_id: Column, max_event_time: Column) -> DataFrame:
-    """One row of counts that refuse a publication: the same id complete, another id pending, an id listed twice, newer data."""
+    """One row of counts that refuse a publication: the same id complete, another id pending, an id listed twice, newer data of
+    releases that aren't historical."""
     same, complete = F.col("dataset_id") == dataset_id, F.col("status") == "complete"
     return ledger.agg(
         F.count_if(same & complete).alias("already_complete"), F.count_if(~same & (F.col("status") == "pending")).alias("others_pending"),
-        F.coalesce(F.sum(same.cast("int")) > 1, F.lit(False)).alias("listed_twice"), F.count_if(~same & complete & (F.col("max_event_time") > max_event_time)).alias("newer_complete"),
+        F.coalesce(F.sum(same.cast("int")) > 1, F.lit(False)).alias("listed_twice"), F.count_if(~same & complete & ~is_historical() & (F.col("max_event_time") > max_event_time)).alias("newer_complete"),
     )
 
 

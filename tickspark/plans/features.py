@@ -89,7 +89,7 @@ def latest_publication(spark, d):
 
 
 @register("publication_checks", f"""WITH {LEDGER} SELECT count(*) FILTER (dataset_id = 'r20240112' AND status = 'complete') AS already_complete, count(*) FILTER (dataset_id <> 'r20240112' AND status = 'pending') AS others_pending,
-  count(*) FILTER (dataset_id = 'r20240112') > 1 AS listed_twice, count(*) FILTER (dataset_id <> 'r20240112' AND status = 'complete' AND max_event_time > TIMESTAMP '2024-01-13 00:00:00') AS newer_complete FROM led""")
+  count(*) FILTER (dataset_id = 'r20240112') > 1 AS listed_twice, count(*) FILTER (dataset_id <> 'r20240112' AND status = 'complete' AND NOT historical AND max_event_time > TIMESTAMP '2024-01-13 00:00:00') AS newer_complete FROM led""")
 def publication_checks(spark, d):
     return R.publication_checks(ledger(spark, d), F.lit("r20240112"), F.lit("2024-01-13").cast("timestamp_ntz"))
 

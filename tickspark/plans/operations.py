@@ -20,7 +20,7 @@ from tickspark.plans.live import faulty_stream, stream_of
 from tickspark.plans.market import gappy, half_hours, rounded
 from tickspark.plans.models import SAMPLES, forecasts, requests
 from tickspark.plans.sessions import GRID, sess
-from tickspark.sources import releases
+from tickspark.sources import releases, tables
 from tickspark.sources import trades as T
 from tickspark.sources.tables import workspace
 from tickspark.streaming import live
@@ -368,6 +368,45 @@ def historical_publication(spark, d):
     return releases.history_rows(b.where(F.col("window_start") < ntz("2024-01-20")), b, ["close", "total_volume"])
 
 
+@register(
+    "publication",
+    f"""WITH {BARS}, a AS (SELECT * FROM bars WHERE window_end <= TIMESTAMP '2024-01-20 00:00:00'), b AS (SELECT * REPLACE (close + 1 AS close) FROM bars WHERE window_end > TIMESTAMP '2024-01-18 00:00:00' AND window_end <= TIMESTAMP '2024-01-25 00:00:00'),
+o AS (SELECT 'b' AS release, symbol, close, window_end FROM b UNION ALL SELECT 'a', symbol, close, window_end FROM a ANTI JOIN b USING (symbol, window_start))
+SELECT 'offline ' || release AS what, symbol, count(*) AS n, round(sum(close), 6) AS closes FROM o GROUP BY ALL UNION ALL SELECT 'online', symbol, 1, round(arg_max(close, window_end), 6) FROM o GROUP BY symbol
+UNION ALL SELECT 'refused ' || r, NULL, 1, NULL FROM (SELECT unnest(['older', 'reused', 'short']) AS r)""",
+)
+def publication(spark, d):
+    """Two releases that overlap, and three that are refused: an older one, an id that is used again, rows that are missing."""
+    w = workspace(spark, "publication")
+    rows = half_hours(spark, d).select("symbol", "window_start", F.col("window_end").alias("event_timestamp"), "close")
+
+    def made(name, dataset_id, part):
+        part.write.parquet(f"{w}/{name}/features")
+        releases.write_manifest(spark, f"{w}/{name}", dataset_id, historical=False)
+        return f"{w}/{name}"
+
+    end = F.col("event_timestamp")
+    first = made("a", "a", rows.where(end <= ntz("2024-01-20")))
+    second = made("b", "b", rows.where((end > ntz("2024-01-18")) & (end <= ntz("2024-01-25"))).withColumn("close", F.col("close") + 1))
+    schema = rows.withColumns({"dataset_version": F.lit(""), "created_at": F.current_timestamp()}).schema
+    offline, book = tables.VersionedTable(spark, f"{w}/offline", schema).create_if_missing(), tables.Ledger(spark, f"{w}/ledger", releases.LEDGER)
+    view = spark.createDataFrame([], "symbol string, event_timestamp timestamp_ntz, close double")
+    for release in (first, second):
+        releases.publish(release, offline, book, view, write_online=lambda v, name=release: v.write.parquet(f"{name}/online"))
+        view = spark.read.parquet(f"{release}/online")
+    short = made("short", "c", rows.where(end > ntz("2024-01-25")))
+    rows.limit(1).write.mode("append").parquet(f"{short}/features")
+    refused = []
+    for name, release in (("older", made("older", "d", rows.where(end <= ntz("2024-01-10")))), ("reused", made("reused", "a", rows.where(end <= ntz("2024-01-26")))), ("short", short)):
+        try:
+            releases.publish(release, offline, book, view)
+        except releases.Refused:
+            refused.append((f"refused {name}", None, 1, None))
+    held = offline.read().where("created_at is not null").groupBy(F.concat(F.lit("offline "), "dataset_version").alias("what"), "symbol").agg(F.count("*").alias("n"), F.round(F.sum("close"), 6).alias("closes"))
+    shown = view.select(F.lit("online").alias("what"), "symbol", F.lit(1).cast("long").alias("n"), F.round("close", 6).alias("closes"))
+    return held.unionByName(shown).unionByName(spark.createDataFrame(refused, "what string, symbol string, n long, closes double"))
+
+
 @register(
     "history_checks",
     f"""WITH {GRID}, {BARS}, c AS (SELECT count(*) FILTER (b.symbol IS NULL) AS missing_keys, count(*) FILTER (g.symbol IS NULL) AS off_session_keys FROM bars b FULL JOIN grid g ON b.symbol = g.symbol AND b.window_start = g.window_start)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.operators.bars import LOOKBACK, bounded_history, ohlcv, rolling
@@ -95,40 +95,79 @@ def history_rows(held: DataFrame, rows: DataFrame, payload: Sequence[str]) -> Da
     return insert_if_absent(held, rows)
 
 
-def publish(release: str, offline: VersionedTable, ledger: Ledger, online: DataFrame, days: int = 180, history: VersionedTable | None = None) -> tuple[DataFrame, DataFrame]:
+def content(manifest: Row) -> str:
+    """A manifest as one text, equal for equal manifests."""
+    return json.dumps(manifest.asDict(recursive=True), sort_keys=True, default=str)
+
+
+def publish(release: str, offline: VersionedTable, ledger: Ledger, online: DataFrame, days: int = 180, history: VersionedTable | None = None, write_online: Callable[[DataFrame], None] | None = None) -> tuple[DataFrame, DataFrame]:
     """Upserts a release into the offline table and returns the training snapshot and the new online view.
 
-    The ledger goes from pending to complete; a release that is complete already is not applied again, and an older release
-    or one beside a pending other is refused. A historical release only adds rows to ``history``, a table of its own, is
-    refused where it differs from rows there, and leaves the live rows and the online view as they are."""
+    Refused: an id whose manifest is not the one that the ledger has for it; a release beside a pending other; one older than a
+    live release that is complete, or, if it wasn't begun before, older than the offline rows. The ledger goes from pending to
+    complete, which it is only when ``write_online`` has taken the view; a release that is complete already is not applied
+    again. A row's ``created_at``, where the table has it, is the time of this publication. A historical release only adds rows
+    to ``history``, a table of its own, is refused where it differs from rows there, and leaves the live rows and the online
+    view as they are."""
     spark = offline.spark
     m = spark.read.json(f"{release}/manifest").first()
     newest = F.lit(m.max_event_time).cast("timestamp_ntz")
-    state = ledger.latest("dataset_id")
+    state, manifest = ledger.latest("dataset_id"), content(m)
+    before = state.where(F.col("dataset_id") == m.dataset_id).first()
+    if before is not None and before.manifest != manifest:
+        raise Refused(f"the id {m.dataset_id} was published with another manifest")
     checks = publication_checks(state, F.lit(m.dataset_id), newest).first()
     features = spark.read.parquet(f"{release}/features")
     if features.count() != m.row_count:
         raise Refused("the release's rows are not what its manifest says")
+    stamp = spark.range(1).select(newest.alias("t"), F.current_timestamp().cast("timestamp_ntz").alias("now")).first()
+    if not checks.already_complete and checks.others_pending:
+        raise Refused("another publication is pending")
     if m.historical:
         if history is None:
             raise Refused("a historical release needs the table of histories")
         if not checks.already_complete:
-            if checks.others_pending:
-                raise Refused("another publication is pending")
             names = [f.name for f in history.schema.fields if f.name in features.columns]
             new = history_rows(history.read(), features.select(*names), [c for c in names if c not in KEYS])
-            history.append(new.withColumn("dataset_version", F.lit(m.dataset_id)))
-            stamp = spark.range(1).select(newest.alias("t")).first().t
-            ledger.record(m.dataset_id, json.dumps({"historical": True}), "complete", stamp, stamp)
+            history.append(lineage(new, history, m.dataset_id))
+            ledger.record(m.dataset_id, manifest, "complete", stamp.t, stamp.now)
         return history.read(), online
     if not checks.already_complete:
-        if checks.others_pending or checks.newer_complete:
-            raise Refused("another publication is pending, or newer")
-        stamp = spark.range(1).select(newest.alias("t")).first().t
-        ledger.record(m.dataset_id, json.dumps({"historical": m.historical}), "pending", stamp, stamp)
-        rows = features.select(*[f.name for f in offline.schema.fields if f.name in features.columns], F.lit(m.dataset_id).alias("dataset_version"))
-        offline.upsert(rows)
-        ledger.record(m.dataset_id, json.dumps({"historical": m.historical}), "complete", stamp, stamp)
-    snapshot = sliding_snapshot(offline.read(), ledger.latest("dataset_id"), days)
+        if checks.newer_complete:
+            raise Refused("a newer release is complete")
+        if before is None:
+            held = offline.read().agg(F.max("event_timestamp").cast("timestamp_ntz").alias("t")).first().t
+            if held is not None and held > stamp.t:
+                raise Refused("the offline rows are newer than the release")
+            ledger.record(m.dataset_id, manifest, "pending", stamp.t, stamp.now)
+        rows = features.select(*[f.name for f in offline.schema.fields if f.name in features.columns])
+        offline.upsert(lineage(rows, offline, m.dataset_id))
+    state = ledger.latest("dataset_id").withColumn("status", F.when(F.col("dataset_id") == m.dataset_id, "complete").otherwise(F.col("status")))
+    snapshot = sliding_snapshot(offline.read(), state, days)
     columns = [c for c in online.columns if c not in ("symbol", "event_timestamp")]
-    return snapshot, materialise(online, snapshot, newest - F.expr(f"interval {days} days"), newest, columns)
+    view = materialise(online, snapshot, newest - F.expr(f"interval {days} days"), newest, columns)
+    if not checks.already_complete:
+        if write_online is not None:
+            write_online(view)
+        ledger.record(m.dataset_id, manifest, "complete", stamp.t, stamp.now)
+    return snapshot, view
+
+
+def lineage(rows: DataFrame, table: VersionedTable, dataset_id: str) -> DataFrame:
+    """``rows`` with the release that they came with and, where the table has it, when they were published."""
+    out = rows.withColumn("dataset_version", F.lit(dataset_id))
+    kinds = {f.name: f.dataType for f in table.schema.fields}
+    return out.withColumn("created_at", F.current_timestamp().cast(kinds["created_at"])) if "created_at" in kinds else out
+
+
+def recheck(release: str, session: DataFrame, symbols: Sequence[str]) -> DataFrame:
+    """The evidence of a saved release, computed again and nothing published: one row with what its manifest says and whether its
+    rows still bear it out."""
+    spark = session.sparkSession
+    m = spark.read.json(f"{release}/manifest")
+    f = spark.read.parquet(f"{release}/features").agg(F.count("*").alias("rows"), F.min("event_timestamp").cast("string").alias("first"), F.max("event_timestamp").cast("string").alias("last"))
+    bars = qualify_sessions(spark.read.parquet(f"{release}/bars"), session, symbols).agg(F.coalesce(F.min("passed"), F.lit(False)).alias("bars_complete"))
+    said = m.select("dataset_id", "row_count", F.col("min_event_time").cast("timestamp_ntz").cast("string").alias("_a"), F.col("max_event_time").cast("timestamp_ntz").cast("string").alias("_b"))
+    one = said.crossJoin(f).crossJoin(bars)  # one row each
+    agrees = (F.col("rows") == F.col("row_count")) & F.col("first").eqNullSafe(F.col("_a")) & F.col("last").eqNullSafe(F.col("_b"))
+    return one.select("dataset_id", "row_count", "rows", agrees.alias("manifest_agrees"), "bars_complete", (agrees & F.col("bars_complete")).alias("qualified"))
