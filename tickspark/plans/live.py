@@ -87,6 +87,27 @@ def stream_progress_metrics(spark, d):
     return rows.groupBy("name").agg(F.sum("input_rows").alias("input_rows"), F.max("lag").alias("lag"))
 
 
+@register("stream_versions", f"WITH {BARS} SELECT symbol, window_start, close, total_volume::DOUBLE AS total_volume FROM bars")
+def stream_versions(spark, d):
+    """A versioned table is appended to, compacted, updated and appended to again; its stream, started twice, gives each appended row once."""
+    w = workspace(spark, "stream-versions")
+    kinds = {f.name: f.dataType for f in BAR.fields}
+    rows = half_hours(spark, d).select(*[F.col(n).cast(t).alias(n) for n, t in kinds.items()])
+    table, middle = VersionedTable(spark, f"{w}/table", BAR).create_if_missing(), F.lit("2024-01-15").cast("timestamp")
+
+    def take():
+        live.append(table.stream(), f"{w}/out", f"{w}/checkpoint", ONCE, "versions").awaitTermination()
+
+    table.append(rows.where(F.col("window_start") < middle), "load", 0)
+    take()
+    table.compact(above=0)
+    table.upsert(rows.where(F.col("symbol") == "view").withColumn("close", F.col("close") + 1))
+    table.append(rows.where(F.col("window_start") >= middle), "load", 1)
+    table.append(rows.where(F.col("window_start") >= middle), "load", 1)  # comes again
+    take()
+    return spark.read.schema(BAR).parquet(f"{w}/out").select("symbol", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "close", "total_volume")
+
+
 OPENING, CLOSING = "2024-01-19 14:30:00", "2024-01-19 21:00:00"
 
 
