@@ -119,13 +119,14 @@ def two_periods(spark, symbols, shifted):
 
 def test_five_hundred_symbols_in_one_job(spark):
     ref, cur = two_periods(spark, 500, 100)
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     started = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
     got = {r.symbol: r for r in D.adversarial_auc(ref, cur, ["x", "y", "z"], trees=5, folds=2).collect()}
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - started <= 6  # whatever the number of symbols
     moved = {f"S{i}" for i in range(100)}
     assert len(got) == 500 and all(got[s].separable and got[s].auc > 0.9 and got[s].top_features[0] == "x" for s in moved)
     assert sum(r.separable for s, r in got.items() if s not in moved) <= 20
-    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= held
 
 
 def test_samples_of_long_histories_are_bounded(spark):

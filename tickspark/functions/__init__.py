@@ -1 +1 @@
-"""Columns and small results that several operators share."""
+"""Columns and small helpers that operators share."""

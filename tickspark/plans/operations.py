@@ -409,12 +409,18 @@ def publication(spark, d):
 
 @register(
     "history_checks",
-    f"""WITH {GRID}, {BARS}, c AS (SELECT count(*) FILTER (b.symbol IS NULL) AS missing_keys, count(*) FILTER (g.symbol IS NULL) AS off_session_keys FROM bars b FULL JOIN grid g ON b.symbol = g.symbol AND b.window_start = g.window_start)
-SELECT unnest(['missing_keys', 'off_session_keys', 'repeated_keys', 'volume_not_bigint', 'symbol_set', 'unfinished_sessions', 'no_sessions', 'retrieved_ahead']) AS "check",
-  unnest([missing_keys, off_session_keys, 0, 0, 0, (SELECT count(*) FROM sess WHERE market_close > TIMESTAMP '2024-01-20 00:00:00'), 0, 0]) AS violations FROM c""",
+    f"""WITH {GRID}, {BARS}, f AS (SELECT symbol, window_start, CASE WHEN symbol = 'click' AND hour(window_start) = 3 THEN NULL ELSE total_volume END AS total_volume FROM bars WHERE symbol <> 'signup' UNION ALL SELECT symbol, window_start, total_volume FROM bars WHERE symbol = 'view' AND day(window_start) % 9 = 0),
+k AS (SELECT symbol, window_start, count(*) AS n FROM f GROUP BY ALL), c AS (SELECT count(*) FILTER (k.symbol IS NULL) AS missing_keys, count(*) FILTER (g.symbol IS NULL) AS off_session_keys FROM k FULL JOIN grid g ON k.symbol = g.symbol AND k.window_start = g.window_start)
+SELECT unnest(['missing_keys', 'off_session_keys', 'repeated_keys', 'volume_not_bigint', 'symbol_set', 'unfinished_sessions', 'no_sessions', 'retrieved_ahead', 'checksum']) AS "check",
+  unnest([missing_keys, off_session_keys, (SELECT sum(n - 1)::BIGINT FROM k), (SELECT count(*) FROM f WHERE total_volume IS NULL), (SELECT count(*) FROM (SELECT DISTINCT symbol FROM bars ANTI JOIN f USING (symbol))), (SELECT count(*) FROM sess WHERE market_close > TIMESTAMP '2024-01-20 00:01:00'), 0, 1, 1]) AS violations FROM c""",
 )
 def history_checks(spark, d):
-    return V.history_checks(half_hours(spark, d), sess(spark, d), SYMBOLS, None, ntz("2024-01-20"), ntz("2024-01-20 00:01:00"))
+    """A history with faults: a symbol is missing, some bars are there twice, some volumes are null, it was retrieved ahead of the
+    clock, and its digest is another's."""
+    b = half_hours(spark, d).where(F.col("symbol") != "signup")
+    twice = b.where((F.col("symbol") == "view") & (F.dayofmonth("window_start") % 9 == 0))
+    odd = b.withColumn("total_volume", F.when(~((F.col("symbol") == "click") & (F.hour("window_start") == 3)), F.col("total_volume")))
+    return V.history_checks(odd.unionByName(twice), sess(spark, d), SYMBOLS, "another", ntz("2024-01-20 00:10:00"), ntz("2024-01-20 00:01:00"))
 
 
 # Composed jobs
