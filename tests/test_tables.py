@@ -3,6 +3,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tickspark import jobs
 from tickspark.operators import bars as B
 from tickspark.operators import calendar as C
 from tickspark.operators import universe as U
@@ -244,7 +245,6 @@ def test_one_dead_query_ends_the_others(spark):
 
 
 def test_jobs_refuse_what_breaks_their_rules(spark):
-    from tickspark import jobs
 
     w = workspace(spark, "jobs")
     rows = spark.createDataFrame([("A", datetime(2024, 1, 1), 1.0, 5)], "symbol string, window_start timestamp_ntz, close double, total_volume long")
@@ -269,3 +269,57 @@ def test_features_are_ranked_by_any_measure(spark):
     d = spark.createDataFrame([("A", f, float(x), 1.0 - x) for f, x in (("a", 0.1), ("b", 0.5), ("c", 0.3), ("d", 0.4))], "symbol string, feature string, wasserstein double, psi double")
     assert [r.feature for r in top_features(d).orderBy("rank").collect()] == ["b", "d", "c"]
     assert [r.feature for r in top_features(d, "psi", 2).orderBy("rank").collect()] == ["a", "c"]
+
+
+def test_loads_evolve_their_table_and_add_nothing_twice(spark):
+    w = workspace(spark, "loaded")
+    rows = spark.createDataFrame([("A", datetime(2024, 1, 1), 1.0, 5), ("A", datetime(2024, 1, 2), None, None), ("B", datetime(2024, 1, 1), None, 7)], "symbol string, window_start timestamp_ntz, close double, total_volume long")
+    table = jobs.LoadedTable(spark, w)
+    with pytest.raises(R.Refused):
+        table.load(rows.drop("close"), "bad")
+    one = table.load(rows, "one")
+    assert (one.version, one.schema_version, one.inserted) == (1, 1, 3)
+    # B's only close is null and nothing follows it: it stays null; A's second row is filled forward
+    assert sorted((r.symbol, str(r.close), r.total_volume) for r in table.rows().read().collect()) == [("A", "1.0", 5), ("A", "1.0", 5), ("B", "None", 7)]
+    more = rows.where("symbol = 'A'").withColumns({"window_start": F.col("window_start") + F.expr("interval 5 days"), "extra": F.lit("x"), "total_volume": F.col("total_volume").cast("int")})
+    two = table.load(more.unionByName(rows.withColumn("extra", F.lit("x"))), "two")
+    assert (two.schema_version, two.inserted) == (2, 2)
+    assert table.load(more, "again").inserted == 0 and dict(table.rows().read().dtypes)["total_volume"] == "bigint"
+    fewer = table.load(more.drop("extra").withColumn("window_start", F.col("window_start") + F.expr("interval 9 days")), "fewer")
+    assert fewer.inserted == 2 and table.rows().read().where("extra is null").count() == 5
+    assert {r.run_id: r.inserted for r in table.runs.latest("run_id").collect()} == {"one": 3, "two": 2, "again": 0, "fewer": 2}
+
+
+def test_a_training_frame_needs_qualified_sessions_of_every_symbol(spark):
+    rows = spark.createDataFrame([(s, datetime(2024, 1, 1 + i, 15), datetime(2024, 1, 1 + i, 15, 30), 1.0 + i, 10, "r1" if i < 4 else "r2") for s in "AB" for i in range(6 if s == "A" else 4)], "symbol string, window_start timestamp_ntz, event_timestamp timestamp_ntz, close double, total_volume long, dataset_version string")
+    fit = '{"session_qualification": {"policy": "nyse-full-session-v1", "status": "passed"}}'
+    book = spark.createDataFrame([("r1", "complete", fit), ("r2", "pending", fit)], "dataset_id string, status string, manifest string")
+    none, now = rows.limit(0), F.lit("2024-02-01").cast("timestamp_ntz")
+    made = jobs.training_frame(rows, none, book, ["A", "B"], now, least=4)
+    assert {r.symbol: r.n for r in made.groupBy("symbol").agg(F.count("*").alias("n")).collect()} == {"A": 3, "B": 3}
+    with pytest.raises(R.Refused, match="fewer than 5"):
+        jobs.training_frame(rows, none, book, ["A", "B"], now, least=5)
+    with pytest.raises(R.Refused, match="'C': 0"):
+        jobs.training_frame(rows, none, book, ["A", "C"], now, least=4)
+    with pytest.raises(R.Refused, match="no row"):
+        jobs.training_frame(rows, none, book.where("status = 'pending'"), ["A"], now)
+
+
+def test_a_forecast_takes_the_first_times_of_a_whole_decoder(spark):
+    from tickspark.operators import calendar
+
+    days = spark.createDataFrame([("2024-01-11", "2024-01-12")], "a string, b string").select(F.col("a").cast("date").alias("first_day"), F.col("b").cast("date").alias("last_day"))
+    sess = calendar.held(calendar.sessions(days))
+    history = spark.createDataFrame([("A", datetime(2024, 1, 11, 20, 30), 100.0), ("A", datetime(2024, 1, 11, 20), 90.0)], "symbol string, event_timestamp timestamp_ntz, close double")
+    made = spark.createDataFrame([("A", h, q, 0.01) for h in range(1, 5) for q in (0.1, 0.5, 0.9)], "symbol string, horizon int, quantile double, y_pred double")
+    offsets = spark.createDataFrame([(h, 50, q, q - 0.5) for h in range(1, 5) for q in (0.1, 0.5, 0.9)], "horizon int, paths long, quantile double, offset double")
+    f = jobs.batch_forecast(made, offsets, history, sess, 2, decoder=4)
+    steps = f.steps.orderBy("step").collect()
+    # the last bar of the 11th, then the first of the 12th
+    assert [r.event_timestamp for r in steps] == [datetime(2024, 1, 11, 21), datetime(2024, 1, 12, 15)] and [r.p50 for r in steps] == [101.005, 102.0201]
+    assert f.summary.collect() == [("A", 2, 100.0, 2.0201, 0.0202)]
+    for bad, message in (((made.where("horizon < 4"), offsets, history, sess), "whole"), ((made, offsets.where("horizon < 3"), history, sess), "calibrated"), ((made, offsets, history.limit(0), sess), "base price"), ((made, offsets, history, sess.where("session_date = '2024-01-11'")), "sessions end")):
+        with pytest.raises(Exception, match=message):
+            jobs.batch_forecast(*bad, 2, decoder=4).steps.collect()
+    with pytest.raises(ValueError):
+        jobs.batch_forecast(made, offsets, history, sess, 5, decoder=4)

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import NumericType
 
-from tickspark.operators import coverage, drift, quality, training, universe
-from tickspark.operators.release import newer_rows
+from tickspark.operators import calendar, coverage, drift, evaluation, quality, training, universe
+from tickspark.operators.release import ledger_rows, newer_rows
 from tickspark.schemas import BAR
 from tickspark.sources import tables, trades
 from tickspark.sources.releases import Refused, complete_session, history_features
@@ -121,6 +123,103 @@ def incremental_load(rows: DataFrame, path: str, required: dict[str, str] | None
     return table.append(newer_rows(rows, table.read()))
 
 
+RUNS = "run_id string, version long, schema_version int, inserted long, newest timestamp_ntz"
+
+
+@dataclass
+class Load:
+    """What a load did: the table's version, that of its rows' schema, and the rows it added."""
+
+    version: int
+    schema_version: int
+    inserted: int
+
+
+class LoadedTable:
+    """A table that loads fill: rows in months, the schemas it was given, and a row a load."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.schemas, self.runs = tables.SchemaLedger(spark, f"{path}/schemas"), tables.Ledger(spark, f"{path}/runs", RUNS)
+
+    def rows(self) -> tables.VersionedTable:
+        return tables.VersionedTable(self.spark, f"{self.path}/rows", self.schemas.schema("rows")).create_if_missing()
+
+    def load(self, rows: DataFrame, run_id: str, required: dict[str, str] | None = None) -> Load:
+        """Adds what is newer than the table's rows of each symbol.
+
+        Rows that break the contract are refused before anything is written. Numbers are filled forward in each symbol and then
+        backward over the rows in order, as ``impute`` does globally, before the newer ones are picked. Columns that the table
+        lacks are added to it, its older rows have nulls there; columns that the rows lack are null; a column that both have
+        keeps the table's type. A load that comes again, or that died before it was recorded, adds nothing twice."""
+        broken = quality.contract_violations(rows, REQUIRED if required is None else required)
+        if broken:
+            raise Refused(f"the rows break their contract: {broken}")
+        if "event_timestamp" not in rows.columns:
+            rows = rows.withColumn("event_timestamp", F.col("window_start"))
+        filled = quality.impute(rows, [f.name for f in rows.schema.fields if isinstance(f.dataType, NumericType)], order="window_start", backfill="global")
+        schema_version = self.schemas.record("rows", rows)
+        table = self.rows()
+        kinds = {f.name: f.dataType for f in table.schema.fields}
+        shaped = filled.select(*[(F.col(n) if n in filled.columns else F.lit(None)).cast(t).alias(n) for n, t in kinds.items()])
+        version = table.append(newer_rows(shaped, table.read()))
+        new = table.added(version).agg(F.count("*").alias("n"), F.max("window_start").cast("timestamp_ntz").alias("newest")).first()
+        self.runs.record(run_id, version, schema_version, new.n, new.newest)
+        return Load(version, schema_version, new.n)
+
+
+def training_frame(live_rows: DataFrame, historical: DataFrame, ledger: DataFrame, symbols: Sequence[str], now: Column, days: int = 180, least: int = 60) -> DataFrame:
+    """The model frame of the last ``days``: rows of complete, qualified releases, live ones before historical ones of the same
+    key. Refused if it would be empty, or if a listed symbol has rows on fewer than ``least`` New York dates (one without rows has
+    0); rows of other symbols are left out."""
+    kept = ledger_rows(live_rows, historical, ledger)
+    kept = kept.where(F.col("symbol").isin(list(symbols)) & (F.col("event_timestamp") >= now - F.expr(f"interval {days} days")) & (F.col("event_timestamp") <= now))
+    found = {r.symbol: r.sessions for r in training.min_history(kept, least).collect()}  # a row a listed symbol
+    if not found:
+        raise Refused("no row belongs to a complete, qualified release")
+    if short := {s: found.get(s, 0) for s in symbols if found.get(s, 0) < least}:
+        raise Refused(f"symbols with fewer than {least} sessions: {short}")
+    return training.model_frame(kept)
+
+
+@dataclass
+class Forecast:
+    """A row a symbol and step, and a row a symbol."""
+
+    steps: DataFrame
+    summary: DataFrame
+
+
+def batch_forecast(predictions: DataFrame, offsets: DataFrame, history: DataFrame, sess: DataFrame, horizon: int, decoder: int = 39, time: str = "event_timestamp") -> Forecast:
+    """Calibrated price paths of all symbols at once, with the times of their bars.
+
+    predictions: (symbol, horizon, quantile, y_pred) log returns of a whole decoder; offsets: ``residual_offsets``; the base price
+    is the symbol's last close. Paths and times are resolved for the whole decoder and then cut to ``horizon`` steps, so the
+    first step has the first time. Refused, when rows are read: a decoder that isn't whole, no base price, no offset or no time
+    for a step (the sessions end too early)."""
+    if not 1 <= horizon <= decoder:
+        raise ValueError("the horizon must lie within the decoder")
+    last = history.groupBy("symbol").agg(F.max(time).alias(time), F.max_by("close", time).alias("base_price"))
+    times = calendar.future_bars(last, sess, decoder).select("symbol", F.col("step").alias("horizon"), time)
+    paths = predictions.withColumnRenamed("symbol", "sample_id")
+    base = last.select(F.col("symbol").alias("sample_id"), "base_price")
+    table = evaluation.price_table(evaluation.price_paths(paths, offsets, base), base).drop("base_price").withColumnRenamed("sample_id", "symbol")
+    whole = predictions.groupBy("symbol").agg((F.count_distinct("horizon", "quantile") == decoder * F.count_distinct("quantile")).alias("_a"), (F.count("*") == decoder * F.count_distinct("quantile")).alias("_b"), F.min("horizon").alias("_c"), F.max("horizon").alias("_d"))
+    whole = whole.select("symbol", (F.col("_a") & F.col("_b") & (F.col("_c") == 1) & (F.col("_d") == decoder)).alias("_whole"))
+    asked = whole.join(last.select("symbol", "base_price"), "symbol", "left").withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(decoder))))
+    met = asked.join(table, ["symbol", "horizon"], "left").join(times, ["symbol", "horizon"], "left")
+    problem = F.when(~F.col("_whole"), "the decoder of a symbol isn't whole").when(F.col("base_price").isNull(), "a symbol has no base price").when(F.col(time).isNull(), "the sessions end before the decoder")
+    problem = problem.when(F.col("p10").isNull() | F.col("p50").isNull() | F.col("p90").isNull(), "a step has no calibrated price")
+    of_symbol = F.max(problem).over(W.partitionBy("symbol"))  # all steps of the decoder are checked, whatever is returned
+    checked = met.withColumn("_problem", of_symbol).withColumn("_ok", F.when(F.col("_problem").isNotNull(), F.raise_error(F.col("_problem")).cast("boolean")).otherwise(True)).where("_ok")
+    steps = checked.where(F.col("horizon") <= horizon).select("symbol", F.col("horizon").alias("step"), time, "p10", "p50", "p90", "base_price")
+    end = steps.where(F.col("step") == horizon)
+    change = F.round(F.col("p50") - F.col("base_price"), 4) + 0.0  # no negative zero
+    percent = F.round(F.coalesce(F.try_divide(F.col("p50") - F.col("base_price"), "base_price"), F.lit(0.0)), 4) + 0.0
+    rounded = [F.round(p, 4).alias(p) for p in ("p10", "p50", "p90")]
+    return Forecast(steps.select("symbol", "step", time, *rounded), end.select("symbol", F.lit(horizon).alias("horizon"), F.round("base_price", 4).alias("base_price"), change.alias("absolute_change"), percent.alias("percent_change")))
+
+
 @dataclass
 class TrainingDataset:
     """What a training run reads: both sides of the split, the boundaries, the decoder windows and the cutoff (one row)."""

@@ -154,10 +154,16 @@ def price_paths(forecasts: DataFrame, offsets: DataFrame, base: DataFrame) -> Da
     return out.select("sample_id", "horizon", "quantile", (F.col("base_price") * F.exp(F.col("_m") + F.col("offset"))).alias("price"))
 
 
+def price_table(prices: DataFrame, base: DataFrame, quantiles: Sequence[float] = (LOW, MEDIAN, HIGH)) -> DataFrame:
+    """One row a sample and horizon: a price for each quantile (p10, p50, p90) and the base price."""
+    names = [f"p{round(q * 100)}" for q in quantiles]
+    return prices.groupBy("sample_id", "horizon").agg(*[F.max(F.when(F.col("quantile") == q, F.col("price"))).alias(n) for q, n in zip(quantiles, names, strict=True)]).join(base, "sample_id")
+
+
 def forecast_table(prices: DataFrame, base: DataFrame, quantiles: Sequence[float] = (LOW, MEDIAN, HIGH)) -> DataFrame:
     """One row a sample and horizon: p10, p50, p90, the change against the base, all to 4 digits, and whether they are ordered."""
     names = [f"p{round(q * 100)}" for q in quantiles]
-    wide = prices.groupBy("sample_id", "horizon").agg(*[F.max(F.when(F.col("quantile") == q, F.col("price"))).alias(n) for q, n in zip(quantiles, names, strict=True)]).join(base, "sample_id")
+    wide = price_table(prices, base, quantiles)
     change = F.round(F.col(names[1]) / F.col("base_price") - 1, 4) + 0.0  # no negative zero
     ordered = (F.col(names[0]) <= F.col(names[1])) & (F.col(names[1]) <= F.col(names[2]))
     return wide.select("sample_id", "horizon", *[F.round(n, 4).alias(n) for n in names], change.alias("change"), ordered.alias("ordered"))

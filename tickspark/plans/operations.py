@@ -349,16 +349,20 @@ PUBLISHED = f"""{BARS}, ver AS (SELECT symbol, window_start, close, 'r' || strft
   fit AS (SELECT * FROM ver WHERE dd % 7 <> 0 AND dd % 11 <> 0 AND dd % 13 <> 0 AND NOT (dd % 5 = 0 AND dd % 2 = 0))"""
 
 
-@register("ledger_rows", f"WITH {PUBLISHED}, l AS (SELECT * FROM fit WHERE hour(window_start) < 16), h AS (SELECT * REPLACE (close + 1 AS close) FROM fit WHERE hour(window_start) >= 12) SELECT symbol, window_start, close FROM l UNION ALL SELECT symbol, window_start, close FROM h ANTI JOIN l USING (symbol, window_start)")
-def ledger_rows(spark, d):
-    rows = versioned(spark, d).join(half_hours(spark, d).select("symbol", "window_start", F.col("window_end").alias("event_timestamp")), ["symbol", "event_timestamp"])
+def book(spark, d):
+    """A ledger with a release a day."""
     day = F.dayofmonth("d")
     days = trades(spark, d).select(F.to_date("event_time").alias("d")).distinct()
     session = F.struct(F.when(day % 11 == 0, "unknown").when(day % 2 == 0, R.POLICIES[0]).otherwise(R.POLICIES[1]).alias("policy"), F.when(day % 13 == 0, "failed").otherwise("passed").alias("status"))
     source = F.when(day % 5 == 0, F.struct(F.when(day % 2 == 0, "split").otherwise("unadjusted").alias("adjustment")))
-    book = days.select(F.concat(F.lit("r"), F.date_format("d", "yyyyMMdd")).alias("dataset_id"), F.when(day % 7 == 0, "pending").otherwise("complete").alias("status"), F.to_json(F.struct(session.alias("session_qualification"), source.alias("historical_source"))).alias("manifest"))
+    return days.select(F.concat(F.lit("r"), F.date_format("d", "yyyyMMdd")).alias("dataset_id"), F.when(day % 7 == 0, "pending").otherwise("complete").alias("status"), F.to_json(F.struct(session.alias("session_qualification"), source.alias("historical_source"))).alias("manifest"))
+
+
+@register("ledger_rows", f"WITH {PUBLISHED}, l AS (SELECT * FROM fit WHERE hour(window_start) < 16), h AS (SELECT * REPLACE (close + 1 AS close) FROM fit WHERE hour(window_start) >= 12) SELECT symbol, window_start, close FROM l UNION ALL SELECT symbol, window_start, close FROM h ANTI JOIN l USING (symbol, window_start)")
+def ledger_rows(spark, d):
+    rows = versioned(spark, d).join(half_hours(spark, d).select("symbol", "window_start", F.col("window_end").alias("event_timestamp")), ["symbol", "event_timestamp"])
     late = rows.where(F.hour("window_start") >= 12).withColumn("close", F.col("close") + 1)
-    return R.ledger_rows(rows.where(F.hour("window_start") < 16), late, book).select("symbol", "window_start", "close")
+    return R.ledger_rows(rows.where(F.hour("window_start") < 16), late, book(spark, d)).select("symbol", "window_start", "close")
 
 
 @register("historical_publication", f"WITH {BARS} SELECT symbol, window_start, close, total_volume FROM bars WHERE window_start >= TIMESTAMP '2024-01-20 00:00:00'")

@@ -5,6 +5,7 @@ others over, so old versions stay readable until they are expired."""
 
 from __future__ import annotations
 
+import json
 import tempfile
 import time
 import uuid
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tickspark.operators.release import KEYS, upsert
 
@@ -113,6 +114,11 @@ class VersionedTable:
         """The newest version, or an older one by its number."""
         return self._rows([f for many in self.folders(version).values() for f in many])
 
+    def added(self, version: int) -> DataFrame:
+        """The rows of the folders that the version has and the one before it lacks: after an append, what it added."""
+        before = {f for many in self.folders(version - 1).values() for f in many}
+        return self._rows([f for many in self.folders(version).values() for f in many if f not in before])
+
     def _rows(self, folders: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*sorted(folders)) if folders else self.spark.createDataFrame([], self.schema)
 
@@ -202,7 +208,8 @@ class Ledger:
         self.spark.createDataFrame([row], self.schema).withColumn("recorded_ns", F.lit(time.time_ns())).coalesce(1).write.mode("append").parquet(self.path)
 
     def rows(self) -> DataFrame:
-        return self.spark.read.parquet(self.path) if exists(self.spark, self.path) else self.spark.createDataFrame([], self.schema + ", recorded_ns long")
+        schema = self.schema + ", recorded_ns long"
+        return self.spark.read.schema(schema).parquet(self.path) if exists(self.spark, self.path) else self.spark.createDataFrame([], schema)
 
     def latest(self, key: str) -> DataFrame:
         rows = self.rows()
@@ -222,18 +229,32 @@ def evolve(target: DataFrame, updates: DataFrame) -> DataFrame:
     return target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in updates.schema.fields if f.name not in target.columns})
 
 
+def merged_schema(old: StructType | None, new: StructType) -> StructType:
+    """The old columns as they are, then the new ones; all may be null."""
+    fields = list(old.fields) if old is not None else []
+    held = {f.name for f in fields}
+    return StructType([StructField(f.name, f.dataType, True) for f in [*fields, *[f for f in new.fields if f.name not in held]]])
+
+
 class SchemaLedger:
-    """The fingerprints that a table's schema has had; a new one is a new version."""
+    """The fingerprints of the rows that a table was given, and the columns that it has had by then; a new fingerprint is a new version."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.ledger = Ledger(spark, path, "table string, version int, fingerprint string")
+        self.ledger = Ledger(spark, path, "table string, version int, fingerprint string, fields string")
+
+    def _last(self, table: str):
+        return self.ledger.latest("table").where(F.col("table") == table).first()
 
     def record(self, table: str, df: DataFrame) -> int:
         """The version of the schema of ``df``, recorded if it changed."""
-        last = self.ledger.latest("table").where(F.col("table") == table).first()
+        last = self._last(table)
         fingerprint = schema_fingerprint(df)
         if last is not None and last.fingerprint == fingerprint:
             return last.version
         version = 1 if last is None else last.version + 1
-        self.ledger.record(table, version, fingerprint)
+        self.ledger.record(table, version, fingerprint, merged_schema(None if last is None else StructType.fromJson(json.loads(last.fields)), df.schema).json())
         return version
+
+    def schema(self, table: str) -> StructType:
+        """All columns that the table has had, each with its first type."""
+        return StructType.fromJson(json.loads(self._last(table).fields))
