@@ -62,46 +62,66 @@ def cumulated(values: DataFrame, by: Sequence[str]) -> DataFrame:
     return out.withColumns({"_before_a": F.col("_before_a") + F.col("_oa"), "_before_b": F.col("_before_b") + F.col("_ob"), "_next": F.coalesce("_next", "_after")}).drop("_oa", "_ob", "_after")
 
 
-def measures(samples: DataFrame, by: Sequence[str] = ("feature",), bins: int = BINS, parts: int | None = None) -> DataFrame:
-    """psi, wasserstein, ks and its asymptotic p-value, n_reference and n_current of each group, all from one count of the values.
+def gaps() -> list[Column]:
+    """The aggregates of ``cumulated`` rows that give both distances: wasserstein and ks."""
+    gap = F.abs((F.col("_before_a") + F.col("_a")) / F.nullif("_n0", F.lit(0)) - (F.col("_before_b") + F.col("_b")) / F.nullif("_n1", F.lit(0)))
+    return [F.sum(gap * F.coalesce(F.col("_next") - F.col("value"), F.lit(0.0))).alias("wasserstein"), F.max(gap).alias("ks")]
 
-    psi: over the reference's quantile bins, outer bins open, empty bins floored; a constant reference gives 0 if all current
-    values equal it, else infinity. Distances are null where a side is empty, psi where the reference is."""
-    values = ranged(samples, by, parts)
-    c = cumulated(values, by)
+
+def sides() -> list[Column]:
+    return [F.max("_n0").alias("_n0"), F.max("_n1").alias("_n1")]
+
+
+def significance() -> Column:
+    """The asymptotic p-value of ``ks`` between samples of _n0 and _n1."""
+    return kolmogorov(F.sqrt(F.col("_n0") * F.col("_n1") / (F.col("_n0") + F.col("_n1"))) * F.col("ks"))
+
+
+def binned(values: DataFrame, c: DataFrame, by: Sequence[str], bins: int, more: Sequence[Column] = ()) -> DataFrame:
+    """by, _n0, _n1, psi, and the aggregates ``more`` of ``c``, the cumulated rows of ``values``."""
     found = {}
     for i in range(bins + 1):  # the two values between which a quantile lies, by their places
         place = (F.col("_n0") - 1) * F.lit(i / bins)
         for name, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             found[f"_{name}{i}"] = F.max(F.when((F.col("_before_a") <= at) & (at < F.col("_before_a") + F.col("_a")), F.col("value")))
-    gap = F.abs((F.col("_before_a") + F.col("_a")) / F.nullif("_n0", F.lit(0)) - (F.col("_before_b") + F.col("_b")) / F.nullif("_n1", F.lit(0)))
-    whole = c.groupBy(*by).agg(
-        F.max("_n0").alias("_n0"), F.max("_n1").alias("_n1"), F.sum(gap * F.coalesce(F.col("_next") - F.col("value"), F.lit(0.0))).alias("wasserstein"), F.max(gap).alias("ks"), *[x.alias(n) for n, x in found.items()]
-    )
+    names = [n for n in ("wasserstein", "ks") if more]
+    whole = c.groupBy(*by).agg(*sides(), *more, *[x.alias(n) for n, x in found.items()])
     edge = [(lambda p: F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (p - F.floor(p)))((F.col("_n0") - 1) * F.lit(i / bins)) for i in range(bins + 1)]
-    whole = whole.select(*by, "_n0", "_n1", "wasserstein", "ks", F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.round(e, DIGITS) for e in edge])))).alias("_e"))
+    whole = whole.select(*by, "_n0", "_n1", *names, F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.round(e, DIGITS) for e in edge])))).alias("_e"))
     inner = F.when(F.size("_e") > 2, F.slice("_e", 2, F.greatest(F.size("_e") - 2, F.lit(1)))).otherwise(F.array().cast("array<double>"))
-    binned = met(values, whole.withColumn("_inner", inner), by).withColumn("_bin", F.size(F.filter("_inner", lambda e: e <= F.col("value"))))
-    other = F.coalesce(F.sum(F.when(F.col("value") != F.element_at("_e", 1), F.col("_b"))), F.lit(0))
-    counts = binned.where(F.size("_e") > 0).groupBy(*by, "_bin").agg(F.sum("_a").alias("_c0"), F.sum("_b").alias("_c1"), F.max("_n0").alias("_m0"), F.max("_n1").alias("_m1"), other.alias("_other"))
-    p0, p1 = F.greatest(F.try_divide("_c0", "_m0"), F.lit(FLOOR)), F.greatest(F.try_divide("_c1", "_m1"), F.lit(FLOOR))
-    # bins that neither sample reaches add nothing: both shares are at the floor
-    parts_of = counts.groupBy(*by).agg(F.sum((p1 - p0) * F.log(p1 / p0)).alias("_psi"), F.sum("_other").alias("_other"))
-    same = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by], F.lit(True))
-    out = whole.alias("l").join(parts_of.alias("r"), same, "left").select("l.*", "_psi", "_other")
+    placed = met(values, whole.withColumn("_inner", inner), by).withColumn("_bin", F.size(F.filter("_inner", lambda e: e <= F.col("value"))))
+    # the row of a group goes on with its bins, so that nothing is joined to it again
+    carried = [F.first(n).alias(n) for n in ("_n0", "_n1", "_e", *names)]
+    other = F.coalesce(F.sum(F.when(F.col("value") != F.get("_e", F.lit(0)), F.col("_b"))), F.lit(0))
+    counts = placed.groupBy(*by, "_bin").agg(F.sum("_a").alias("_c0"), F.sum("_b").alias("_c1"), other.alias("_other"), *carried)
+    p0, p1 = F.greatest(F.try_divide("_c0", "_n0"), F.lit(FLOOR)), F.greatest(F.try_divide("_c1", "_n1"), F.lit(FLOOR))
+    # bins that neither sample reaches add nothing: both shares are at the floor; without a reference there are no bins
+    out = counts.groupBy(*by).agg(F.sum(F.when(F.size("_e") > 0, (p1 - p0) * F.log(p1 / p0))).alias("_psi"), F.sum("_other").alias("_other"), *carried)
     constant = F.size("_e") == 1
     psi_value = F.when(constant & (F.col("_other") == 0), 0.0).when(constant, float("inf")).otherwise(F.col("_psi"))
-    p_value = kolmogorov(F.sqrt(F.col("_n0") * F.col("_n1") / (F.col("_n0") + F.col("_n1"))) * F.col("ks"))
-    return out.select(*by, psi_value.alias("psi"), "wasserstein", "ks", p_value.alias("p_value"), F.col("_n0").alias("n_reference"), F.col("_n1").alias("n_current"))
+    return out.select(*by, "_n0", "_n1", psi_value.alias("psi"), *names)
+
+
+def measures(samples: DataFrame, by: Sequence[str] = ("feature",), bins: int = BINS, parts: int | None = None) -> DataFrame:
+    """psi, wasserstein, ks and its asymptotic p-value, n_reference and n_current of each group, all from one count of the values.
+
+    psi: over the reference's quantile bins, outer bins open, empty bins floored; a constant reference gives 0 if all current
+    values equal it, else infinity. Distances are null where a side is empty, psi where the reference is."""
+    values = ranged(samples, by, parts)
+    c = cumulated(values, by)
+    return binned(values, c, by, bins, gaps()).select(*by, "psi", "wasserstein", "ks", significance().alias("p_value"), F.col("_n0").alias("n_reference"), F.col("_n1").alias("n_current"))
 
 
 def psi(samples: DataFrame, by: Sequence[str] = ("feature",), bins: int = BINS) -> DataFrame:
-    return measures(samples, by, bins).select(*by, "psi", "n_reference", "n_current")
+    """psi, n_reference and n_current, as ``measures`` has them."""
+    values = ranged(samples, by)
+    return binned(values, cumulated(values, by), by, bins).select(*by, "psi", F.col("_n0").alias("n_reference"), F.col("_n1").alias("n_current"))
 
 
 def distribution_distance(samples: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
-    """wasserstein, ks and p_value of the groups that both sides have."""
-    return measures(samples, by).where((F.col("n_reference") > 0) & (F.col("n_current") > 0)).select(*by, "wasserstein", "ks", "p_value")
+    """wasserstein, ks and p_value of the groups that both sides have; no bins are made."""
+    c = cumulated(ranged(samples, by), by)
+    return c.groupBy(*by).agg(*sides(), *gaps()).where((F.col("_n0") > 0) & (F.col("_n1") > 0)).select(*by, "wasserstein", "ks", significance().alias("p_value"))
 
 
 def kolmogorov(x: Column, terms: int = 50) -> Column:
