@@ -42,6 +42,46 @@ def test_calendar_queries_in_other_months(name, moved, spark):
     compare(spark, con, plans.QUERIES[name], plans.ORACLES[name], folder)
 
 
+def stored(folder, rows: str):
+    """Events as ``rows`` gives them from the sample's, as a folder and a connection that has them."""
+    import duckdb
+
+    from tests.conftest import SF
+
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    con.execute(f"COPY ({rows.format(events=f"read_parquet('{SF}/events.parquet')")}) TO '{folder}/events.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet')")
+    return str(folder), con
+
+
+#: A session's half hours of one symbol with three trades each, the middle one or a volume faulty; two trades of one instant; a time that is null.
+FAULTS = """SELECT * FROM {events} WHERE ts >= TIMESTAMP '2024-01-18' UNION ALL BY NAME
+SELECT 10000000 + 3 * b + k AS event_id, TIMESTAMP '2024-01-17 14:30:00' + b * INTERVAL 30 MINUTE + k * INTERVAL 5 MINUTE AS ts, 1 AS user_id, 'view' AS event_type,
+  CASE WHEN k <> 1 THEN 5.0 WHEN b = 1 THEN 0.0 WHEN b = 2 THEN -1.0 WHEN b = 3 THEN 'inf'::DOUBLE WHEN b = 4 THEN '-inf'::DOUBLE WHEN b = 5 THEN 'nan'::DOUBLE WHEN b = 6 THEN NULL ELSE 5.0 END AS value,
+  CASE WHEN b = 7 THEN '{{"k": 0}}' WHEN b = 8 THEN NULL ELSE '{{"k": 3}}' END AS props FROM range(13) r(b), range(3) s(k) UNION ALL BY NAME
+SELECT 20000002 + 3 * b - k AS event_id, TIMESTAMP '2024-01-17 14:30:00' + b * INTERVAL 30 MINUTE AS ts, 1 AS user_id, 'click' AS event_type, CASE WHEN k <> b % 3 THEN 5.0 END AS value, '{{"k": 3}}' AS props FROM range(13) r(b), range(3) s(k) UNION ALL BY NAME
+SELECT 30000000 AS event_id, NULL::TIMESTAMP AS ts, 1 AS user_id, 'view' AS event_type, 5.0 AS value, '{{"k": 3}}' AS props"""
+
+
+def test_session_qualification_judges_every_number_of_a_bar(spark, tmp_path):
+    from tests.conftest import compare
+
+    folder, con = stored(tmp_path, FAULTS)
+    query, sql = plans.QUERIES["session_qualification"], plans.ORACLES["session_qualification"]
+    compare(spark, con, query, sql, folder)
+    seen = con.execute(f"SELECT symbol, observed, invalid, passed FROM ({sql}) WHERE session_date = DATE '2024-01-17' AND symbol IN ('click', 'view') ORDER BY symbol").fetchall()
+    assert seen == [("click", 13, 9, False), ("view", 13, 7, False)]  # a null price between two others is neither open nor close
+
+
+@pytest.mark.parametrize("days", [-8750, 888, 1096, 2922])
+def test_session_qualification_in_other_years(spark, tmp_path, days):
+    from tests.conftest import compare
+
+    folder, con = stored(tmp_path, f"SELECT * REPLACE (ts + INTERVAL ({days}) DAY AS ts) FROM {{events}}")
+    assert compare(spark, con, plans.QUERIES["session_qualification"], plans.ORACLES["session_qualification"], folder) > 0
+
+
 @pytest.mark.parametrize("name", ["tick_coverage", "trade_gaps", "session_qualification", "recovery_coverage", "interior_gaps"])
 def test_no_calendar_rule_reaches_the_ticks(name, spark, sf):
     """Each trade's New York date is found once or twice, not once a rule."""

@@ -85,7 +85,9 @@ def interior_gaps(bars: DataFrame, sess: DataFrame, minutes: int = 30) -> DataFr
 
 
 def qualify_sessions(bars: DataFrame, sess: DataFrame, symbols: Sequence[str], minutes: int = 30) -> DataFrame:
-    """Evidence of each session and symbol: expected, observed, duplicates, off_grid, invalid, bad_bounds, bad_width, passed."""
+    """Evidence of each session and symbol: expected, observed, duplicates, off_grid, invalid, bad_bounds, bad_width, passed.
+
+    A bar is invalid if its open, high, low, close or volume is missing, not finite or not above 0."""
     numbers = ["open", "high", "low", "close", "total_volume"]
     bad = F.greatest(*[(F.col(c).isNull() | F.isnan(F.col(c).cast("double")) | (F.col(c) <= 0) | (F.abs(F.col(c).cast("double")) == float("inf"))).cast("int") for c in numbers]) == 1
     bounds = (F.col("high") < F.greatest("open", "close", "low")) | (F.col("low") > F.least("open", "close", "high"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickspark.operators import bars as B
 from tickspark.operators import calendar as C
 from tickspark.operators import coverage as V
 from tickspark.plans.common import BARS, SYMBOLS, TRADES, read, register, trades
@@ -38,6 +39,17 @@ GRID = f"""{SESS}, starts AS (SELECT session_date, unnest(generate_series(market
 INSIDE = "inside AS (SELECT s.session_date, market_open, market_close, t.* FROM trades t JOIN sess s ON t.event_time >= market_open AND t.event_time < market_close)"
 
 
+#: The calendar of ``sess`` by the exchange's rules and so for any year, for the two qualifications.
+RULED = f"""days AS (SELECT d, year(d) AS y, month(d) AS m, day(d) AS n, isodow(d) AS w, (19 * (y % 19) + y // 100 - y // 400 - (y // 100 - (y // 100 + 8) // 25 + 1) // 3 + 15) % 30 AS h,
+  (32 + 2 * (y // 100 % 4) + 2 * (y % 100 // 4) - h - y % 4) % 7 AS l, h + l - 7 * ((y % 19 + 11 * h + 22 * l) // 451) + 114 AS p, make_date(y, p // 31, p % 31 + 1) AS easter
+  FROM (SELECT unnest(generate_series(min(ts)::DATE::TIMESTAMP, max(ts)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM events)),
+open_days AS (SELECT d, m = 11 AND w = 5 AND n BETWEEN 23 AND 29 OR w <= 4 AND (m = 12 AND n = 24 OR m = 7 AND n = 3) AS early FROM days WHERE w <= 5 AND NOT (
+  m = 1 AND (n = 1 OR n = 2 AND w = 1) OR m = 1 AND y >= 1998 AND w = 1 AND n BETWEEN 15 AND 21 OR m = 2 AND w = 1 AND n BETWEEN 15 AND 21 OR d::DATE = easter - 2 OR m = 5 AND w = 1 AND n >= 25
+  OR m = 6 AND y >= 2022 AND (n = 19 OR n = 20 AND w = 1 OR n = 18 AND w = 5) OR m = 7 AND (n = 4 OR n = 5 AND w = 1 OR n = 3 AND w = 5) OR m = 9 AND w = 1 AND n <= 7 OR m = 11 AND w = 4 AND n BETWEEN 22 AND 28
+  OR m = 12 AND (n = 25 OR n = 26 AND w = 1 OR n = 24 AND w = 5) OR d::DATE IN ({_dates(C.CLOSURES)}))),
+sess AS (SELECT d::DATE AS session_date, {_utc("570")} AS market_open, {_utc("(CASE WHEN early THEN 780 ELSE 960 END)")} AS market_close, early AS is_early_close FROM open_days)"""
+
+
 def sess(spark, d):
     span = trades(spark, d).agg(F.min(F.to_date("event_time")).alias("first_day"), F.max(F.to_date("event_time")).alias("last_day"))
     return C.held(C.sessions(span))
@@ -128,16 +140,28 @@ def interior_gaps(spark, d):
     return V.interior_gaps(half_hours(spark, d), sess(spark, d))
 
 
-EVIDENCE = f"""WITH {GRID}, {BARS}, seen AS (SELECT s.session_date, b.symbol, count(*) AS n, count(DISTINCT window_start) AS observed, count(*) FILTER (open <= 0 OR total_volume <= 0) AS invalid, count(*) FILTER (high < greatest(open, close, low) OR low > least(open, close, high)) AS bad_bounds
+#: Half-hour bars with trades of one instant in the order of their ids; a null price counts if it comes first or last.
+ORDERED = f"""{TRADES}, bars AS (SELECT time_bucket(INTERVAL 30 MINUTE, event_time) AS window_start, time_bucket(INTERVAL 30 MINUTE, event_time) + INTERVAL 30 MINUTE AS window_end, symbol,
+  first(price ORDER BY event_time, event_id NULLS FIRST) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY event_time, event_id NULLS FIRST) AS close, sum(volume)::BIGINT AS total_volume
+  FROM trades WHERE event_time IS NOT NULL GROUP BY ALL)"""
+BAD = " OR ".join(f"{c} IS NULL OR NOT isfinite({c}::DOUBLE) OR {c} <= 0" for c in ("open", "high", "low", "close", "total_volume"))
+EVIDENCE = f"""WITH {GRID.replace(SESS, RULED)}, {ORDERED}, seen AS (SELECT s.session_date, b.symbol, count(*) AS n, count(DISTINCT window_start) AS observed, count(*) FILTER ((epoch_ms(window_start) - epoch_ms(market_open)) % 1800000 <> 0) AS off_grid,
+  count(*) FILTER ({BAD}) AS invalid, count(*) FILTER (high < greatest(open, close, low) OR low > least(open, close, high)) AS bad_bounds, count(*) FILTER (epoch_ms(window_end) - epoch_ms(window_start) <> 1800000) AS bad_width
   FROM bars b JOIN sess s ON b.window_start >= market_open AND b.window_start < market_close GROUP BY ALL),
 ex AS (SELECT session_date, symbol, count(*) AS expected FROM grid GROUP BY ALL),
-ev AS (SELECT ex.session_date, ex.symbol, expected, coalesce(observed, 0) AS observed, 0::BIGINT AS off_grid, coalesce(invalid, 0) AS invalid, coalesce(bad_bounds, 0) AS bad_bounds, 0::BIGINT AS bad_width, coalesce(n - observed, 0) AS duplicates,
-  coalesce(observed, 0) = expected AND coalesce(invalid, 0) + coalesce(bad_bounds, 0) = 0 AS passed FROM ex LEFT JOIN seen ON ex.session_date = seen.session_date AND ex.symbol = seen.symbol)"""
+e AS (SELECT ex.session_date, ex.symbol, expected, coalesce(observed, 0) AS observed, coalesce(off_grid, 0) AS off_grid, coalesce(invalid, 0) AS invalid, coalesce(bad_bounds, 0) AS bad_bounds, coalesce(bad_width, 0) AS bad_width, coalesce(n - observed, 0) AS duplicates
+  FROM ex LEFT JOIN seen ON ex.session_date = seen.session_date AND ex.symbol = seen.symbol),
+ev AS (SELECT *, observed = expected AND duplicates + off_grid + invalid + bad_bounds + bad_width = 0 AS passed FROM e)"""
+
+
+def ordered_bars(spark, d):
+    """Half-hour bars whose open and close don't hang on chance where trades share an instant."""
+    return B.ohlcv(trades(spark, d), sequence="event_id")
 
 
 @register("session_qualification", f"{EVIDENCE} SELECT * FROM ev")
 def session_qualification(spark, d):
-    return V.qualify_sessions(half_hours(spark, d), sess(spark, d), SYMBOLS)
+    return V.qualify_sessions(ordered_bars(spark, d), sess(spark, d), SYMBOLS)
 
 
 @register(
