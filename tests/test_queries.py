@@ -74,6 +74,30 @@ def test_session_qualification_judges_every_number_of_a_bar(spark, tmp_path):
     assert seen == [("click", 13, 9, False), ("view", 13, 7, False)]  # a null price between two others is neither open nor close
 
 
+#: Two sessions: click's are whole, signup has invalid bars, purchase missing ones, view some after the close, error no trade at all.
+HISTORY = """SELECT row_number() OVER () AS event_id, d + b * INTERVAL 30 MINUTE + k * INTERVAL 5 MINUTE AS ts, 1 AS user_id, s AS event_type,
+  CASE WHEN s = 'signup' AND b = 4 AND k = 1 THEN 0.0 ELSE 5.0 END AS value, '{{"k": 3}}' AS props
+  FROM (VALUES (TIMESTAMP '2024-01-17 14:30:00'), (TIMESTAMP '2024-01-18 14:30:00')) r(d), range(14) u(b), range(3) v(k), (VALUES ('click'), ('purchase'), ('signup'), ('view')) w(s)
+  WHERE (b < 13 OR s = 'view') AND NOT (s = 'purchase' AND b = 5)"""
+
+
+def test_historical_qualification_of_whole_and_faulty_histories(spark, tmp_path):
+    from tests.conftest import compare
+
+    folder, con = stored(tmp_path, HISTORY)
+    query, sql = plans.QUERIES["historical_qualification"], plans.ORACLES["historical_qualification"]
+    compare(spark, con, query, sql, folder)
+    seen = con.execute(f"SELECT symbol, sessions, qualified, missing, off_session, duplicates, passed FROM ({sql}) ORDER BY symbol").fetchall()
+    assert seen == [("click", 2, 2, 0, 0, 0, True), ("error", 2, 0, 26, 0, 0, False), ("purchase", 2, 0, 2, 0, 0, False), ("signup", 2, 0, 0, 0, 0, False), ("view", 2, 2, 0, 2, 0, False)]
+
+
+def test_historical_qualification_of_faulty_numbers(spark, tmp_path):
+    from tests.conftest import compare
+
+    folder, con = stored(tmp_path, FAULTS)
+    compare(spark, con, plans.QUERIES["historical_qualification"], plans.ORACLES["historical_qualification"], folder)
+
+
 @pytest.mark.parametrize("days", [-8750, 888, 1096, 2922])
 def test_session_qualification_in_other_years(spark, tmp_path, days):
     from tests.conftest import compare

@@ -166,11 +166,14 @@ def session_qualification(spark, d):
 
 @register(
     "historical_qualification",
-    f"""{EVIDENCE}, o AS (SELECT symbol, count(*) AS off_session FROM bars b ANTI JOIN grid g USING (symbol, window_start) GROUP BY symbol)
-SELECT symbol, count(*) AS sessions, count(*) FILTER (passed) AS qualified, sum(expected - observed)::BIGINT AS missing, any_value(off_session) AS off_session, 0::BIGINT AS duplicates, FALSE AS passed FROM ev JOIN o USING (symbol) GROUP BY symbol""",
+    f"""{EVIDENCE}, h AS (SELECT symbol, count(*) AS sessions, count(*) FILTER (passed) AS qualified, sum(expected - least(expected, observed - off_grid))::BIGINT AS missing FROM ev GROUP BY symbol),
+o AS (SELECT symbol, count(*) AS off FROM bars ANTI JOIN grid USING (symbol, window_start) GROUP BY symbol),
+t AS (SELECT symbol, sum(n - 1)::BIGINT AS twice FROM (SELECT symbol, window_start, count(*) AS n FROM bars GROUP BY symbol, window_start) GROUP BY symbol),
+a AS (SELECT symbol, sessions, qualified, missing, coalesce(off, 0) AS off_session, coalesce(twice, 0) AS duplicates FROM h LEFT JOIN o USING (symbol) LEFT JOIN t USING (symbol))
+SELECT *, sessions = qualified AND off_session + duplicates = 0 AS passed FROM a""",
 )
 def historical_qualification(spark, d):
-    return V.qualify_history(half_hours(spark, d), sess(spark, d), SYMBOLS)
+    return V.qualify_history(ordered_bars(spark, d), sess(spark, d), SYMBOLS)
 
 
 @register(
